@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymatrix.operators.dedup import latest_wins
-from daymatrix.operators.reshape import PIVOT_CAP, prefix_columns, to_wide
+from daymatrix.operators.reshape import PIVOT_CAP, bounded_values, prefix_columns, to_wide
 from daymatrix.operators.timeseries import _as_date, bounds, day_sequence, fill_series
+from daymatrix.session import materialize
 
 
 def join_daily_long(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("DEMAND", "DIAGNOSIS"),
@@ -29,10 +30,17 @@ def join_daily_long(left: DataFrame, right: DataFrame, prefixes: tuple[str, str]
     Returns ``(feature, day, n)`` with features prefixed ``<prefix>_``. When
     either side is empty the result is empty (V5).
     """
+    return _join_daily(left, right, prefixes, fill_method, feature, day, value, densify_sides)[0]
+
+
+def _join_daily(left, right, prefixes, fill_method, feature, day, value, densify_sides):
+    # Each side is an aggregate read by three jobs (bounds, names, result):
+    # compute it once.
+    left, right = materialize(left), materialize(right)
     lo_l, hi_l = bounds(left, day)
     lo_r, hi_r = bounds(right, day)
     if lo_l is None or lo_r is None:
-        return left.select(feature, day, value).where(F.lit(False))
+        return left.select(feature, day, value).where(F.lit(False)), []
     lo_l, hi_l, lo_r, hi_r = map(_as_date, (lo_l, hi_l, lo_r, hi_r))
     lo, hi = min(lo_l, lo_r), max(hi_l, hi_r)
     in_left = F.col(day).between(F.lit(lo_l), F.lit(hi_l))
@@ -53,15 +61,18 @@ def join_daily_long(left: DataFrame, right: DataFrame, prefixes: tuple[str, str]
         return merged
 
     both = side(left, prefixes[0], in_left).unionByName(side(right, prefixes[1], in_right))
-    return fill_series(both, [feature], day, value, fill_method, zero_fill=True)
+    names = [f"{prefixes[0]}_{f}" for f in bounded_values(left, feature)] + \
+        [f"{prefixes[1]}_{f}" for f in bounded_values(right, feature)]
+    return fill_series(both, [feature], day, value, fill_method, zero_fill=True), names
 
 
 def join_daily(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("DEMAND", "DIAGNOSIS"),
                fill_method: str | None = "ffill", cap: int = PIVOT_CAP) -> DataFrame:
     """Wide rendering of :func:`join_daily_long`: ``timestamp`` + one column per
     prefixed feature, sorted by day (Q3)."""
-    long = join_daily_long(left, right, prefixes, fill_method)
-    return to_wide(long, "day", "feature", "n", fill=None, key_alias="timestamp", cap=cap).orderBy("timestamp")
+    long, names = _join_daily(left, right, prefixes, fill_method, "feature", "day", "n", True)
+    return to_wide(long, "day", "feature", "n", features=sorted(names), fill=None, key_alias="timestamp",
+                   cap=cap).orderBy("timestamp")
 
 
 def merge_wide(left: DataFrame, right: DataFrame, on_keys: Sequence[str] = ("timestamp",),

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymatrix.session import materialize
+
 PIVOT_CAP = 10_000  # spark.sql.pivotMaxValues default
 
 
@@ -36,7 +38,11 @@ def to_wide(long: DataFrame, key: str = "day", feature: str = "feature", value:
             key_alias: str = "timestamp", cap: int = PIVOT_CAP) -> DataFrame:
     """``groupBy(key).pivot(feature, list).sum(value)``, missing cells -> ``fill``
     (R1/R2; duplicate keys are summed)."""
-    cols = list(features) if features is not None else bounded_values(long, feature, cap)
+    if features is None:
+        long = materialize(long)
+        cols = bounded_values(long, feature, cap)
+    else:
+        cols = list(features)
     if len(cols) > cap:
         raise TooManyColumnsError(f"{len(cols)} columns requested, cap is {cap}")
     wide = long.groupBy(key).pivot(feature, cols).agg(F.sum(value))

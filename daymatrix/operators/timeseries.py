@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daymatrix.session import materialize
+
 FILL_METHODS = ("ffill", "bfill", "interpolate", None)
 
 
@@ -69,6 +71,7 @@ def densify_long(long: DataFrame, keys: Sequence[str], day_col: str = "day", val
     """
     lo, hi = (start, end)
     if lo is None or hi is None:
+        long = materialize(long)
         b_lo, b_hi = bounds(long, day_col)
         lo = lo if lo is not None else b_lo
         hi = hi if hi is not None else b_hi
@@ -93,6 +96,7 @@ def densify_wide(wide: DataFrame, key: str = "timestamp", start=None, end=None,
     per day of the range, a bound known before the join, so it is broadcast."""
     lo, hi = start, end
     if lo is None or hi is None:
+        wide = materialize(wide)
         b_lo, b_hi = bounds(wide, key)
         lo = lo if lo is not None else b_lo
         hi = hi if hi is not None else b_hi

@@ -31,7 +31,7 @@ from daymatrix.operators.reshape import to_long, to_wide
 from daymatrix.operators.timeseries import densify_long, densify_wide, fill_series, year_ranges
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY, FEATURE_KEY
-from daymatrix.session import scratch_path
+from daymatrix.session import materialize, scratch_path
 from daymatrix.sources import fixtures as fx
 from daymatrix.sources import scan, store
 from daymatrix.sources.tables import read_table
@@ -460,10 +460,10 @@ def _batched(df: DataFrame, day_col: str) -> tuple[DataFrame, DataFrame]:
             df.where(F.col(day_col) >= F.lit(BATCH2_START)))
 
 
-def _wide_batches(spark, sf, long_fn, prefix_total: bool) -> DataFrame:
+def _wide_batches(spark, sf, long_fn) -> DataFrame:
     """Write each batch's own wide matrix as a staging batch; read all back."""
     path = scratch_path(spark, "wide-staging")
-    long = long_fn(spark, sf)
+    long = materialize(long_fn(spark, sf))
     for i, part in enumerate(_batched(long, "day"), start=1):
         store.append_batch(to_wide(part), path, batch_id=i)
     return store.read_staging(spark, path)
@@ -471,15 +471,15 @@ def _wide_batches(spark, sf, long_fn, prefix_total: bool) -> DataFrame:
 
 @job("merge_finals")
 def merge_finals(spark, sf):
-    demand = _wide_batches(spark, sf, _demand_cat_named, True)
-    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)), True)
+    demand = _wide_batches(spark, sf, _demand_cat_named)
+    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)))
     return merge_wide(demand, diag, ["timestamp"], None, "DIAG", store.BATCH_COL)
 
 
 @job("merge_staging")
 def merge_staging(spark, sf):
-    demand = _wide_batches(spark, sf, _demand_cat_named, True)
-    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)), True)
+    demand = _wide_batches(spark, sf, _demand_cat_named)
+    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)))
     return merge_wide(demand, diag, ["timestamp"], "DEMAND", "DIAGNOSIS", store.BATCH_COL)
 
 

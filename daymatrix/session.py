@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -79,3 +80,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
     return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared folder.
+
+    Used for small aggregated frames that feed several jobs (bounds, pivot
+    lists, the final plan): the expensive scan and aggregation then run
+    once, and a lost executor does not send the job back to the source.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

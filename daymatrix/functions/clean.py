@@ -49,12 +49,12 @@ def zfill(c: Column | str, width: int = UNIT_WIDTH) -> Column:
     """Left-pad with zeros to ``width``; never truncates; a leading sign stays
     first (``-12`` -> ``-0012``), like Python's ``str.zfill``."""
     s = _c(c)
-    signed = s.rlike(r"^[+-]")
+    n = F.length(s)
+    signed = s.startswith("+") | s.startswith("-")
     return (
-        F.when(F.length(s) >= width, s)
-        .when(signed, F.concat(F.substring(s, 1, 1),
-                               F.lpad(s.substr(F.lit(2), F.length(s)), width - 1, "0")))
-        .otherwise(F.lpad(s, width, "0"))
+        F.when(signed, F.concat(s.substr(F.lit(1), F.lit(1)),
+                                F.lpad(s.substr(F.lit(2), n), F.greatest(n - 1, F.lit(width - 1)), "0")))
+        .otherwise(F.lpad(s, F.greatest(n, F.lit(width)), "0"))
     )
 
 

@@ -69,8 +69,10 @@ SELECTED_CODES: list[str] = (
 
 
 def _alnum_upper(c: Column | str) -> Column:
+    """Upper case, only [A-Z0-9] kept. Stripping first is implied: white
+    space is removed with every other non-alphanumeric character."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.upper(strip(c)), "[^A-Z0-9]", "")
+    return F.regexp_replace(F.upper(c.cast("string")), "[^A-Z0-9]", "")
 
 
 def icd_normalize(c: Column | str) -> Column:
@@ -81,8 +83,9 @@ def icd_normalize(c: Column | str) -> Column:
 
 
 def icd_code3_prefix(c: Column | str) -> Column:
-    """First three characters of the normalised code."""
-    return F.substring(icd_normalize(c), 1, 3)
+    """First three characters of the normalised code, null when it is not
+    valid (P11); one extraction instead of test-then-cut."""
+    return F.nullif(F.regexp_extract(_alnum_upper(c), "^[A-Z][0-9]{2}", 0), F.lit(""))
 
 
 def icd_code3_search(c: Column | str) -> Column:
@@ -107,7 +110,13 @@ def ordinal_of(code: str) -> int | None:
 def range_label(code3: Column | str, ranges: Sequence[tuple[str, str, str]]) -> Column:
     """First range (in list order) whose inclusive bounds hold the code, else
     UNKNOWN (J4). Ranges with an unparsable bound are skipped."""
-    ordinal = icd_ordinal(code3)
+    return label_of_ordinal(icd_ordinal(code3), ranges)
+
+
+def label_of_ordinal(ordinal: Column | str, ranges: Sequence[tuple[str, str, str]]) -> Column:
+    """:func:`range_label` on a precomputed ordinal column (evaluate the
+    ordinal once per row, not once per range bound)."""
+    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     out = None
     for name, lo, hi in ranges:
         lo_o, hi_o = ordinal_of(lo), ordinal_of(hi)

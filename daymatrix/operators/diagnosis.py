@@ -21,7 +21,8 @@ from daymatrix.functions.icd import (
     classify_with_map,
     icd_code3_prefix,
     icd_normalize,
-    range_label,
+    icd_ordinal,
+    label_of_ordinal,
 )
 from daymatrix.operators.demand import SCOPES, TOTAL, _stack, scoped_counts
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, attach_region, small_side, unit_region_lookup
@@ -56,10 +57,27 @@ def parsed_diagnoses(raw: DataFrame, date_col: str = "data_visita", unit_col: st
     )
 
 
+def drop_incomplete(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """Drop count groups with a null key (F1), after counting.
+
+    The predicate reads the count as well as the keys, so Catalyst keeps it
+    above the aggregate; a plain null filter would be pushed below it and
+    make every row evaluate the parse expressions twice (filter + project).
+    Rows with an unknown key only add a few groups per day and unit.
+    """
+    complete = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        complete = c if complete is None else complete & c
+    return counts.where(F.when(complete, F.col(n)) > 0)
+
+
 def _classify(df: DataFrame, ranges: RangeTable, out: str) -> DataFrame:
     if isinstance(ranges, DataFrame):
         return classify_with_map(df, "ICD10_3", ranges, out)
-    return df.withColumn(out, range_label("ICD10_3", ranges))
+    if "__ordinal" not in df.columns:
+        df = df.withColumn("__ordinal", icd_ordinal("ICD10_3"))
+    return df.withColumn(out, label_of_ordinal("__ordinal", ranges))
 
 
 def prepare_diagnoses(raw: DataFrame, lookup: DataFrame, date_col: str = "data_visita",
@@ -71,10 +89,16 @@ def prepare_diagnoses(raw: DataFrame, lookup: DataFrame, date_col: str = "data_v
     """Reduced diagnoses (A6): ``DATA_VISITA, UP, ICD10_3, RS, ICD10_CHAPTER,
     ICD10_SUBCHAPTER, n``. Rows without day, unit or a valid code are dropped
     (F1); a unit without region gets ``RS:SENSEESPECIFICAR_SE``."""
-    rows = parsed_diagnoses(raw, date_col, unit_col, code_col).dropna(
-        subset=["DATA_VISITA", "UP", "ICD10_3"]
+    canon = canonical_diagnoses(raw, date_col, unit_col, code_col)
+    rows = canon.select(
+        day_of(canon, "DATA_VISITA").alias("DATA_VISITA"),
+        pad_unit_code("UP").alias("UP"),
+        icd_code3_prefix("DIAG_CODE").alias("ICD10_3"),
+    )
+    reduced = drop_incomplete(
+        rows.groupBy("DATA_VISITA", "UP", "ICD10_3").agg(F.count(F.lit(1)).alias("n")),
+        ["DATA_VISITA", "UP", "ICD10_3"],
     )
-    reduced = rows.groupBy("DATA_VISITA", "UP", "ICD10_3").agg(F.count(F.lit(1)).alias("n"))
     lk = unit_region_lookup(lookup, lookup_code_col, lookup_region_col)
     out = attach_region(reduced, lk, "UP", max_broadcast_rows).withColumn(
         "RS", F.coalesce(F.col("RS"), F.lit(REGION_DEFAULT))

@@ -12,9 +12,47 @@ from pyspark.sql import functions as F
 from daymatrix.functions.clean import strip
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Inputs below this size may be spread over the cores with one small shuffle.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
+SPREAD_BYTES_PER_PARTITION = 1024 * 1024
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table, e.g. ``read_table(spark, dir, "orders")``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
+
+
+def _input_bytes(df: DataFrame, stop_above: int) -> int:
+    """Total size of the scanned files; stops counting past ``stop_above``."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        if total > stop_above:
+            break
+    return total
+
+
+def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Spread a small scan over the cores.
+
+    Parquet splits at row-group boundaries, so a small file written as one
+    row group is read, parsed and pre-aggregated by a single task however
+    many cores there are. Below ``max_bytes`` a round-robin repartition
+    (one shuffle of at most that many bytes) lets the row-level work run in
+    parallel; filters and column pruning still reach the scan beneath it.
+    Large inputs arrive in many row groups and are never reshuffled.
+    """
+    size = _input_bytes(df, max_bytes)
+    if size == 0 or size > max_bytes:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(1, min(cores, -(-size // SPREAD_BYTES_PER_PARTITION)))
+    return df.repartition(target) if target > 1 else df
 
 
 def read_lookup(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -35,3 +35,9 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def data_id(*cols: str) -> "F.Column":
+    """Composite record key as one text column, ``timestamp|code|unit``.
+    Dedup itself groups on the key columns; this is for export."""
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])

@@ -131,6 +131,47 @@ def load_final(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def save_matrix(wide: DataFrame, path: str, key: str = "timestamp", compression: str = "snappy") -> None:
+    """Dual write of a wide matrix, Parquet at ``<path>.parquet`` and headed
+    CSV at ``<path>.csv`` (S8); the frame is computed once for both."""
+    from daymatrix.session import materialize
+
+    once = materialize(wide)
+    save_final(once, f"{path}.parquet", compression)
+    save_matrix_csv(once, f"{path}.csv", key)
+
+
+def compact_staging(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
+    """Rewrite the latest row per key as one new batch, then drop the batches
+    it supersedes (I7). Returns the new batch id."""
+    from daymatrix.session import materialize
+
+    latest = materialize(load_staging(spark, path, keys).drop(BATCH_COL))
+    old = [r[BATCH_COL] for r in read_staging(spark, path).select(BATCH_COL).distinct().collect()]
+    bid = append_batch(latest, path)
+    drop_batches(spark, path, old)
+    return bid
+
+
+STATE_SCHEMA = T.StructType([
+    T.StructField("last_loaded_date", T.DateType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+
+
+def save_state(spark: SparkSession, path: str, last_loaded_date, updated_at) -> None:
+    """One-row watermark state ``(last_loaded_date, updated_at)`` (I3). The
+    clock is an argument."""
+    spark.createDataFrame([(_as_date(last_loaded_date), updated_at)], STATE_SCHEMA) \
+        .coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_state(spark: SparkSession, path: str) -> dt.date | None:
+    """The stored watermark, or ``None`` when no state was written."""
+    row = load_final(spark, path, STATE_SCHEMA).agg(F.max("last_loaded_date").alias("d")).first()
+    return None if row is None else row["d"]
+
+
 def save_matrix_csv(wide: DataFrame, path: str, key: str = "timestamp", label: str = "Timestamp") -> None:
     """Wide matrix as headed CSV with the ``Timestamp`` label."""
     wide.withColumnRenamed(key, label).orderBy(label).write.mode("overwrite").option("header", True).csv(path)

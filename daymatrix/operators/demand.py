@@ -65,7 +65,8 @@ def prepare_visits(visits: DataFrame, lookup: DataFrame, date_formats: Sequence[
     then looked up; no region -> ``RS:SENSEESPECIFICAR_SE``."""
     rows = clean_visits(visits, date_formats)
     lk = unit_region_lookup(lookup, code_col, region_col)
-    return attach_region(rows, lk, "UP", max_broadcast_rows).withColumn("RS", region_label("RS"))
+    return attach_region(rows, lk, "UP", max_broadcast_rows, bound_by=lookup).withColumn(
+        "RS", region_label("RS"))
 
 
 def _stack(df: DataFrame, variables: Sequence[str], include_total: bool, keep: Sequence[str]) -> DataFrame:

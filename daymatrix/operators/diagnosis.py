@@ -100,7 +100,7 @@ def prepare_diagnoses(raw: DataFrame, lookup: DataFrame, date_col: str = "data_v
         ["DATA_VISITA", "UP", "ICD10_3"],
     )
     lk = unit_region_lookup(lookup, lookup_code_col, lookup_region_col)
-    out = attach_region(reduced, lk, "UP", max_broadcast_rows).withColumn(
+    out = attach_region(reduced, lk, "UP", max_broadcast_rows, bound_by=lookup).withColumn(
         "RS", F.coalesce(F.col("RS"), F.lit(REGION_DEFAULT))
     )
     out = _classify(out, chapter_ranges, "ICD10_CHAPTER")

@@ -53,7 +53,14 @@ def lookup_conflicts(lookup: DataFrame, code_col: str = "codi_up", region_col: s
 
 
 def attach_region(df: DataFrame, lookup: DataFrame, unit_col: str = "UP",
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left join of a normalised lookup on the unit code; adds raw ``RS``."""
-    lk = small_side(lookup.withColumnRenamed("UP", "__lk_up"), max_rows)
+                  max_rows: int = BROADCAST_MAX_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+    """Left join of a normalised lookup on the unit code; adds raw ``RS``.
+
+    ``bound_by`` is a frame with at least as many rows as ``lookup`` (the raw
+    sheet it was aggregated from): probing it gives the same bound without
+    running the aggregation, and its ``limit`` stops the scan early.
+    """
+    lk = lookup.withColumnRenamed("UP", "__lk_up")
+    if fits(bound_by if bound_by is not None else lookup, max_rows):
+        lk = F.broadcast(lk)
     return df.join(lk, F.col(unit_col) == F.col("__lk_up"), "left").drop("__lk_up")

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.functions.icd import CHAPTER_RANGES, icd_ordinal, range_map, ranges_frame
-from daymatrix.operators.diagnosis import parsed_diagnoses
+from daymatrix.functions.clean import day_of, pad_unit_code
+from daymatrix.functions.icd import CHAPTER_RANGES, icd_normalize, icd_ordinal, range_map, ranges_frame
+from daymatrix.operators.diagnosis import canonical_diagnoses
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, small_side, unit_region_lookup
 
 
@@ -20,12 +21,17 @@ def unknown_codes(raw: DataFrame, chapter_ranges=CHAPTER_RANGES, limit: int | No
     3-character codes outside every chapter range, ordered by the original
     code; ``limit`` is the report size (``None`` for all).
 
-    The codes are de-duplicated first, then anti-joined with the range map
+    Codes are de-duplicated first, then anti-joined with the range map
     (at most 2,600 ordinals, broadcast) on the code ordinal.
     """
-    rows = parsed_diagnoses(raw, **cols).where(
-        F.col("DATA_VISITA").isNotNull() & F.col("UP").isNotNull() & F.col("ICD10_3").isNotNull()
-    ).select("DIAG_CODE", "ICD10_CODE", "ICD10_3").distinct()
+    canon = canonical_diagnoses(raw, **cols)
+    # Rows with a day and a unit; the codes are de-duplicated before they are
+    # parsed, so the parse runs once per distinct code, not once per row.
+    codes = (canon.where(day_of(canon, "DATA_VISITA").isNotNull() & pad_unit_code("UP").isNotNull())
+             .select("DIAG_CODE").distinct())
+    rows = codes.select("DIAG_CODE", icd_normalize("DIAG_CODE").alias("ICD10_CODE")) \
+        .where(F.col("ICD10_CODE").isNotNull()) \
+        .select("DIAG_CODE", "ICD10_CODE", F.substring("ICD10_CODE", 1, 3).alias("ICD10_3"))
     ranges = chapter_ranges if isinstance(chapter_ranges, DataFrame) else \
         ranges_frame(raw.sparkSession, chapter_ranges)
     covered = F.broadcast(range_map(ranges).select("ordinal"))

@@ -27,7 +27,7 @@ from daymatrix.operators.join import add_counts, combine_long, join_daily, join_
 from daymatrix.operators.dedup import latest_wins
 from daymatrix.operators.lookup import attach_region, unit_region_lookup
 from daymatrix.operators.quality import unknown_codes, unmatched_units
-from daymatrix.operators.reshape import to_long, to_wide
+from daymatrix.operators.reshape import bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import densify_long, densify_wide, fill_series, year_ranges
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY, FEATURE_KEY
@@ -465,7 +465,7 @@ def _wide_batches(spark, sf, long_fn) -> DataFrame:
     path = scratch_path(spark, "wide-staging")
     long = materialize(long_fn(spark, sf))
     for i, part in enumerate(_batched(long, "day"), start=1):
-        store.append_batch(to_wide(part), path, batch_id=i)
+        store.append_batch(to_wide(part, features=bounded_values(part, "feature")), path, batch_id=i)
     return store.read_staging(spark, path)
 
 

@@ -68,8 +68,10 @@ def run_recount(source: DataFrame, raw_date_col: str, build_counts: Callable[[Da
     counts = build_counts(rows)
     if read_from is not None:
         counts = counts.where(F.col(day_col) >= F.lit(read_from))
+    # Rebalance on the period: rows of a month are clustered into few files,
+    # and AQE splits a month that is too large for one task (no sampling pass).
     (counts.withColumn(PERIOD_COL, F.trunc(day_col, "MM"))
-        .repartition(PERIOD_COL)
+        .hint("rebalance", PERIOD_COL)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD_COL)

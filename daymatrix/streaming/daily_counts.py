@@ -47,7 +47,7 @@ def _upsert(sink_path: str, key_col: str):
         out = merged.groupBy("day", key_col).agg(F.max_by("n", "__seq").alias("n"))
         # Materialise before overwriting the partitions the plan reads from.
         out = out.checkpoint(eager=True)
-        (out.repartition("day").write.mode("overwrite")
+        (out.hint("rebalance", "day").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day").parquet(sink_path))
     return write

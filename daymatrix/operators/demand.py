@@ -1,12 +1,11 @@
 """Demand: visits -> cleaned rows -> daily counts at CAT/RS/UP.
 
 One plan for every scope and variable: the five label columns and the total
-are stacked into ``(variable, value)`` rows with a generator, then one
-``GROUPING SETS`` aggregation counts per ``(day[, group], variable, value)``.
-Spark plans that as Generate -> Expand -> partial HashAggregate -> one
-Exchange -> final HashAggregate: a single shuffle for all 18 count families,
-and the partial aggregate combines hot keys (a default region, ``NA``
-values) on the map side before anything moves.
+are stacked into ``(variable, value)`` rows with a generator and counted once
+at the finest requested scope (unit, with its region); regions and the whole
+territory are rolled up from those counts (see ``scoped_counts``). The
+partial aggregate before each shuffle combines hot keys (a default region,
+``NA`` values, one very large unit) on the map side before anything moves.
 """
 
 from __future__ import annotations
@@ -80,42 +79,53 @@ def _stack(df: DataFrame, variables: Sequence[str], include_total: bool, keep: S
     return df.select(*keep, F.inline(F.array(*pairs)))
 
 
+def _scope_rows(df: DataFrame, scope: str, group_cols: dict[str, str], domain: str) -> DataFrame:
+    group_value = F.lit(None).cast("string") if scope == "CAT" else F.col(group_cols[scope])
+    return df.select(
+        "day", F.lit(domain).alias("domain"), F.lit(scope).alias("scope"), group_value.alias("group_value"),
+        "variable", "value", F.col("n").cast("long").alias("n"),
+    )
+
+
 def scoped_counts(stacked: DataFrame, scopes: Sequence[str], group_cols: dict[str, str],
                   measure: Column, domain: str) -> DataFrame:
     """Count ``stacked`` rows per ``(day, [group], variable, value)`` for every
-    requested scope in one aggregation; returns the canonical long schema."""
+    requested scope; returns the canonical long schema.
+
+    Units nest in regions (one region per unit), so the counts roll up:
+    the row-level input is aggregated once, at the finest requested scope
+    (keeping the region next to the unit), and the coarser scopes are summed
+    from that result with one grouping-sets aggregation. The map-side work on
+    the big input is one hash aggregation per stacked row (a grouping-sets
+    ``Expand`` over the raw rows would triple it); the second shuffle only
+    carries already aggregated counts, and the first one is reused by both
+    branches of the union.
+    """
     unknown = set(scopes) - set(SCOPES)
     if unknown:
         raise ValueError(f"unknown scopes: {sorted(unknown)}")
-    base = ["day", "variable", "value"]
-    if len(scopes) == 1:
-        scope = scopes[0]
-        gcol = group_cols.get(scope)
-        keys = base if gcol is None else ["day", gcol, "variable", "value"]
-        out = stacked.groupBy(*keys).agg(measure.alias("n"))
-        group_value = F.lit(None).cast("string") if gcol is None else F.col(gcol)
-        return out.select(
-            "day", F.lit(domain).alias("domain"), F.lit(scope).alias("scope"),
-            group_value.alias("group_value"), "variable", "value", F.col("n").cast("long").alias("n"),
-        )
-    gcols = [group_cols[s] for s in SCOPES if s in scopes and s != "CAT"]
-    sets = []
-    for s in scopes:
-        sets.append(base if s == "CAT" else ["day", group_cols[s], "variable", "value"])
-    agg = stacked.groupingSets(sets, "day", *gcols, "variable", "value").agg(
-        measure.alias("n"), *[F.grouping(g).alias(f"__g_{g}") for g in gcols]
-    )
-    scope_col = F.lit("CAT")
-    group_value = F.lit(None).cast("string")
-    for s in ("RS", "UP"):
-        if s in scopes:
-            g = group_cols[s]
-            scope_col = F.when(F.col(f"__g_{g}") == 0, F.lit(s)).otherwise(scope_col)
-            group_value = F.when(F.col(f"__g_{g}") == 0, F.col(g)).otherwise(group_value)
-    return agg.select(
-        "day", F.lit(domain).alias("domain"), scope_col.alias("scope"), group_value.alias("group_value"),
-        "variable", "value", F.col("n").cast("long").alias("n"),
-    )
+    order = [s for s in ("UP", "RS", "CAT") if s in scopes]
+    finest = order[0]
+    keys = {"UP": [group_cols["RS"], group_cols["UP"]], "RS": [group_cols["RS"]], "CAT": []}[finest]
+    base = stacked.groupBy("day", *keys, "variable", "value").agg(measure.alias("n"))
+    out = _scope_rows(base, finest, group_cols, domain)
+    coarser = order[1:]
+    if len(coarser) == 1:
+        scope = coarser[0]
+        gkeys = [] if scope == "CAT" else [group_cols[scope]]
+        rolled = base.groupBy("day", *gkeys, "variable", "value").agg(F.sum("n").alias("n"))
+        out = out.unionByName(_scope_rows(rolled, scope, group_cols, domain))
+    elif len(coarser) == 2:  # RS and CAT from UP
+        rs = group_cols["RS"]
+        rolled = base.groupingSets(
+            [["day", rs, "variable", "value"], ["day", "variable", "value"]], "day", rs, "variable", "value"
+        ).agg(F.sum("n").alias("n"), F.grouping(rs).alias("__g_rs"))
+        by_rs = F.col("__g_rs") == 0
+        out = out.unionByName(rolled.select(
+            "day", F.lit(domain).alias("domain"), F.when(by_rs, F.lit("RS")).otherwise(F.lit("CAT")).alias("scope"),
+            F.when(by_rs, F.col(rs)).alias("group_value"), "variable", "value", F.col("n").cast("long").alias("n"),
+        ))
+    return out
 
 
 def demand_counts(prepared: DataFrame, scopes: Sequence[str] = SCOPES,

@@ -52,3 +52,8 @@ def unmatched_units(rows: DataFrame, lookup: DataFrame, unit_col: str = "UP",
 def both_present(left: DataFrame, right: DataFrame) -> bool:
     """Empty-side guard (V5)."""
     return not left.isEmpty() and not right.isEmpty()
+
+
+def unmatched_units_sample(rows: DataFrame, lookup: DataFrame, n: int = 10, unit_col: str = "UP") -> DataFrame:
+    """The first ``n`` unmatched units by code with their row counts (O3)."""
+    return unmatched_units(rows, lookup, unit_col).orderBy(unit_col).limit(n)

@@ -19,8 +19,8 @@ from daymatrix.functions.names import with_feature
 from daymatrix.operators.demand import SCOPES, demand_counts, prepare_visits
 from daymatrix.operators.diagnosis import LEVELS, diagnosis_counts, prepare_diagnoses
 from daymatrix.operators.join import combine_long, join_daily
-from daymatrix.operators.reshape import to_wide
-from daymatrix.operators.timeseries import densify_wide
+from daymatrix.operators.reshape import bounded_values, to_wide
+from daymatrix.operators.timeseries import bounds, densify_wide
 from daymatrix.plans import incremental as inc
 from daymatrix.sources import store
 
@@ -53,17 +53,26 @@ def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path:
 
 def render_matrices(counts: DataFrame, out_dir: str, domain_prefix: str, start=None, end=None,
                     wide_scopes: Sequence[str] = ("CAT", "RS")) -> dict[str, str]:
-    """I8/I9 final build from stored counts: dense wide CAT/RS matrices
-    (Parquet + CSV, S8) and the long form of every scope partitioned by scope
-    and variable (S9). Returns name -> path."""
+    """I8/I9 final build. The counts are computed once and stored in long
+    form partitioned by scope and variable (S9); every wide matrix is then
+    rendered from the stored dataset (partition pruning on ``scope``):
+    dense over ``[start, end]`` (default: the scope's own first and last day),
+    written as Parquet + CSV (S8). Returns name -> path."""
+    spark = counts.sparkSession
     outputs = {}
     long_path = f"{out_dir}/{domain_prefix}_long"
     store.save_final(counts, long_path, partition_by=["scope", "variable"])
     outputs[f"{domain_prefix}_long"] = long_path
+    stored = spark.read.parquet(long_path)
     for scope in wide_scopes:
-        wide = to_wide(_named(counts.where(F.col("scope") == scope)))
+        named = _named(stored.where(F.col("scope") == scope))
+        lo, hi = bounds(named, "day")
+        lo, hi = (start or lo), (end or hi)
+        wide = to_wide(named, features=bounded_values(named, "feature"))
+        if lo is not None and hi is not None:
+            wide = densify_wide(wide, "timestamp", lo, hi)
         path = f"{out_dir}/{domain_prefix}_{scope.lower()}"
-        store.save_matrix(densify_wide(wide, "timestamp", start, end), path)
+        store.save_matrix(wide, path)
         outputs[f"{domain_prefix}_{scope.lower()}"] = f"{path}.parquet"
     return outputs
 
@@ -104,3 +113,15 @@ def historical_combined(spark: SparkSession, long_paths: Sequence[str], out_path
     frames = [_named(spark.read.parquet(p)) for p in long_paths]
     store.save_final(combine_long(frames), out_path)
     return out_path
+
+
+def build_all(spark: SparkSession, visits: DataFrame, diagnoses: DataFrame, lookup: DataFrame,
+              out_dir: str) -> dict[str, str]:
+    """The whole daily build: demand and diagnosis outputs (Q1, Q2), then the
+    joined matrix (Q3) from the stored long counts."""
+    outputs = demand_final(spark, visits, lookup, out_dir)
+    outputs.update(diagnosis_final(spark, diagnoses, lookup, out_dir))
+    dem = spark.read.parquet(outputs["demand_long"])
+    dia = spark.read.parquet(outputs["diagnosis_long"])
+    outputs["joined"] = joined_final(spark, dem, dia, f"{out_dir}/joined")
+    return outputs

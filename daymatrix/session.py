@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete checkpoint files once their DataFrame is garbage collected, so
+    # the shared folder does not grow run after run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

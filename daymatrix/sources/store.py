@@ -133,12 +133,10 @@ def load_final(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def save_matrix(wide: DataFrame, path: str, key: str = "timestamp", compression: str = "snappy") -> None:
     """Dual write of a wide matrix, Parquet at ``<path>.parquet`` and headed
-    CSV at ``<path>.csv`` (S8); the frame is computed once for both."""
-    from daymatrix.session import materialize
-
-    once = materialize(wide)
-    save_final(once, f"{path}.parquet", compression)
-    save_matrix_csv(once, f"{path}.csv", key)
+    CSV at ``<path>.csv`` (S8); the CSV is written from the Parquet output, so
+    the frame is computed once."""
+    save_final(wide, f"{path}.parquet", compression)
+    save_matrix_csv(wide.sparkSession.read.parquet(f"{path}.parquet"), f"{path}.csv", key)
 
 
 def compact_staging(spark: SparkSession, path: str, keys: Sequence[str]) -> int:

@@ -13,14 +13,23 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_demand_counts_one_shuffle_and_broadcast_lookup(spark):
+def _final_plan(df) -> str:
+    """The adaptive plan as executed (runs the query through ``collect``)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_demand_counts_rollup_and_broadcast_lookup(spark):
     df = demand_counts(prepare_visits(fx.visits(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)))
-    plan = _plan(df)
+    plan = _final_plan(df)
     assert "BroadcastHashJoin" in plan
-    # one Exchange for the counts; the lookup's own aggregation adds one on the small side
-    main = plan.split("BroadcastExchange")[0]
-    assert main.count("Exchange hashpartitioning") == 1
-    assert "Expand" in plan
+    # the row-level stack is aggregated once; the coarser scopes reuse its shuffle
+    assert plan.count("Generate inline") == 1
+    assert "ReusedExchange" in plan
+    # the grouping-sets Expand runs over aggregated counts, never over raw rows
+    expand_at = plan.index("Expand")
+    assert "HashAggregate" in plan[expand_at:]
+    assert "Generate inline" not in plan[expand_at:]
 
 
 def test_diagnosis_reduces_before_lookup(spark):
@@ -29,7 +38,7 @@ def test_diagnosis_reduces_before_lookup(spark):
     # the aggregate sits below the broadcast join
     assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate")
     counts = diagnosis_counts(red, selected_codes=SELECTED_CODES)
-    assert "Expand" in _plan(counts)
+    assert _final_plan(counts).count("Generate inline") == 1
 
 
 def test_scan_pushes_filters_and_prunes(spark):

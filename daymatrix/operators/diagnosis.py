@@ -24,7 +24,7 @@ from daymatrix.functions.icd import (
     icd_ordinal,
     label_of_ordinal,
 )
-from daymatrix.operators.demand import SCOPES, TOTAL, _stack, scoped_counts
+from daymatrix.operators.demand import SCOPES, _stack, scoped_counts
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, attach_region, small_side, unit_region_lookup
 from daymatrix.schema import resolve_columns
 
@@ -193,6 +193,6 @@ def code_daily(rows: DataFrame, group_col: str | None = None) -> DataFrame:
 
 
 __all__ = [
-    "LEVELS", "TOTAL", "canonical_diagnoses", "parsed_diagnoses", "prepare_diagnoses",
+    "LEVELS", "canonical_diagnoses", "parsed_diagnoses", "prepare_diagnoses",
     "diagnosis_counts", "grouped_long", "daily_total", "raw_code_rows", "code_daily",
 ]

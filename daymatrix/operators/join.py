@@ -47,20 +47,23 @@ def _join_daily(left, right, prefixes, fill_method, feature, day, value, densify
     in_right = F.col(day).between(F.lit(lo_r), F.lit(hi_r))
     in_union = in_left | in_right
 
-    def side(df: DataFrame, prefix: str, own: F.Column) -> DataFrame:
+    def side(df: DataFrame, prefix: str, tag: int) -> DataFrame:
         named = df.select(F.concat(F.lit(prefix + "_"), F.col(feature)).alias(feature), day,
-                          F.col(value).cast("long").alias(value))
-        grid = named.select(feature).distinct().select(
+                          F.col(value).cast("long").alias(value), F.lit(tag).alias("__side"))
+        grid = named.select(feature, "__side").distinct().select(
             feature, F.explode(day_sequence(F.lit(lo), F.lit(hi))).alias(day),
-            F.lit(None).cast("long").alias(value),
+            F.lit(None).cast("long").alias(value), "__side",
         ).where(in_union)
-        merged = named.unionByName(grid).groupBy(feature, day).agg(F.sum(value).alias(value))
-        if densify_sides:
-            merged = merged.withColumn(value, F.when(own, F.coalesce(F.col(value), F.lit(0)))
-                                       .otherwise(F.col(value)))
-        return merged
-
-    both = side(left, prefixes[0], in_left).unionByName(side(right, prefixes[1], in_right))
+        return named.unionByName(grid)
+
+    # Hash partitioning on the feature serves both the (feature, day) merge
+    # and the fill window over each feature: one shuffle for both.
+    rows = side(left, prefixes[0], 0).unionByName(side(right, prefixes[1], 1)).repartition(feature)
+    both = rows.groupBy(feature, day, "__side").agg(F.sum(value).alias(value))
+    if densify_sides:
+        own = F.when(F.col("__side") == 0, in_left).otherwise(in_right)
+        both = both.withColumn(value, F.when(own, F.coalesce(F.col(value), F.lit(0))).otherwise(F.col(value)))
+    both = both.drop("__side")
     names = [f"{prefixes[0]}_{f}" for f in bounded_values(left, feature)] + \
         [f"{prefixes[1]}_{f}" for f in bounded_values(right, feature)]
     return fill_series(both, [feature], day, value, fill_method, zero_fill=True), names

@@ -84,7 +84,10 @@ def densify_long(long: DataFrame, keys: Sequence[str], day_col: str = "day", val
         .select(*keys, F.explode(day_sequence(F.lit(lo), F.lit(hi))).alias(day_col),
                 F.lit(None).cast(sparse.schema[value_col].dataType).alias(value_col))
     )
-    merged = sparse.unionByName(grid).groupBy(*keys, day_col).agg(F.sum(value_col).alias(value_col))
+    # Partitioned by the feature keys: the merge below and any per-feature
+    # window after it (fills) share this one shuffle.
+    merged = sparse.unionByName(grid).repartition(*keys).groupBy(*keys, day_col).agg(
+        F.sum(value_col).alias(value_col))
     if fill is not None:
         merged = merged.withColumn(value_col, F.coalesce(F.col(value_col), F.lit(fill)))
     return merged

@@ -23,14 +23,14 @@ from daymatrix.functions.names import with_feature
 from daymatrix.operators.demand import DEMAND_VARIABLES, SCOPES, clean_visits, demand_counts, prepare_visits
 from daymatrix.operators.diagnosis import LEVELS, code_daily, daily_total, diagnosis_counts, \
     grouped_long, prepare_diagnoses, raw_code_rows
-from daymatrix.operators.join import add_counts, combine_long, join_daily, join_daily_long, merge_wide
+from daymatrix.operators.join import combine_long, join_daily, join_daily_long, merge_wide
 from daymatrix.operators.dedup import latest_wins
-from daymatrix.operators.lookup import attach_region, unit_region_lookup
+from daymatrix.operators.lookup import unit_region_lookup
 from daymatrix.operators.quality import unknown_codes, unmatched_units
 from daymatrix.operators.reshape import bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import densify_long, densify_wide, fill_series, year_ranges
 from daymatrix.plans import incremental as inc
-from daymatrix.schema import COUNT_KEY, FEATURE_KEY
+from daymatrix.schema import COUNT_KEY
 from daymatrix.session import materialize, scratch_path
 from daymatrix.sources import fixtures as fx
 from daymatrix.sources import scan, store
@@ -91,10 +91,6 @@ def _diagnosis_cat_named(spark, sf):
     return _named(_diagnosis(spark, sf, ("CAT",)))
 
 
-def _as_day(df: DataFrame, col: str = "timestamp") -> DataFrame:
-    return df.withColumnRenamed(col, "day")
-
-
 # --- sources and scans (S1-S6, T2) ----------------------------------------------
 
 @job("scan_range")

@@ -497,7 +497,8 @@ def monthly_trend(spark, sf):
 def _staged_reduced(spark, sf) -> str:
     """Reduced diagnoses written as two overlapping staging batches."""
     path = scratch_path(spark, "staging")
-    for i, part in enumerate(_batched(_reduced(spark, sf), "DATA_VISITA"), start=1):
+    reduced = materialize(_reduced(spark, sf))  # computed once, cut into the two batches
+    for i, part in enumerate(_batched(reduced, "DATA_VISITA"), start=1):
         store.append_batch(part, path, batch_id=i)
     return path
 

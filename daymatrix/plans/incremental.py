@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymatrix.schema import COUNT_KEY
+from daymatrix.session import materialize
 from daymatrix.sources.store import BATCH_COL, append_batch, path_exists, read_staging
 
 PERIOD_COL = "period"
@@ -90,6 +91,7 @@ class OverlappingBatchError(ValueError):
 def add_disjoint_batch(counts: DataFrame, store_path: str, day_col: str = "day") -> int:
     """Append a batch of counts whose days are all new (I4)."""
     spark = counts.sparkSession
+    counts = materialize(counts)  # read by the overlap check and by the append
     if path_exists(spark, store_path):
         stored_days = read_staging(spark, store_path).select(day_col).distinct()
         clash = counts.select(day_col).distinct().join(stored_days, day_col, "left_semi")

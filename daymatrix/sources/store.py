@@ -46,12 +46,11 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
                  max_records_per_file: int = DEFAULT_RECORDS_PER_FILE) -> int:
     """Append ``df`` as one batch (S10, S11); returns its ``batch_id``.
 
-    Files hold at most ``max_records_per_file`` rows (X26). Empty input writes
-    nothing.
+    Files hold at most ``max_records_per_file`` rows (X26). An empty input
+    creates no ``batch_id`` partition, so no manifest row either; it is not
+    probed beforehand, which would compute the input twice.
     """
     spark = df.sparkSession
-    if df.isEmpty():
-        return -1
     bid = next_batch_id(spark, path) if batch_id is None else int(batch_id)
     (df.withColumn(BATCH_COL, F.lit(bid).cast("int"))
        .write.mode("append")

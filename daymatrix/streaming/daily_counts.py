@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymatrix.operators.lookup import small_side
 from daymatrix.sources.store import path_exists
 
 
@@ -40,7 +41,7 @@ def _upsert(sink_path: str, key_col: str):
         if path_exists(spark, sink_path):
             days = batch.select("day").distinct()
             stored = (spark.read.parquet(sink_path)
-                      .join(F.broadcast(days), "day", "left_semi")
+                      .join(small_side(days), "day", "left_semi")
                       .withColumn("__seq", F.lit(0)))
             merged = changed.unionByName(stored)
         # Latest wins per (day, key): the micro-batch value replaces the stored one.
@@ -55,11 +56,14 @@ def _upsert(sink_path: str, key_col: str):
 
 def run_daily_counts(spark: SparkSession, source: str, schema, sink_path: str, checkpoint_path: str,
                      ts_col: str = "ts", key_col: str = "event_type", lateness: str = "1 day",
-                     timeout_s: int = 600) -> DataFrame:
+                     timeout_s: int = 600, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream to the end of the available input (``availableNow``)
     and return the sink as a batch DataFrame. ``source`` is a folder of
     Parquet files or a glob over the table's files."""
-    stream = spark.readStream.schema(schema).parquet(source)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source)
     counts = daily_window_counts(stream, ts_col, key_col, lateness)
     q = (counts.writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint_path)

@@ -64,3 +64,14 @@ def test_unmatched_units_sample(spark):
     full = sorted(r.UP for r in unmatched_units(rows, fx.up_rs(spark, SF_SMALL)).collect())
     sample = unmatched_units_sample(rows, fx.up_rs(spark, SF_SMALL), n=2).collect()
     assert full and [r.UP for r in sample] == full[:2]
+
+
+def test_year_predicates():
+    from daymatrix.sources.jdbc import year_predicates
+
+    preds = year_predicates("DATA_VISITA", "1998-03-04", dt.date(2000, 1, 1), after="1998-06-30")
+    assert preds == [
+        "DATA_VISITA >= '1998-01-01' AND DATA_VISITA < '1999-01-01' AND DATA_VISITA > '1998-06-30'",
+        "DATA_VISITA >= '1999-01-01' AND DATA_VISITA < '2000-01-01' AND DATA_VISITA > '1998-06-30'",
+        "DATA_VISITA >= '2000-01-01' AND DATA_VISITA < '2001-01-01' AND DATA_VISITA > '1998-06-30'",
+    ]

@@ -14,14 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymatrix.functions.clean import REGION_DEFAULT, region_label
 from daymatrix.functions.icd import SELECTED_CODES
 from daymatrix.functions.names import with_feature
 from daymatrix.operators.demand import SCOPES, demand_counts, prepare_visits
 from daymatrix.operators.diagnosis import LEVELS, diagnosis_counts, prepare_diagnoses
 from daymatrix.operators.join import combine_long, join_daily
+from daymatrix.operators.lookup import small_side, unit_region_lookup
 from daymatrix.operators.reshape import bounded_values, to_wide
 from daymatrix.operators.timeseries import bounds, densify_wide
 from daymatrix.plans import incremental as inc
+from daymatrix.session import materialize
 from daymatrix.sources import store
 
 
@@ -78,21 +81,33 @@ def render_matrices(counts: DataFrame, out_dir: str, domain_prefix: str, start=N
 
 
 def demand_final(spark: SparkSession, visits: DataFrame, lookup: DataFrame, out_dir: str,
-                 start=None, end=None) -> dict[str, str]:
-    """Q1: visits -> counts at every scope -> densified CAT/RS matrices + long."""
+                 start=None, end=None, up_matrices: bool = False) -> dict[str, str]:
+    """Q1: visits -> counts at every scope -> long dataset, densified CAT/RS
+    matrices and, per region, the UP matrices."""
     counts = demand_counts(prepare_visits(visits, lookup), SCOPES)
-    return render_matrices(counts, out_dir, "demand", start, end)
+    outputs = render_matrices(counts, out_dir, "demand", start, end)
+    if up_matrices:
+        stored = spark.read.parquet(outputs["demand_long"])
+        for region, path in render_up_by_region(stored, lookup, out_dir, "demand", start, end).items():
+            outputs[f"demand_up[{region}]"] = path
+    return outputs
 
 
 def diagnosis_final(spark: SparkSession, diagnoses: DataFrame, lookup: DataFrame, out_dir: str,
                     selected_codes: Sequence[str] | DataFrame = SELECTED_CODES,
-                    start=None, end=None) -> dict[str, str]:
+                    start=None, end=None, up_matrices: bool = False) -> dict[str, str]:
     """Q2: diagnoses -> reduced -> all-level counts at every scope -> outputs.
 
     The nine grouped-long datasets of the reference (level x CAT/RS/UP) are
-    the ``diagnosis_long`` dataset's ``scope=/variable=`` partitions."""
+    the ``diagnosis_long`` dataset's ``scope=/variable=`` partitions; the
+    all-level matrices are rendered for CAT, RS and (per region) UP."""
     counts = diagnosis_counts(prepare_diagnoses(diagnoses, lookup), SCOPES, LEVELS, True, selected_codes)
-    return render_matrices(counts, out_dir, "diagnosis", start, end)
+    outputs = render_matrices(counts, out_dir, "diagnosis", start, end)
+    if up_matrices:
+        stored = spark.read.parquet(outputs["diagnosis_long"])
+        for region, path in render_up_by_region(stored, lookup, out_dir, "diagnosis", start, end).items():
+            outputs[f"diagnosis_up[{region}]"] = path
+    return outputs
 
 
 def joined_final(spark: SparkSession, demand_counts_df: DataFrame, diagnosis_counts_df: DataFrame,
@@ -125,3 +140,38 @@ def build_all(spark: SparkSession, visits: DataFrame, diagnoses: DataFrame, look
     dia = spark.read.parquet(outputs["diagnosis_long"])
     outputs["joined"] = joined_final(spark, dem, dia, f"{out_dir}/joined")
     return outputs
+
+
+def render_up_by_region(counts: DataFrame, lookup: DataFrame, out_dir: str, domain_prefix: str,
+                        start=None, end=None, max_regions: int = 1_000) -> dict[str, str]:
+    """UP-scope matrices rendered one region at a time (I8/I9 UP outputs).
+
+    A single wide UP matrix has units x values columns; split by region each
+    file stays within the pivot cap (a region over the cap raises rather than
+    truncating). Units get their region from the lookup (no region ->
+    ``RS:SENSEESPECIFICAR_SE``). The loop is over the bounded list of regions;
+    each region's pivot is one distributed job.
+    """
+    spark = counts.sparkSession
+    lk = unit_region_lookup(lookup).select(F.col("UP").alias("__unit"), region_label("RS").alias("__region"))
+    up = (counts.where(F.col("scope") == "UP")
+          .join(small_side(lk), F.col("group_value") == F.col("__unit"), "left")
+          .withColumn("__region", F.coalesce("__region", F.lit(REGION_DEFAULT))))
+    up = materialize(_named_with_region(up))
+    lo, hi = bounds(up, "day")
+    lo, hi = (start or lo), (end or hi)
+    outputs = {}
+    for region in bounded_values(up, "__region", max_regions):
+        named = up.where(F.col("__region") == region).drop("__region")
+        wide = to_wide(named, features=bounded_values(named, "feature"))
+        if lo is not None and hi is not None:
+            wide = densify_wide(wide, "timestamp", lo, hi)
+        safe = "".join(ch if ch.isalnum() or ch in "-_" else "_" for ch in region)
+        path = f"{out_dir}/{domain_prefix}_up/region={safe}"
+        store.save_matrix(wide, path)
+        outputs[region] = f"{path}.parquet"
+    return outputs
+
+
+def _named_with_region(up: DataFrame) -> DataFrame:
+    return with_feature(up).select("day", "feature", "n", "__region")

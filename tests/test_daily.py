@@ -96,3 +96,18 @@ def test_matrix_csv_bad_cells(spark):
         .write.option("header", True).csv(path)
     row = store.load_matrix_csv(spark, path).first()
     assert (row.timestamp, row.a, row.b) == (dt.date(2024, 1, 1), 3, None)
+
+
+def test_up_matrices_by_region(spark):
+    out_dir = scratch_path(spark, "t-up")
+    lookup = fx.up_rs(spark, SF_SMALL)
+    counts = demand_counts(prepare_visits(fx.visits(spark, SF_SMALL), lookup))
+    paths = daily.render_up_by_region(counts, lookup, out_dir, "demand")
+    assert "RS:SENSEESPECIFICAR_SE" in paths
+    total = 0
+    for region, path in paths.items():
+        wide = spark.read.parquet(path)
+        cols = [c for c in wide.columns if c.startswith("demanda__TOTAL_UP_")]
+        total += wide.select(sum(F.col(f"`{c}`") for c in cols).alias("s")).agg(F.sum("s")).first()[0]
+    visits = counts.where("scope = 'CAT' AND variable = 'TOTAL'").agg(F.sum("n")).first()[0]
+    assert total == visits

@@ -113,11 +113,14 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, retentio
 
 
 def save_final(df: DataFrame, path: str, compression: str = "snappy",
-               partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """Final store write (S14, S15). With ``partition_by`` and the session's
-    dynamic partition overwrite only the partitions present in ``df`` are
-    replaced."""
-    w = df.write.mode(mode).option("compression", compression)
+               partition_by: Sequence[str] | None = None, mode: str = "overwrite",
+               replace_partitions_only: bool = False) -> None:
+    """Final store write (S14, S15). An overwrite replaces the whole dataset
+    (static mode, whatever the session default), so partitions absent from
+    ``df`` do not survive from an earlier run; ``replace_partitions_only``
+    switches to dynamic mode, replacing just the partitions present in ``df``."""
+    w = (df.write.mode(mode).option("compression", compression)
+         .option("partitionOverwriteMode", "dynamic" if replace_partitions_only else "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -91,3 +91,13 @@ def test_narrow_types(spark):
     out = store.narrow_types(df)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["tinyint", "smallint", "int", "float"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, 300, 70000, 1.5), (2, 5, 1, 2.5)]
+
+
+def test_final_overwrite_replaces_everything(spark):
+    path = scratch_path(spark, "t-final")
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "k STRING, n INT")
+    store.save_final(a, path, partition_by=["k"])
+    store.save_final(a.where("k = 'x'").withColumn("n", F.lit(5)), path, partition_by=["k"])
+    assert sorted((r.k, r.n) for r in spark.read.parquet(path).collect()) == [("x", 5)]
+    store.save_final(a.where("k = 'y'"), path, partition_by=["k"], replace_partitions_only=True)
+    assert sorted((r.k, r.n) for r in spark.read.parquet(path).collect()) == [("x", 5), ("y", 2)]

@@ -119,27 +119,32 @@ def fill_series(long: DataFrame, keys: Sequence[str], day_col: str = "day", valu
     linear by row position between the surrounding non-nulls, trailing nulls
     take the last value, leading nulls stay; ``None``: no fill. Then the
     residual nulls become 0 when ``zero_fill`` (the reference always does).
+
+    Every window frame grows from the partition start to the current row,
+    which Spark evaluates incrementally (O(n) per feature). "Next non-null"
+    is the same frame over the descending day order: a frame running to the
+    partition end would be re-evaluated for every row (O(n^2) per feature).
     """
     if method not in FILL_METHODS:
         raise ValueError(f"unknown fill method {method!r}")
-    w = Window.partitionBy(*keys).orderBy(day_col)
-    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    asc = Window.partitionBy(*keys).orderBy(F.col(day_col).asc())
+    desc = Window.partitionBy(*keys).orderBy(F.col(day_col).desc())
+    so_far = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_end = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     v = F.col(value_col)
     if method == "ffill":
-        filled = F.last(v, ignorenulls=True).over(before)
+        filled = F.last(v, ignorenulls=True).over(so_far)
     elif method == "bfill":
-        filled = F.first(v, ignorenulls=True).over(after)
+        filled = F.last(v, ignorenulls=True).over(from_end)
     elif method == "interpolate":
-        pos = F.row_number().over(w)
-        out = long.withColumn("__pos", pos)
+        out = long.withColumn("__pos", F.row_number().over(asc))
         known_pos = F.when(v.isNotNull(), F.col("__pos"))
         out = out.select(
             "*",
-            F.last(v, ignorenulls=True).over(before).cast("double").alias("__pv"),
-            F.last(known_pos, ignorenulls=True).over(before).alias("__pp"),
-            F.first(v, ignorenulls=True).over(after).cast("double").alias("__nv"),
-            F.first(known_pos, ignorenulls=True).over(after).alias("__np"),
+            F.last(v, ignorenulls=True).over(so_far).cast("double").alias("__pv"),
+            F.last(known_pos, ignorenulls=True).over(so_far).alias("__pp"),
+            F.last(v, ignorenulls=True).over(from_end).cast("double").alias("__nv"),
+            F.last(known_pos, ignorenulls=True).over(from_end).alias("__np"),
         )
         slope = (F.col("__nv") - F.col("__pv")) / (F.col("__np") - F.col("__pp")).cast("double")
         interp = (

@@ -62,3 +62,10 @@ def test_fill_windows_are_partitioned(spark):
         if "Window [" in line:
             assert "[feature" in line.split("],")[-2] or "feature#" in line
     assert "SinglePartition" not in plan
+
+
+def test_fill_frames_are_incremental(spark):
+    """No frame runs to the partition end (Spark re-evaluates those per row)."""
+    for job in (catalog.fill_backward, catalog.fill_interpolate, catalog.joined_daily):
+        plan = _plan(job(spark, SF_SMALL)).lower()
+        assert "unboundedfollowing" not in plan

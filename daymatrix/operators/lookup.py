@@ -8,6 +8,8 @@ which stops reading as soon as the bound is exceeded.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,17 @@ from daymatrix.functions.clean import pad_unit_code, strip
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_PROBED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows. The answer is kept for the
+    life of this DataFrame object, so a lookup shared by several joins of one
+    job is probed once."""
+    seen = _PROBED.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -63,32 +63,38 @@ def job(name: str):
 
 # --- shared building blocks ---------------------------------------------------
 
-def _prepared(spark, sf):
-    return prepare_visits(fx.visits(spark, sf), fx.up_rs(spark, sf))
+def _prepared(spark, sf, lookup=None):
+    return prepare_visits(fx.visits(spark, sf), lookup if lookup is not None else fx.up_rs(spark, sf))
 
 
-def _reduced(spark, sf):
-    return prepare_diagnoses(fx.diagnoses(spark, sf), fx.up_rs(spark, sf))
+def _reduced(spark, sf, lookup=None):
+    return prepare_diagnoses(fx.diagnoses(spark, sf), lookup if lookup is not None else fx.up_rs(spark, sf))
 
 
-def _demand(spark, sf, scopes=SCOPES, variables=DEMAND_VARIABLES, total=True):
-    return demand_counts(_prepared(spark, sf), scopes, variables, total)
+def _demand(spark, sf, scopes=SCOPES, variables=DEMAND_VARIABLES, total=True, lookup=None):
+    return demand_counts(_prepared(spark, sf, lookup), scopes, variables, total)
 
 
-def _diagnosis(spark, sf, scopes=SCOPES, levels=LEVELS, total=True, selected=SELECTED_CODES):
-    return diagnosis_counts(_reduced(spark, sf), scopes, levels, total, selected)
+def _diagnosis(spark, sf, scopes=SCOPES, levels=LEVELS, total=True, selected=SELECTED_CODES, lookup=None):
+    return diagnosis_counts(_reduced(spark, sf, lookup), scopes, levels, total, selected)
 
 
 def _named(long: DataFrame) -> DataFrame:
     return with_feature(long).select("day", "feature", "n")
 
 
-def _demand_cat_named(spark, sf):
-    return _named(_demand(spark, sf, ("CAT",)))
+def _demand_cat_named(spark, sf, lookup=None):
+    return _named(_demand(spark, sf, ("CAT",), lookup=lookup))
 
 
-def _diagnosis_cat_named(spark, sf):
-    return _named(_diagnosis(spark, sf, ("CAT",)))
+def _diagnosis_cat_named(spark, sf, lookup=None):
+    return _named(_diagnosis(spark, sf, ("CAT",), lookup=lookup))
+
+
+def _both_cat_named(spark, sf):
+    """Demand and diagnosis CAT counts sharing one lookup (probed once)."""
+    lookup = fx.up_rs(spark, sf)
+    return _demand_cat_named(spark, sf, lookup), _diagnosis_cat_named(spark, sf, lookup)
 
 
 # --- sources and scans (S1-S6, T2) ----------------------------------------------
@@ -434,20 +440,20 @@ def fill_interpolate(spark, sf):
 # --- joins (J5-J9, Q3, Q4, F7, A15) -------------------------------------------------
 
 def _joined_long(spark, sf, fill="ffill"):
-    return join_daily_long(_demand_cat_named(spark, sf), _diagnosis_cat_named(spark, sf),
-                           ("DEMAND", "DIAGNOSIS"), fill)
+    return join_daily_long(*_both_cat_named(spark, sf), ("DEMAND", "DIAGNOSIS"), fill)
 
 
 @job("joined_daily")
 def joined_daily(spark, sf):
-    return join_daily(_demand_cat_named(spark, sf), _diagnosis_cat_named(spark, sf))
+    return join_daily(*_both_cat_named(spark, sf))
 
 
 @job("historical_all")
 def historical_all(spark, sf):
     """The six matrices (demand and diagnosis x CAT/RS/UP) combined, in long
     form: one row per non-zero cell (J6)."""
-    return combine_long([_named(_demand(spark, sf)), _named(_diagnosis(spark, sf))])
+    lookup = fx.up_rs(spark, sf)
+    return combine_long([_named(_demand(spark, sf, lookup=lookup)), _named(_diagnosis(spark, sf, lookup=lookup))])
 
 
 def _batched(df: DataFrame, day_col: str) -> tuple[DataFrame, DataFrame]:
@@ -467,15 +473,19 @@ def _wide_batches(spark, sf, long_fn) -> DataFrame:
 
 @job("merge_finals")
 def merge_finals(spark, sf):
-    demand = _wide_batches(spark, sf, _demand_cat_named)
-    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)))
+    lookup = fx.up_rs(spark, sf)
+    demand = _wide_batches(spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
+    diag = _wide_batches(spark, sf, lambda s, d: _named(
+        _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
     return merge_wide(demand, diag, ["timestamp"], None, "DIAG", store.BATCH_COL)
 
 
 @job("merge_staging")
 def merge_staging(spark, sf):
-    demand = _wide_batches(spark, sf, _demand_cat_named)
-    diag = _wide_batches(spark, sf, lambda s, d: _named(_diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None)))
+    lookup = fx.up_rs(spark, sf)
+    demand = _wide_batches(spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
+    diag = _wide_batches(spark, sf, lambda s, d: _named(
+        _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
     return merge_wide(demand, diag, ["timestamp"], "DEMAND", "DIAGNOSIS", store.BATCH_COL)
 
 
@@ -549,8 +559,9 @@ def retention_keep(spark, sf):
 @job("last_date_in_finals")
 def last_date_in_finals(spark, sf):
     demand_path, diag_path = scratch_path(spark, "final-demand"), scratch_path(spark, "final-diagnosis")
-    store.save_final(to_wide(_demand_cat_named(spark, sf)), demand_path)
-    store.save_final(to_wide(_diagnosis_cat_named(spark, sf)), diag_path)
+    demand, diagnosis = _both_cat_named(spark, sf)
+    store.save_final(to_wide(demand), demand_path)
+    store.save_final(to_wide(diagnosis), diag_path)
     days = spark.read.parquet(demand_path).select("timestamp").unionByName(
         spark.read.parquet(diag_path).select("timestamp"))
     ok = days.where(F.col("timestamp").between(F.lit(dt.date(1992, 1, 1)), F.lit(AS_OF + dt.timedelta(days=1))))

@@ -36,22 +36,33 @@ def _named(long: DataFrame) -> DataFrame:
     return with_feature(long).select("day", "feature", "n")
 
 
+def _record(spark: SparkSession, info: inc.RunInfo, state_path: str | None, run_at: dt.datetime | None):
+    if state_path is not None and info.hwm_after is not None:
+        store.save_state(spark, state_path, info.hwm_after, run_at)
+    return info
+
+
 def run_demand_increment(visits: DataFrame, lookup: DataFrame, store_path: str,
-                         lookback_days: int = 0, upto: dt.date | None = None) -> inc.RunInfo:
-    """Recount the days from the stored watermark on and replace them."""
-    return inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
+                         lookback_days: int = 0, upto: dt.date | None = None,
+                         state_path: str | None = None, run_at: dt.datetime | None = None) -> inc.RunInfo:
+    """Recount the days from the stored watermark on and replace them;
+    optionally record ``(last_loaded_date, updated_at)`` (I3, clock given)."""
+    info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
                            store_path, lookback_days, upto)
+    return _record(visits.sparkSession, info, state_path, run_at)
 
 
 def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path: str,
                             lookback_days: int = 0, upto: dt.date | None = None,
                             selected_codes: Sequence[str] | DataFrame = SELECTED_CODES,
-                            date_col: str = "data_visita") -> inc.RunInfo:
+                            date_col: str = "data_visita", state_path: str | None = None,
+                            run_at: dt.datetime | None = None) -> inc.RunInfo:
     """As I1 for diagnoses (all levels; ICD10_3 restricted to the selection)."""
-    return inc.run_recount(
+    info = inc.run_recount(
         diagnoses, date_col,
         lambda rows: diagnosis_counts(prepare_diagnoses(rows, lookup), selected_codes=selected_codes),
         store_path, lookback_days, upto)
+    return _record(diagnoses.sparkSession, info, state_path, run_at)
 
 
 def render_matrices(counts: DataFrame, out_dir: str, domain_prefix: str, start=None, end=None,

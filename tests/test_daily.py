@@ -111,3 +111,19 @@ def test_up_matrices_by_region(spark):
         total += wide.select(sum(F.col(f"`{c}`") for c in cols).alias("s")).agg(F.sum("s")).first()[0]
     visits = counts.where("scope = 'CAT' AND variable = 'TOTAL'").agg(F.sum("n")).first()[0]
     assert total == visits
+
+
+def test_increments_with_state(spark):
+    import datetime as dt
+
+    store_path, state_path = scratch_path(spark, "t-inc-store"), scratch_path(spark, "t-inc-state")
+    v, lk = fx.visits(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)
+    first = daily.run_demand_increment(v, lk, store_path, 30, upto=dt.date(1999, 1, 1), state_path=state_path,
+                                       run_at=dt.datetime(1999, 1, 1, 6))
+    assert first.hwm_before is None and first.hwm_after < dt.date(1999, 1, 1)
+    assert store.load_state(spark, state_path) == first.hwm_after
+    second = daily.run_demand_increment(v, lk, store_path, 30, state_path=state_path)
+    assert second.read_from == (first.hwm_after - dt.timedelta(days=29)).replace(day=1)
+    full = demand_counts(prepare_visits(v, lk))
+    stored = spark.read.parquet(store_path).drop("period")
+    assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0

@@ -128,7 +128,8 @@ def diagnosis_counts(reduced: DataFrame, scopes: Sequence[str] = SCOPES,
 
     ``selected_codes`` restricts the ``ICD10_3`` level only (the all-level
     matrices of the reference); totals, chapters and subchapters always use
-    every code. One grouping-sets aggregation serves every scope and level.
+    every code. All levels are stacked and counted together, at the finest
+    requested scope, then rolled up (see ``demand.scoped_counts``).
     """
     base = reduced.withColumnRenamed("DATA_VISITA", "day")
     if selected_codes is not None and "ICD10_3" in levels:

@@ -40,6 +40,13 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def has_text(c: Column | str) -> Column:
+    """Non-null and not blank after stripping: exactly when ``pad_unit_code``
+    and ``blank_to_null`` give a value. One trim per row, so it stays cheap
+    when Catalyst pushes it down to the scan."""
+    return strip(c) != F.lit("")
+
+
 def clean_label(c: Column | str) -> Column:
     """null -> NA, strip, '' -> NA."""
     return F.coalesce(blank_to_null(c), F.lit(NA))

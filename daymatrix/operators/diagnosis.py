@@ -169,11 +169,11 @@ def raw_code_rows(raw: DataFrame, lookup: DataFrame | None = None, date_col: str
     optional raw-equality filter on a code list (F3, X19), region with
     ``UNKNOWN`` for unmatched units (J3)."""
     canon = canonical_diagnoses(raw, date_col, unit_col, code_col)
-    rows = canon.select(
+    rows = canon.where(day_of(canon, "DATA_VISITA").isNotNull() & F.col("DIAG_CODE").isNotNull()).select(
         day_of(canon, "DATA_VISITA").alias("day"),
         pad_unit_code("UP").alias("UP"),
         strip("DIAG_CODE").alias("DIAG_CODE"),
-    ).where(F.col("day").isNotNull() & F.col("DIAG_CODE").isNotNull())
+    )
     if selected_codes is not None:
         if isinstance(selected_codes, DataFrame):
             sel = selected_codes.select(strip(F.col(selected_codes.columns[0])).alias("__code")).distinct()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.functions.clean import day_of, pad_unit_code
+from daymatrix.functions.clean import day_of, has_text
 from daymatrix.functions.icd import CHAPTER_RANGES, icd_normalize, icd_ordinal, range_map, ranges_frame
 from daymatrix.operators.diagnosis import canonical_diagnoses
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, small_side, unit_region_lookup
@@ -27,7 +27,7 @@ def unknown_codes(raw: DataFrame, chapter_ranges=CHAPTER_RANGES, limit: int | No
     canon = canonical_diagnoses(raw, **cols)
     # Rows with a day and a unit; the codes are de-duplicated before they are
     # parsed, so the parse runs once per distinct code, not once per row.
-    codes = (canon.where(day_of(canon, "DATA_VISITA").isNotNull() & pad_unit_code("UP").isNotNull())
+    codes = (canon.where(day_of(canon, "DATA_VISITA").isNotNull() & has_text("UP"))
              .select("DIAG_CODE").distinct())
     rows = codes.select("DIAG_CODE", icd_normalize("DIAG_CODE").alias("ICD10_CODE")) \
         .where(F.col("ICD10_CODE").isNotNull()) \

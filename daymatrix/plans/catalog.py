@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymatrix.functions.clean import clean_label, day_of, pad_unit_code, region_label, visit_class, \
+from daymatrix.functions.clean import clean_label, day_of, has_text, pad_unit_code, region_label, visit_class, \
     visit_class_group
 from daymatrix.functions.icd import SELECTED_CODES, icd_code3_prefix, icd_code3_search, icd_normalize, \
     icd_ordinal
@@ -632,7 +632,8 @@ def unknown_codes_report(spark, sf):
 
 @job("unknown_units")
 def unknown_units(spark, sf):
-    rows = raw_code_rows(fx.diagnoses(spark, sf)).where(F.col("UP").isNotNull())
+    raw = fx.diagnoses(spark, sf)
+    rows = raw_code_rows(raw.where(has_text("up_c")))  # rows with a unit
     return unmatched_units(rows, fx.up_rs(spark, sf))
 
 

@@ -19,7 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,12 +46,9 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    # Runtime settings also apply when getOrCreate returned an existing session.
-    for key in (
-        "spark.sql.session.timeZone",
-        "spark.sql.sources.partitionOverwriteMode",
-    ):
-        spark.conf.set(key, settings[key])
+    # The time zone also applies when getOrCreate returned an existing session:
+    # event-time windows and TIMESTAMP_NTZ -> TIMESTAMP casts depend on it.
+    spark.conf.set("spark.sql.session.timeZone", settings["spark.sql.session.timeZone"])
     checkpoint_root(spark)
     return spark
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,9 +145,17 @@ def historical_combined(spark: SparkSession, long_paths: Sequence[str], out_path
 def build_all(spark: SparkSession, visits: DataFrame, diagnoses: DataFrame, lookup: DataFrame,
               out_dir: str) -> dict[str, str]:
     """The whole daily build: demand and diagnosis outputs (Q1, Q2), then the
-    joined matrix (Q3) from the stored long counts."""
-    outputs = demand_final(spark, visits, lookup, out_dir)
-    outputs.update(diagnosis_final(spark, diagnoses, lookup, out_dir))
+    joined matrix (Q3) from the stored long counts.
+
+    The two domains are independent until the join, so their jobs are
+    submitted from two driver threads and run side by side on the cluster
+    (Spark schedules concurrent jobs of one application); each one's small
+    jobs fill the gaps of the other.
+    """
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        demand = pool.submit(demand_final, spark, visits, lookup, out_dir)
+        diagnosis = pool.submit(diagnosis_final, spark, diagnoses, lookup, out_dir)
+        outputs = {**demand.result(), **diagnosis.result()}
     dem = spark.read.parquet(outputs["demand_long"])
     dia = spark.read.parquet(outputs["diagnosis_long"])
     outputs["joined"] = joined_final(spark, dem, dia, f"{out_dir}/joined")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from daymatrix.operators.dedup import latest_wins
 from daymatrix.operators.reshape import PIVOT_CAP, bounded_values, prefix_columns, to_wide
 from daymatrix.operators.timeseries import _as_date, bounds, day_sequence, fill_series
-from daymatrix.session import materialize
+from daymatrix.session import materialize_all
 
 
 def join_daily_long(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("DEMAND", "DIAGNOSIS"),
@@ -36,7 +36,7 @@ def join_daily_long(left: DataFrame, right: DataFrame, prefixes: tuple[str, str]
 def _join_daily(left, right, prefixes, fill_method, feature, day, value, densify_sides):
     # Each side is an aggregate read by three jobs (bounds, names, result):
     # compute it once.
-    left, right = materialize(left), materialize(right)
+    left, right = materialize_all(left, right)
     lo_l, hi_l = bounds(left, day)
     lo_r, hi_r = bounds(right, day)
     if lo_l is None or lo_r is None:

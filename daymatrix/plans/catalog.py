@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -471,21 +472,26 @@ def _wide_batches(spark, sf, long_fn) -> DataFrame:
     return store.read_staging(spark, path)
 
 
+def _wide_staging_pair(spark, sf):
+    """Demand CAT and diagnosis chapter wide batches, the two sides built
+    from separate driver threads (independent jobs)."""
+    lookup = fx.up_rs(spark, sf)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        demand = pool.submit(_wide_batches, spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
+        diag = pool.submit(_wide_batches, spark, sf, lambda s, d: _named(
+            _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
+        return demand.result(), diag.result()
+
+
 @job("merge_finals")
 def merge_finals(spark, sf):
-    lookup = fx.up_rs(spark, sf)
-    demand = _wide_batches(spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
-    diag = _wide_batches(spark, sf, lambda s, d: _named(
-        _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
+    demand, diag = _wide_staging_pair(spark, sf)
     return merge_wide(demand, diag, ["timestamp"], None, "DIAG", store.BATCH_COL)
 
 
 @job("merge_staging")
 def merge_staging(spark, sf):
-    lookup = fx.up_rs(spark, sf)
-    demand = _wide_batches(spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
-    diag = _wide_batches(spark, sf, lambda s, d: _named(
-        _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
+    demand, diag = _wide_staging_pair(spark, sf)
     return merge_wide(demand, diag, ["timestamp"], "DEMAND", "DIAGNOSIS", store.BATCH_COL)
 
 

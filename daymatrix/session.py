@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,3 +92,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_all(*dfs: DataFrame) -> list[DataFrame]:
+    """:func:`materialize` several independent frames, their jobs submitted
+    from separate driver threads so they run side by side."""
+    if len(dfs) < 2:
+        return [materialize(d) for d in dfs]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(materialize, dfs))

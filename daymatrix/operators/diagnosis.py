@@ -109,18 +109,6 @@ def prepare_diagnoses(raw: DataFrame, lookup: DataFrame, date_col: str = "data_v
                       F.col("n").cast("long").alias("n"))
 
 
-def _code_filter(df: DataFrame, codes: Sequence[str] | DataFrame | None) -> DataFrame:
-    """Rows whose 3-char code is selected (F2): ``isin`` for a list, a
-    broadcast left-semi join for a code table (the code space bounds it)."""
-    if codes is None:
-        return df
-    if isinstance(codes, DataFrame):
-        sel = codes.select(F.upper(strip(F.col(codes.columns[0]))).alias("__code")).distinct()
-        return df.join(small_side(sel), F.col("ICD10_3") == F.col("__code"), "left_semi")
-    clean = sorted({str(c).strip().upper() for c in codes if c is not None})
-    return df.where(F.col("ICD10_3").isin(clean))
-
-
 def diagnosis_counts(reduced: DataFrame, scopes: Sequence[str] = SCOPES,
                      levels: Sequence[str] = LEVELS, include_total: bool = True,
                      selected_codes: Sequence[str] | DataFrame | None = None) -> DataFrame:

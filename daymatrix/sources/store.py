@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymatrix.functions.clean import to_count
 from daymatrix.operators.dedup import latest_wins
 
 BATCH_COL = "batch_id"
@@ -182,7 +183,7 @@ def load_matrix_csv(spark: SparkSession, path: str, key: str = "timestamp", labe
     raw = spark.read.option("header", True).csv(path)
     return raw.select(
         F.to_date(F.col(label)).alias(key),
-        *[F.col(f"`{c}`").try_cast("bigint").alias(c) for c in raw.columns if c != label],
+        *[to_count(F.col(f"`{c}`")).alias(c) for c in raw.columns if c != label],
     ).orderBy(key)
 
 

@@ -127,3 +127,25 @@ def test_increments_with_state(spark):
     full = demand_counts(prepare_visits(v, lk))
     stored = spark.read.parquet(store_path).drop("period")
     assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
+
+
+def test_diagnosis_increment_matches_full_count(spark):
+    import datetime as dt
+
+    from daymatrix.functions.icd import SELECTED_CODES
+    from daymatrix.operators.diagnosis import diagnosis_counts, prepare_diagnoses
+
+    path = scratch_path(spark, "t-dx-inc")
+    dx, lk = fx.diagnoses(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)
+    daily.run_diagnosis_increment(dx, lk, path, 30, upto=dt.date(1999, 1, 1))
+    daily.run_diagnosis_increment(dx, lk, path, 30)
+    full = diagnosis_counts(prepare_diagnoses(dx, lk), selected_codes=SELECTED_CODES)
+    stored = spark.read.parquet(path).drop("period")
+    assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
+
+
+def test_empty_side_guard(spark):
+    from daymatrix.operators.quality import both_present
+
+    a = spark.createDataFrame([(1,)], "x INT")
+    assert both_present(a, a) and not both_present(a, a.where("false"))

@@ -69,3 +69,15 @@ def test_fill_frames_are_incremental(spark):
     for job in (catalog.fill_backward, catalog.fill_interpolate, catalog.joined_daily):
         plan = _plan(job(spark, SF_SMALL)).lower()
         assert "unboundedfollowing" not in plan
+
+
+def test_recount_bound_is_pushed_to_the_scan(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from daymatrix.plans.incremental import _raw_bound
+
+    v = fx.visits(spark, SF_SMALL)
+    rows = v.where(F.col("DATA_VISITA") >= _raw_bound(v, "DATA_VISITA", dt.date(1998, 12, 1)))
+    assert "GreaterThanOrEqual(o_orderdate,1998-12-01T00:00)" in _plan(rows)

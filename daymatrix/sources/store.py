@@ -20,7 +20,10 @@ from daymatrix.functions.clean import to_count
 from daymatrix.operators.dedup import latest_wins
 
 BATCH_COL = "batch_id"
-DEFAULT_RECORDS_PER_FILE = 50_000
+# Rows per staging file. Small chunks only bound a single process's memory;
+# on a cluster they would make many small files, so the default keeps files
+# in the order of 100 MB for count rows. It stays a parameter.
+DEFAULT_RECORDS_PER_FILE = 2_000_000
 
 
 def _fs_path(spark: SparkSession, path: str):

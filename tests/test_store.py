@@ -101,3 +101,16 @@ def test_final_overwrite_replaces_everything(spark):
     assert sorted((r.k, r.n) for r in spark.read.parquet(path).collect()) == [("x", 5)]
     store.save_final(a.where("k = 'y'"), path, partition_by=["k"], replace_partitions_only=True)
     assert sorted((r.k, r.n) for r in spark.read.parquet(path).collect()) == [("x", 5), ("y", 2)]
+
+
+def test_max_records_per_file_is_strict(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = scratch_path(spark, "t-files")
+    df = spark.range(10).coalesce(1).withColumn("n", F.col("id"))
+    bid = store.append_batch(df, path, max_records_per_file=3)
+    files = glob.glob(f"{path}/batch_id={bid}/*.parquet".replace("file:", ""))
+    sizes = sorted(pq.ParquetFile(f).metadata.num_rows for f in files)
+    assert sum(sizes) == 10 and max(sizes) <= 3 and len(files) == 4

@@ -131,14 +131,19 @@ def joined_final(spark: SparkSession, demand_counts_df: DataFrame, diagnosis_cou
     return out_path
 
 
-def historical_combined(spark: SparkSession, long_paths: Sequence[str], out_path: str) -> str:
+def historical_combined(spark: SparkSession, long_paths: Sequence[str], out_path: str,
+                        wide: bool = False) -> str:
     """Every stored long dataset combined into one feature table;
-    any missing input is an error, not a silent gap."""
+    any missing input is an error, not a silent gap. ``wide=True`` writes the
+    zero-filled wide rendering instead (one row per day, sorted), which raises
+    past the pivot cap rather than dropping columns."""
     missing = [p for p in long_paths if not store.path_exists(spark, p)]
     if missing:
         raise MissingInputError(f"missing inputs: {missing}")
-    frames = [_named(spark.read.parquet(p)) for p in long_paths]
-    store.save_final(combine_long(frames), out_path)
+    combined = combine_long([_named(spark.read.parquet(p)) for p in long_paths])
+    if wide:
+        combined = to_wide(combined).orderBy("timestamp")
+    store.save_final(combined, out_path)
     return out_path
 
 

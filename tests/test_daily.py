@@ -149,3 +149,12 @@ def test_empty_side_guard(spark):
 
     a = spark.createDataFrame([(1,)], "x INT")
     assert both_present(a, a) and not both_present(a, a.where("false"))
+
+
+def test_historical_wide(spark):
+    out_dir = scratch_path(spark, "t-hist-wide")
+    d = daily.demand_final(spark, fx.visits(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL), out_dir)
+    wide = spark.read.parquet(daily.historical_combined(spark, [d["demand_long"]], f"{out_dir}/h", wide=True))
+    cat = spark.read.parquet(d["demand_cat"])
+    assert "demanda__TOTAL_CAT" in wide.columns and wide.count() <= cat.count()
+    assert wide.where(F.col("`demanda__TOTAL_CAT`").isNull()).count() == 0

@@ -57,8 +57,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs, tests) a fresh local folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only in local mode, when
+    it is unset (local runs, tests), a fresh local folder is created and
+    registered; on a cluster an unset setting is an error.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
@@ -66,6 +67,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not shared by the executors.
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)"
+            )
         configured = tempfile.mkdtemp(prefix="daymatrix-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

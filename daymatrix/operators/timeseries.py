@@ -23,7 +23,7 @@ FILL_METHODS = ("ffill", "bfill", "interpolate", None)
 
 def bounds(df: DataFrame, day_col: str = "day") -> tuple[dt.date | None, dt.date | None]:
     """``(min, max)`` of a day column: two scalars to the driver."""
-    row = df.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi")).first()
+    row = df.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi")).collect()[0]
     return (row["lo"], row["hi"]) if row is not None else (None, None)
 
 

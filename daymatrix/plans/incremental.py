@@ -42,7 +42,7 @@ class RunInfo:
 def stored_hwm(spark: SparkSession, path: str, day_col: str = "day") -> dt.date | None:
     if not path_exists(spark, path):
         return None
-    row = spark.read.parquet(path).agg(F.max(day_col).alias("m")).first()
+    row = spark.read.parquet(path).agg(F.max(day_col).alias("m")).collect()[0]
     return None if row is None else row["m"]
 
 

@@ -42,7 +42,7 @@ def next_batch_id(spark: SparkSession, path: str) -> int:
     """One more than the greatest stored batch id (1 for a new store)."""
     if not path_exists(spark, path):
         return 1
-    row = spark.read.parquet(path).agg(F.max(BATCH_COL).alias("m")).first()
+    row = spark.read.parquet(path).agg(F.max(BATCH_COL).alias("m")).collect()[0]
     return 1 if row is None or row["m"] is None else int(row["m"]) + 1
 
 
@@ -172,7 +172,7 @@ def save_state(spark: SparkSession, path: str, last_loaded_date, updated_at) ->
 
 def load_state(spark: SparkSession, path: str) -> dt.date | None:
     """The stored watermark, or ``None`` when no state was written."""
-    row = load_final(spark, path, STATE_SCHEMA).agg(F.max("last_loaded_date").alias("d")).first()
+    row = load_final(spark, path, STATE_SCHEMA).agg(F.max("last_loaded_date").alias("d")).collect()[0]
     return None if row is None else row["d"]
 
 

@@ -29,7 +29,7 @@ from daymatrix.operators.dedup import latest_wins
 from daymatrix.operators.lookup import unit_region_lookup
 from daymatrix.operators.quality import unknown_codes, unmatched_units
 from daymatrix.operators.reshape import bounded_values, to_long, to_wide
-from daymatrix.operators.timeseries import densify_long, densify_wide, fill_series, year_ranges
+from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, fill_series, year_ranges
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY
 from daymatrix.session import materialize, scratch_path
@@ -409,8 +409,9 @@ def selected_long_up(spark, sf):
 
 @job("densify_total_cat")
 def densify_total_cat(spark, sf):
-    wide = to_wide(_named(_demand(spark, sf, ("CAT",), [], True)))
-    return densify_wide(wide, "timestamp")
+    long = materialize(_named(_demand(spark, sf, ("CAT",), [], True)))  # read by three jobs below
+    lo, hi = bounds(long, "day")
+    return densify_wide(to_wide(long, features=bounded_values(long, "feature")), "timestamp", lo, hi)
 
 
 @job("densify_features_rs")

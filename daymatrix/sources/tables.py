@@ -6,6 +6,9 @@ callers add on top reach the scan as ``ReadSchema`` and ``PushedFilters``.
 
 from __future__ import annotations
 
+import os
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,15 +26,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     return spread_small_input(df) if spread else df
 
 
-def _input_bytes(df: DataFrame, stop_above: int) -> int:
-    """Total size of the scanned files; stops counting past ``stop_above``."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def _input_bytes(df: DataFrame, stop_above: int) -> int | None:
+    """Total size of the scanned files when they are local; ``None`` for
+    remote storage (large inputs there come in many row groups anyway).
+    Counting stops past ``stop_above``."""
     total = 0
     for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        if not f.startswith("file:") and "://" in f:
+            return None
+        total += os.path.getsize(urlparse(f).path if f.startswith("file:") else f)
         if total > stop_above:
             break
     return total
@@ -48,7 +51,7 @@ def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> Data
     Large inputs arrive in many row groups and are never reshuffled.
     """
     size = _input_bytes(df, max_bytes)
-    if size == 0 or size > max_bytes:
+    if not size or size > max_bytes:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     target = max(1, min(cores, -(-size // SPREAD_BYTES_PER_PARTITION)))

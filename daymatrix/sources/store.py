@@ -27,6 +27,8 @@ DEFAULT_RECORDS_PER_FILE = 2_000_000
 
 
 def _fs_path(spark: SparkSession, path: str):
+    # Listing and deleting files has no public PySpark API; the Hadoop file
+    # system of the path is reached through the session's JVM gateway.
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -34,6 +36,8 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path`` (file-system check: probing by
+    reading would log a stack trace for every absent store)."""
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
 

@@ -11,6 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def qcol(name: str) -> Column:
+    """A column by its exact name: feature names come from data and may hold
+    dots, spaces or backticks, which ``F.col(name)`` would parse."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # Name prefixes.
 DEMAND_PREFIX = "demanda"
 TOTAL = "TOTAL"

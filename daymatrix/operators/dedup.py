@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymatrix.functions.names import qcol
+
 
 def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str = "batch_id") -> DataFrame:
     """One row per ``keys``: the one with the greatest ``order`` value(s).
@@ -24,9 +26,9 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str =
     payload = [c for c in df.columns if c not in keys]
     order_expr = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
     picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), order_expr).alias("__row")
+        F.max_by(F.struct(*[qcol(c) for c in payload]), order_expr).alias("__row")
     )
-    return picked.select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in payload])
+    return picked.select(*keys, *[F.col("__row").getField(c).alias(c) for c in payload])
 
 
 def union_batches(frames: Sequence[DataFrame]) -> DataFrame:

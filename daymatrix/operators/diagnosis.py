@@ -24,6 +24,7 @@ from daymatrix.functions.icd import (
     icd_ordinal,
     label_of_ordinal,
 )
+from daymatrix.functions.names import qcol
 from daymatrix.operators.demand import SCOPES, _stack, scoped_counts
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, attach_region, small_side, unit_region_lookup
 from daymatrix.schema import resolve_columns
@@ -38,9 +39,9 @@ def canonical_diagnoses(raw: DataFrame, date_col: str = "data_visita", unit_col:
     presence check (V2)."""
     found = resolve_columns(raw, [date_col, unit_col, code_col])
     return raw.select(
-        F.col(f"`{found[date_col]}`").alias("DATA_VISITA"),
-        F.col(f"`{found[unit_col]}`").alias("UP"),
-        F.col(f"`{found[code_col]}`").alias("DIAG_CODE"),
+        qcol(found[date_col]).alias("DATA_VISITA"),
+        qcol(found[unit_col]).alias("UP"),
+        qcol(found[code_col]).alias("DIAG_CODE"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymatrix.functions.clean import pad_unit_code, strip
+from daymatrix.functions.names import qcol
 
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -44,8 +45,8 @@ def unit_region_lookup(lookup: DataFrame, code_col: str = "codi_up", region_col:
     the conflicts are reported by ``lookup_conflicts``.
     """
     return (
-        lookup.select(pad_unit_code(F.col(f"`{code_col}`")).alias("UP"),
-                      F.nullif(strip(F.col(f"`{region_col}`")), F.lit("")).alias("RS"))
+        lookup.select(pad_unit_code(qcol(code_col)).alias("UP"),
+                      F.nullif(strip(qcol(region_col)), F.lit("")).alias("RS"))
         .where(F.col("UP").isNotNull())
         .groupBy("UP")
         .agg(F.min("RS").alias("RS"))
@@ -55,8 +56,8 @@ def unit_region_lookup(lookup: DataFrame, code_col: str = "codi_up", region_col:
 def lookup_conflicts(lookup: DataFrame, code_col: str = "codi_up", region_col: str = "RS") -> DataFrame:
     """Units listed with more than one distinct region."""
     return (
-        lookup.select(pad_unit_code(F.col(f"`{code_col}`")).alias("UP"),
-                      strip(F.col(f"`{region_col}`")).alias("RS"))
+        lookup.select(pad_unit_code(qcol(code_col)).alias("UP"),
+                      strip(qcol(region_col)).alias("RS"))
         .groupBy("UP")
         .agg(F.countDistinct("RS").alias("n_regions"), F.sort_array(F.collect_set("RS")).alias("regions"))
         .where(F.col("n_regions") > 1)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymatrix.session import materialize
+from daymatrix.functions.names import qcol
 
 PIVOT_CAP = 10_000  # spark.sql.pivotMaxValues default
 
@@ -49,7 +50,7 @@ def to_wide(long: DataFrame, key: str = "day", feature: str = "feature", value:
     if not cols:
         wide = long.select(key).distinct()
     if fill is not None and cols:
-        wide = wide.fillna(fill, subset=cols)
+        wide = wide.select(key, *[F.coalesce(qcol(c), F.lit(fill)).alias(c) for c in cols])
     if key_alias and key_alias != key:
         wide = wide.withColumnRenamed(key, key_alias)
     return wide
@@ -62,7 +63,7 @@ def to_long(wide: DataFrame, key: str = "timestamp", feature: str = "feature", v
     if not cols:
         return wide.select(key, F.lit(None).cast("string").alias(feature),
                            F.lit(None).cast("long").alias(value)).where(F.lit(False))
-    return wide.unpivot([key], cols, feature, value)
+    return wide.unpivot([key], [qcol(c) for c in cols], feature, value)
 
 
 def align_union(frames: Sequence[DataFrame], fill: int | float | None = 0) -> DataFrame:
@@ -75,5 +76,4 @@ def align_union(frames: Sequence[DataFrame], fill: int | float | None = 0) -> Da
 
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ("timestamp",)) -> DataFrame:
     """``<prefix>_<col>`` for every column except ``keep``."""
-    return df.select(*[F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").alias(f"{prefix}_{c}")
-                       for c in df.columns])
+    return df.select(*[qcol(c) if c in keep else qcol(c).alias(f"{prefix}_{c}") for c in df.columns])

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymatrix.session import materialize
+from daymatrix.functions.names import qcol
 
 FILL_METHODS = ("ffill", "bfill", "interpolate", None)
 
@@ -108,7 +109,7 @@ def densify_wide(wide: DataFrame, key: str = "timestamp", start=None, end=None,
     cal = calendar(wide.sparkSession, lo, hi, key)
     cols = [c for c in wide.columns if c != key]
     out = wide.join(F.broadcast(cal), key, "right")
-    return out.fillna(fill, subset=cols) if cols else out
+    return out.select(key, *[F.coalesce(qcol(c), F.lit(fill)).alias(c) for c in cols])
 
 
 def fill_series(long: DataFrame, keys: Sequence[str], day_col: str = "day", value_col: str = "n",

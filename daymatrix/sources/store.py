@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymatrix.functions.clean import to_count
+from daymatrix.functions.names import qcol
 from daymatrix.operators.dedup import latest_wins
 
 BATCH_COL = "batch_id"
@@ -190,7 +191,7 @@ def load_matrix_csv(spark: SparkSession, path: str, key: str = "timestamp", labe
     raw = spark.read.option("header", True).csv(path)
     return raw.select(
         F.to_date(F.col(label)).alias(key),
-        *[to_count(F.col(f"`{c}`")).alias(c) for c in raw.columns if c != label],
+        *[to_count(qcol(c)).alias(c) for c in raw.columns if c != label],
     ).orderBy(key)
 
 
@@ -210,13 +211,13 @@ def numeric_ranges(df: DataFrame) -> DataFrame:
             [], "column_name STRING, min_value DOUBLE, max_value DOUBLE, kind STRING")
     aggs = []
     for f in numeric:
-        aggs += [F.min(F.col(f"`{f.name}`")).cast("double").alias(f"min__{f.name}"),
-                 F.max(F.col(f"`{f.name}`")).cast("double").alias(f"max__{f.name}")]
+        aggs += [F.min(qcol(f.name)).cast("double").alias(f"min__{f.name}"),
+                 F.max(qcol(f.name)).cast("double").alias(f"max__{f.name}")]
     one = df.agg(*aggs)
     stacked = F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"),
-                 F.col(f"`min__{f.name}`").alias("min_value"),
-                 F.col(f"`max__{f.name}`").alias("max_value"),
+                 qcol(f"min__{f.name}").alias("min_value"),
+                 qcol(f"max__{f.name}").alias("max_value"),
                  F.lit("integral" if isinstance(f.dataType, _INTEGRAL) else "fractional").alias("kind"))
         for f in numeric
     ]))
@@ -250,8 +251,7 @@ def narrow_types(df: DataFrame) -> DataFrame:
     """Cast every numeric column to its narrowest type (one pass; the
     per-column bounds are a single row of scalars)."""
     plan = {r["column_name"]: r["narrow_type"] for r in narrow_report(df).collect()}
-    return df.select(*[F.col(f"`{c}`").cast(plan[c]).alias(c) if c in plan else F.col(f"`{c}`")
-                       for c in df.columns])
+    return df.select(*[qcol(c).cast(plan[c]).alias(c) if c in plan else qcol(c) for c in df.columns])
 
 
 def _as_date(d) -> dt.date:

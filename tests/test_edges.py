@@ -41,3 +41,20 @@ def test_single_day_single_feature(spark):
     got = sorted((r.scope, r.variable, r.value, r.n) for r in counts.collect())
     assert ("CAT", "ICD10_3", "A09", 1) in got and ("UP", "TOTAL", None, 1) in got
     assert len(got) == 3 * 4  # 3 scopes x (total, chapter, subchapter, code)
+
+
+def test_feature_names_with_dots_spaces_backticks(spark):
+    from daymatrix.operators.dedup import latest_wins
+    from daymatrix.operators.reshape import prefix_columns, to_long
+    from daymatrix.sources.store import narrow_types
+
+    long = spark.createDataFrame([(dt.date(2024, 1, 1), "a.b", 1), (dt.date(2024, 1, 2), "c`d", 2),
+                                  (dt.date(2024, 1, 2), "e f", 3)], "day DATE, feature STRING, n BIGINT")
+    wide = to_wide(long)
+    assert wide.columns == ["timestamp", "a.b", "c`d", "e f"]
+    dense = densify_wide(wide, "timestamp", dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    assert dense.count() == 3
+    assert to_long(wide).where("n > 0").count() == 3
+    assert prefix_columns(wide, "P").columns == ["timestamp", "P_a.b", "P_c`d", "P_e f"]
+    assert latest_wins(wide.withColumn("batch_id", wide["`a.b`"]), ["timestamp"]).count() == 2
+    assert [t for _, t in narrow_types(wide).dtypes][1:] == ["tinyint"] * 3

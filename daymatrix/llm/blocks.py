@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -61,7 +62,7 @@ def cut(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa
     size = 0
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        weight = np.cumsum(16 + np.nan_to_num(pa.compute.binary_length(table[text]).to_numpy(zero_copy_only=False).astype(float)))
+        weight = np.cumsum(16 + np.nan_to_num(pc.binary_length(table[text]).to_numpy(zero_copy_only=False).astype(float)))
         lo, base = 0, 0.0
         while lo < len(table):
             hi = max(lo + 1, int(np.searchsorted(weight, base + limit - size, "right")))

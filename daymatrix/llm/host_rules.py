@@ -188,6 +188,3 @@ judged AS (
   FROM ruled r JOIN verdicts ON host IS NOT DISTINCT FROM v_host
 )"""
 
-ORACLE = f"""WITH {ORACLE_RULES}
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, host,
-       round(rate, 9) AS shrunk_rate FROM judged"""

@@ -7,12 +7,13 @@ wins. ``score`` is the winner's relative lead over the runner-up, scaled to
 0..1; ``accepted`` is false where that lead is below ``min_margin``.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-ties go to the language that sorts first; without any labelled row everything
+ties go to the language with more labelled rows, then the one that sorts first; without any labelled row everything
 is ``und``; a single learned language always wins with score 1.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,13 @@ DICT_BYTES = 96 << 10
 #: draws on the dictionary rather than on the text before it.
 BLOCK_CHARS = 8 << 10
 LEVEL = 3
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """The text as it is compressed: lower case, everything between runs of
+    letters as one space, so that layout, case and numbers tell nothing."""
+    return _NOT_LETTERS.sub(" ", text.lower()).strip()
 
 
 def learn_dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
@@ -50,20 +58,22 @@ def learn_dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict
         rows.where(draw < share * (1 << 30))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id")))
         .where(F.col("rank") <= sample_docs)
-        .select("lang", "rank", F.substring("text", 1, piece).alias("piece"))  # dictionary content, not what is classified
+        # Dictionary content only; classification reads whole texts. The ends
+        # count too: stock lines there must not speak for one language.
+        .select("lang", "rank", F.concat_ws(" ", F.substring("text", 1, piece // 2), F.expr(f"right(text, {piece // 2})")).alias("piece"))
         .collect()
     )
     out: dict[str, bytes] = {}
-    for lang in sorted(sizes):
+    for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):  # the order breaks ties
         pieces = [r["piece"] for r in sorted(sample, key=lambda r: r["rank"]) if r["lang"] == lang]
-        out[lang] = "\n".join(pieces).encode()[-dict_bytes:]
+        out[lang] = " ".join(map(letters, pieces)).encode()[-dict_bytes:]
     return out
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.01) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, accepted`` for every row; only
     the text decides."""
-    names = sorted(dictionaries)
+    names = list(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = []
@@ -74,14 +84,14 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
         for batch in batches:
             best, lead = [], []
             for value in batch.column(2):
-                text = value.as_py()
-                if not names or text is None or not any(map(str.isalpha, text)):
+                text = letters(value.as_py() or "")
+                if not names or not any(map(str.isalpha, text)):
                     best.append("und")
                     lead.append(0.0)
                     continue
                 blocks = [text[i : i + BLOCK_CHARS].encode() for i in range(0, len(text), BLOCK_CHARS)]
-                sizes = sorted((sum(len(m.compress(b)) for b in blocks), name) for m, name in zip(models, names))
-                best.append(sizes[0][1])
+                sizes = sorted((sum(len(m.compress(b)) for b in blocks), i) for i, m in enumerate(models))
+                best.append(names[sizes[0][1]])
                 lead.append(1.0 if len(sizes) == 1 else (sizes[1][0] - sizes[0][0]) / sizes[1][0])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "held_out": batch.column(1),

@@ -146,9 +146,9 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document:
-    encoded, then decoded again from the ids."""
+def round_trip(docs: DataFrame, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``) of every
+    document: encoded, then decoded again from the ids."""
     vocabulary = vocabulary or default_vocabulary()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -159,6 +159,8 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             "n_tokens": pa.array([len(x) for x in _rows(ids)], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in _rows(ids)], pa.string()),
             "decoded_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decode_table(ids, _piece_table(shared.value))], pa.string()),
+            **({"ids": ids} if keep_ids else {}),
         })
 
-    return encode(docs.select("doc_id", "text"), vocabulary, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
+    return encode(docs.select("doc_id", "text"), vocabulary, digest, schema)

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,6 +135,29 @@ def host_rules(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
     )
 
 
+def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns. The base rule is
+    applied in the scan; of the hosts only the rejected ones are joined."""
+    hosts = host_verdicts(written(with_rules(measure(docs), limits), "host-rules"), limits)
+    rejected = hosts.where("host_rejected").select("host")
+    names = docs.columns
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = pa.Table.from_batches([batch])
+            view = pa.RecordBatch.from_arrays(
+                [pa.array(range(len(batch)), pa.int64()), pa.nulls(len(batch), pa.string()), batch.column(names.index("text"))],
+                ["doc_id", "host", "text"])
+            ok: list[bool] = []
+            for part in _measure([view]):
+                n, repeat = part["n_words"].to_numpy(), part["n_repeat_words"].to_numpy()
+                ok += (~((n < limits.min_words) | (100 * repeat > limits.max_repeat_pct * n))).tolist()
+            yield from whole.filter(pa.array(ok, pa.bool_())).to_batches()
+
+    kept = docs.mapInArrow(passing, docs.schema)
+    return kept.join(rejected, F.col("source").cast("string") == F.col("host"), "left_anti").select(*(F.col(f"`{c}`") for c in names))
+
+
 ORACLE_RULES = r"""
 word_rows AS (
   SELECT rid, doc_id, source, text,

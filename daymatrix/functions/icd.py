@@ -61,11 +61,13 @@ SUBCHAPTER_RANGES: list[tuple[str, str, str]] = [
 ]
 
 # The selected 3-character codes (50).
-SELECTED_CODES: list[str] = (
-    "A09 B34 B35 B37 E66 E78 F41 H10 H60 H61 H65 H66 I10 I16 J00 J02 J03 J11 J20 "
-    "J22 J30 J40 K02 K04 K08 L30 M25 M54 M77 M79 N30 N39 R05 R07 R10 R11 R42 R50 "
-    "R51 R53 T14 U07 Z00 Z01 Z02 Z11 Z20 Z30 Z34 Z71"
-).split()
+SELECTED_CODES: list[str] = [
+    "A09", "B34", "B35", "B37", "E66", "E78", "F41", "H10", "H60", "H61",
+    "H65", "H66", "I10", "I16", "J00", "J02", "J03", "J11", "J20", "J22",
+    "J30", "J40", "K02", "K04", "K08", "L30", "M25", "M54", "M77", "M79",
+    "N30", "N39", "R05", "R07", "R10", "R11", "R42", "R50", "R51", "R53",
+    "T14", "U07", "Z00", "Z01", "Z02", "Z11", "Z20", "Z30", "Z34", "Z71",
+]
 
 
 def _alnum_upper(c: Column | str) -> Column:
@@ -99,32 +101,12 @@ def icd_ordinal(code3: Column | str) -> Column:
     return (F.ascii(F.substring(code3, 1, 1)) - 65) * 100 + F.substring(code3, 2, 2).cast("int")
 
 
-def ordinal_of(code: str) -> int | None:
-    """Python-side ordinal of a literal range bound (letter + 2 digits)."""
-    code = "".join(ch for ch in str(code).strip().upper() if ch.isalnum())
-    if len(code) < 3 or not ("A" <= code[0] <= "Z") or not code[1:3].isdigit():
-        return None
-    return (ord(code[0]) - ord("A")) * 100 + int(code[1:3])
-
-
 def range_label(code3: Column | str, ranges: Sequence[tuple[str, str, str]]) -> Column:
     """First range (in list order) whose inclusive bounds hold the code, else
-    UNKNOWN (J4). Ranges with an unparsable bound are skipped."""
-    return label_of_ordinal(icd_ordinal(code3), ranges)
-
-
-def label_of_ordinal(ordinal: Column | str, ranges: Sequence[tuple[str, str, str]]) -> Column:
-    """:func:`range_label` on a precomputed ordinal column (evaluate the
-    ordinal once per row, not once per range bound)."""
-    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    out = None
-    for name, lo, hi in ranges:
-        lo_o, hi_o = ordinal_of(lo), ordinal_of(hi)
-        if lo_o is None or hi_o is None:
-            continue
-        cond = ordinal.between(lo_o, hi_o)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return F.lit(UNKNOWN) if out is None else out.otherwise(F.lit(UNKNOWN))
+    UNKNOWN (J4). A letter and two digits sort as text in code order."""
+    code3 = F.col(code3) if isinstance(code3, str) else code3
+    named = [F.when(code3.between(lo, hi), F.lit(name)) for name, lo, hi in ranges]
+    return F.coalesce(*named, F.lit(UNKNOWN))
 
 
 def icd_chapter(code3: Column | str) -> Column:

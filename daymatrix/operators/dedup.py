@@ -24,11 +24,11 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str =
     """
     order_cols = [order] if isinstance(order, str) else list(order)
     payload = [c for c in df.columns if c not in keys]
-    order_expr = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
-    picked = df.groupBy(*keys).agg(
+    order_expr = F.struct(*[qcol(c) for c in order_cols]) if len(order_cols) > 1 else qcol(order_cols[0])
+    picked = df.groupBy(*[qcol(k) for k in keys]).agg(
         F.max_by(F.struct(*[qcol(c) for c in payload]), order_expr).alias("__row")
     )
-    return picked.select(*keys, *[F.col("__row").getField(c).alias(c) for c in payload])
+    return picked.select(*[qcol(k) for k in keys], *[F.col("__row").getField(c).alias(c) for c in payload])
 
 
 def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
@@ -41,5 +41,11 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
 
 def data_id(*cols: str) -> "F.Column":
     """Composite record key as one text column, ``timestamp|code|unit``.
-    Dedup itself groups on the key columns; this is for export."""
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    Different keys have different ids: a null part is ``\\N``, and bars and
+    backslashes inside a part are escaped. Dedup itself groups on the key
+    columns; this is for export."""
+    def part(c: str) -> "F.Column":
+        text = F.replace(qcol(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+    return F.concat_ws("|", *[part(c) for c in cols])

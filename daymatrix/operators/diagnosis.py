@@ -20,9 +20,7 @@ from daymatrix.functions.icd import (
     SUBCHAPTER_RANGES,
     classify_with_map,
     icd_code3_prefix,
-    icd_normalize,
-    icd_ordinal,
-    label_of_ordinal,
+    range_label,
 )
 from daymatrix.functions.names import qcol
 from daymatrix.operators.demand import SCOPES, _stack, scoped_counts
@@ -45,19 +43,6 @@ def canonical_diagnoses(raw: DataFrame, date_col: str = "data_visita", unit_col:
     )
 
 
-def parsed_diagnoses(raw: DataFrame, date_col: str = "data_visita", unit_col: str = "up_c",
-                     code_col: str = "problema_salut_c") -> DataFrame:
-    """Row level: day, padded unit, original code, normalised code, 3-char code."""
-    canon = canonical_diagnoses(raw, date_col, unit_col, code_col)
-    return canon.select(
-        day_of(canon, "DATA_VISITA").alias("DATA_VISITA"),
-        pad_unit_code("UP").alias("UP"),
-        "DIAG_CODE",
-        icd_normalize("DIAG_CODE").alias("ICD10_CODE"),
-        icd_code3_prefix("DIAG_CODE").alias("ICD10_3"),
-    )
-
-
 def drop_incomplete(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     """Drop count groups with a null key (F1), after counting.
 
@@ -76,9 +61,7 @@ def drop_incomplete(counts: DataFrame, keys: list[str], n: str = "n") -> DataFra
 def _classify(df: DataFrame, ranges: RangeTable, out: str) -> DataFrame:
     if isinstance(ranges, DataFrame):
         return classify_with_map(df, "ICD10_3", ranges, out)
-    if "__ordinal" not in df.columns:
-        df = df.withColumn("__ordinal", icd_ordinal("ICD10_3"))
-    return df.withColumn(out, label_of_ordinal("__ordinal", ranges))
+    return df.withColumn(out, range_label("ICD10_3", ranges))
 
 
 def prepare_diagnoses(raw: DataFrame, lookup: DataFrame, date_col: str = "data_visita",
@@ -183,6 +166,6 @@ def code_daily(rows: DataFrame, group_col: str | None = None) -> DataFrame:
 
 
 __all__ = [
-    "LEVELS", "canonical_diagnoses", "parsed_diagnoses", "prepare_diagnoses",
+    "LEVELS", "canonical_diagnoses", "prepare_diagnoses",
     "diagnosis_counts", "grouped_long", "daily_total", "raw_code_rows", "code_daily",
 ]

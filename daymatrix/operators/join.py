@@ -70,11 +70,13 @@ def _join_daily(left, right, prefixes, fill_method, feature, day, value, densify
 
 
 def join_daily(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("DEMAND", "DIAGNOSIS"),
-               fill_method: str | None = "ffill", cap: int = PIVOT_CAP) -> DataFrame:
+               fill_method: str | None = "ffill", cap: int = PIVOT_CAP,
+               features: Sequence[str] | None = None) -> DataFrame:
     """Wide rendering of :func:`join_daily_long`: ``timestamp`` + one column per
-    prefixed feature, sorted by day (Q3)."""
+    prefixed feature, sorted by day (Q3). ``features`` names the columns if
+    they are known; else they are read from the data."""
     long, names = _join_daily(left, right, prefixes, fill_method, "feature", "day", "n", True)
-    return to_wide(long, "day", "feature", "n", features=sorted(names), fill=None, key_alias="timestamp",
+    return to_wide(long, "day", "feature", "n", features=sorted(features or names), fill=0, key_alias="timestamp",
                    cap=cap).orderBy("timestamp")
 
 

@@ -36,9 +36,10 @@ def bounded_values(df: DataFrame, column: str, cap: int = PIVOT_CAP) -> list:
 
 def to_wide(long: DataFrame, key: str = "day", feature: str = "feature", value: str = "n",
             features: Sequence[str] | None = None, fill: int | float | None = 0,
-            key_alias: str = "timestamp", cap: int = PIVOT_CAP) -> DataFrame:
+            key_alias: str = "timestamp", cap: int = PIVOT_CAP, subset: bool = False) -> DataFrame:
     """``groupBy(key).pivot(feature, list).sum(value)``, missing cells -> ``fill``
-    (R1/R2; duplicate keys are summed)."""
+    (R1/R2; duplicate keys are summed). With an explicit ``features`` list a
+    feature outside it fails the job, unless the caller asks for a ``subset``."""
     if features is None:
         long = materialize(long)
         cols = bounded_values(long, feature, cap)
@@ -46,6 +47,10 @@ def to_wide(long: DataFrame, key: str = "day", feature: str = "feature", value:
         cols = list(features)
     if len(cols) > cap:
         raise TooManyColumnsError(f"{len(cols)} columns requested, cap is {cap}")
+    if features is not None and not subset:
+        known = F.col(feature).isNull() | F.col(feature).isin(cols)
+        long = long.withColumn(feature, F.when(known, F.col(feature)).otherwise(
+            F.raise_error(F.concat(F.lit("feature outside the given columns: "), F.col(feature))).cast("string")))
     wide = long.groupBy(key).pivot(feature, cols).agg(F.sum(value))
     if not cols:
         wide = long.select(key).distinct()

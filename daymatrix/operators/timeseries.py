@@ -96,8 +96,9 @@ def densify_long(long: DataFrame, keys: Sequence[str], day_col: str = "day", val
 
 def densify_wide(wide: DataFrame, key: str = "timestamp", start=None, end=None,
                  fill: int | float = 0) -> DataFrame:
-    """Wide matrix on a continuous daily index (T1). The calendar has one row
-    per day of the range, a bound known before the join, so it is broadcast."""
+    """Wide matrix on a continuous daily index (T1): the calendar joined with
+    the matrix, one row per day each; Spark broadcasts the matrix if it turns
+    out small."""
     lo, hi = start, end
     if lo is None or hi is None:
         wide = materialize(wide)
@@ -108,7 +109,7 @@ def densify_wide(wide: DataFrame, key: str = "timestamp", start=None, end=None,
         return wide.where(F.lit(False))
     cal = calendar(wide.sparkSession, lo, hi, key)
     cols = [c for c in wide.columns if c != key]
-    out = wide.join(F.broadcast(cal), key, "right")
+    out = cal.join(wide, key, "left")
     return out.select(key, *[F.coalesce(qcol(c), F.lit(fill)).alias(c) for c in cols])
 
 

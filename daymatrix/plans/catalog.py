@@ -25,14 +25,15 @@ from daymatrix.operators.demand import DEMAND_VARIABLES, SCOPES, clean_visits, d
 from daymatrix.operators.diagnosis import LEVELS, code_daily, daily_total, diagnosis_counts, \
     grouped_long, prepare_diagnoses, raw_code_rows
 from daymatrix.operators.join import combine_long, join_daily, join_daily_long, merge_wide
-from daymatrix.operators.dedup import latest_wins
+from daymatrix.operators.dedup import data_id, latest_wins
 from daymatrix.operators.lookup import unit_region_lookup
 from daymatrix.operators.quality import unknown_codes, unmatched_units
-from daymatrix.operators.reshape import bounded_values, to_long, to_wide
+from daymatrix.operators.reshape import align_union, bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, fill_series, year_ranges
+from daymatrix.plans import features as names
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY
-from daymatrix.session import materialize, scratch_path
+from daymatrix.session import materialize, scratch_path, written
 from daymatrix.sources import fixtures as fx
 from daymatrix.sources import scan, store
 from daymatrix.sources.tables import read_table
@@ -45,9 +46,12 @@ MIN_VALID = dt.date(1996, 1, 1)
 AS_OF = dt.date(2001, 11, 5)
 BATCH1_END = dt.date(1999, 1, 1)      # batch 1: days before this
 BATCH2_START = dt.date(1998, 12, 2)   # batch 2: days from this (30 days of overlap)
+LATE_COLUMN = "demanda__TIPUS_CLASS__ZZ"   # a column that the first batch does not have
 LOOKBACK_DAYS = 30
 RETENTION_DAYS = 90
 RECENT_FROM = dt.date(2001, 1, 1)
+FUTURE = dt.date(2099, 1, 1)
+DELETED = (dt.date(1998, 12, 1), dt.date(1999, 1, 1))   # a month that the source loses
 STAGING_RANGE = (dt.date(1998, 6, 1), dt.date(1999, 6, 30))
 FINAL_RANGE = (dt.date(1997, 1, 1), dt.date(2000, 12, 31))
 RECENT_FEATURES = ["DEMAND_demanda__TOTAL_CAT", "DIAGNOSIS_TOTAL"]
@@ -286,12 +290,12 @@ def demand_feature_names(spark, sf):
 
 @job("demand_wide_cat")
 def demand_wide_cat(spark, sf):
-    return to_wide(_demand_cat_named(spark, sf))
+    return to_wide(_demand_cat_named(spark, sf), features=names.demand_features("CAT"))
 
 
 @job("demand_wide_rs")
 def demand_wide_rs(spark, sf):
-    return to_wide(_named(_demand(spark, sf, ("RS",))))
+    return to_wide(_named(_demand(spark, sf, ("RS",))), features=names.demand_features("RS"))
 
 
 @job("wide_to_long")
@@ -316,7 +320,7 @@ def diagnosis_total_rs(spark, sf):
     r = _reduced(spark, sf)
     long = r.groupBy("DATA_VISITA", "RS").agg(F.sum("n").alias("n")).select(
         "DATA_VISITA", F.concat(F.lit("DIAG_TOTAL__RS__"), "RS").alias("feature"), "n")
-    return to_wide(long, key="DATA_VISITA")
+    return to_wide(long, key="DATA_VISITA", features=[f"DIAG_TOTAL__RS__{r}" for r in sorted(names.DIAGNOSIS_REGIONS)])
 
 
 @job("diagnosis_code_daily")
@@ -357,27 +361,32 @@ def grouped_long_code_up(spark, sf):
 
 @job("wide_chapter_cat")
 def wide_chapter_cat(spark, sf):
-    return to_wide(_named(_diagnosis(spark, sf, ("CAT",), ["ICD10_CHAPTER"], False, None)))
+    return to_wide(_named(_diagnosis(spark, sf, ("CAT",), ["ICD10_CHAPTER"], False, None)),
+                   features=names.diagnosis_features("CAT", ["ICD10_CHAPTER"], False))
 
 
 @job("wide_chapter_rs")
 def wide_chapter_rs(spark, sf):
-    return to_wide(_named(_diagnosis(spark, sf, ("RS",), ["ICD10_CHAPTER"], False, None)))
+    return to_wide(_named(_diagnosis(spark, sf, ("RS",), ["ICD10_CHAPTER"], False, None)),
+                   features=names.diagnosis_features("RS", ["ICD10_CHAPTER"], False))
 
 
 @job("diagnosis_code_wide")
 def diagnosis_code_wide(spark, sf):
     long = diagnosis_counts(_reduced(spark, sf), ("CAT",), ["ICD10_3"], False, SELECTED_CODES)
-    return to_wide(long.select("day", F.concat(F.lit("DIAG_CODE_"), "value").alias("feature"), "n"))
+    return to_wide(long.select("day", F.concat(F.lit("DIAG_CODE_"), "value").alias("feature"), "n"),
+                   features=[f"DIAG_CODE_{c}" for c in sorted(set(SELECTED_CODES))])
 
 
 def _selected_matrix(spark, sf, scope):
     long = diagnosis_counts(_reduced(spark, sf), (scope,), ["ICD10_3"], False, SELECTED_CODES)
     if scope == "CAT":
         name = F.concat(F.lit("ICD10_3__"), "value")
+        columns = [f"ICD10_3__{c}" for c in sorted(set(SELECTED_CODES))]
     else:
         name = F.concat(F.lit("ICD10_3__"), "value", F.lit(f"__{scope}__"), "group_value")
-    return to_wide(long.select("day", name.alias("feature"), "n"))
+        columns = names.diagnosis_features(scope, ["ICD10_3"], False)
+    return to_wide(long.select("day", name.alias("feature"), "n"), features=columns)
 
 
 @job("selected_daily_cat")
@@ -392,12 +401,12 @@ def selected_daily_rs(spark, sf):
 
 @job("selected_wide_cat")
 def selected_wide_cat(spark, sf):
-    return to_wide(_diagnosis_cat_named(spark, sf))
+    return to_wide(_diagnosis_cat_named(spark, sf), features=names.diagnosis_features("CAT"))
 
 
 @job("selected_wide_rs")
 def selected_wide_rs(spark, sf):
-    return to_wide(_named(_diagnosis(spark, sf, ("RS",))))
+    return to_wide(_named(_diagnosis(spark, sf, ("RS",))), features=names.diagnosis_features("RS"))
 
 
 @job("selected_long_up")
@@ -447,7 +456,7 @@ def _joined_long(spark, sf, fill="ffill"):
 
 @job("joined_daily")
 def joined_daily(spark, sf):
-    return join_daily(*_both_cat_named(spark, sf))
+    return join_daily(*_both_cat_named(spark, sf), features=names.joined_features())
 
 
 @job("historical_all")
@@ -464,12 +473,14 @@ def _batched(df: DataFrame, day_col: str) -> tuple[DataFrame, DataFrame]:
             df.where(F.col(day_col) >= F.lit(BATCH2_START)))
 
 
-def _wide_batches(spark, sf, long_fn) -> DataFrame:
-    """Write each batch's own wide matrix as a staging batch; read all back."""
+def _wide_batches(spark, sf, long_fn, columns: list[str]) -> DataFrame:
+    """Write each batch's own wide matrix as a staging batch; read all back.
+    The first batch lacks one column, so the two differ (U1)."""
     path = scratch_path(spark, "wide-staging")
-    long = materialize(long_fn(spark, sf))
-    for i, part in enumerate(_batched(long, "day"), start=1):
-        store.append_batch(to_wide(part, features=bounded_values(part, "feature")), path, batch_id=i)
+    long = written(long_fn(spark, sf), "wide-batches")
+    first, second = _batched(long, "day")
+    store.append_batch(to_wide(first, features=[c for c in columns if c != LATE_COLUMN], subset=True), path, batch_id=1)
+    store.append_batch(to_wide(second, features=columns), path, batch_id=2)
     return store.read_staging(spark, path)
 
 
@@ -478,9 +489,11 @@ def _wide_staging_pair(spark, sf):
     from separate driver threads (independent jobs)."""
     lookup = fx.up_rs(spark, sf)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        demand = pool.submit(_wide_batches, spark, sf, lambda s, d: _demand_cat_named(s, d, lookup))
+        demand = pool.submit(_wide_batches, spark, sf, lambda s, d: _demand_cat_named(s, d, lookup),
+                             names.demand_features("CAT"))
         diag = pool.submit(_wide_batches, spark, sf, lambda s, d: _named(
-            _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)))
+            _diagnosis(s, d, ("CAT",), ["ICD10_CHAPTER"], True, None, lookup=lookup)),
+            names.diagnosis_features("CAT", ["ICD10_CHAPTER"]))
         return demand.result(), diag.result()
 
 
@@ -500,7 +513,7 @@ def merge_staging(spark, sf):
 def final_recent(spark, sf):
     long = _joined_long(spark, sf).where(F.col("feature").isin(RECENT_FEATURES))
     recent = long.where(F.col("day") >= F.lit(RECENT_FROM))
-    return to_wide(recent, features=RECENT_FEATURES, fill=None)
+    return to_wide(recent, features=RECENT_FEATURES, fill=0)
 
 
 @job("monthly_trend")
@@ -514,7 +527,7 @@ def monthly_trend(spark, sf):
 def _staged_reduced(spark, sf) -> str:
     """Reduced diagnoses written as two overlapping staging batches."""
     path = scratch_path(spark, "staging")
-    reduced = materialize(_reduced(spark, sf))  # computed once, cut into the two batches
+    reduced = written(_reduced(spark, sf), "reduced")  # computed once, cut into the two batches
     for i, part in enumerate(_batched(reduced, "DATA_VISITA"), start=1):
         store.append_batch(part, path, batch_id=i)
     return path
@@ -527,8 +540,11 @@ REDUCED_KEY = ["DATA_VISITA", "ICD10_3", "UP"]
 def dedup_latest(spark, sf):
     long = _demand(spark, sf, ("CAT",))
     b1, b2 = _batched(long, "day")
-    both = b1.withColumn("batch_seq", F.lit(1)).unionByName(b2.withColumn("batch_seq", F.lit(2)))
-    return latest_wins(both, COUNT_KEY, "batch_seq").drop("batch_seq")
+    # Batch 2 holds two rows for each key, with changed counts; its second wins.
+    both = b1.select("*", F.lit(1).alias("batch_seq"), F.lit(0).alias("row_seq")).unionByName(
+        b2.select("*", F.lit(2).alias("batch_seq"), F.explode(F.array(F.lit(0), F.lit(1))).alias("row_seq"))
+        .withColumn("n", F.col("n") * 10 + F.col("row_seq")))
+    return latest_wins(both, COUNT_KEY, ["batch_seq", "row_seq"]).drop("batch_seq", "row_seq")
 
 
 @job("load_staging")
@@ -567,8 +583,8 @@ def retention_keep(spark, sf):
 def last_date_in_finals(spark, sf):
     demand_path, diag_path = scratch_path(spark, "final-demand"), scratch_path(spark, "final-diagnosis")
     demand, diagnosis = _both_cat_named(spark, sf)
-    store.save_final(to_wide(demand), demand_path)
-    store.save_final(to_wide(diagnosis), diag_path)
+    store.save_final(to_wide(demand, features=names.demand_features("CAT")), demand_path)
+    store.save_final(to_wide(diagnosis, features=names.diagnosis_features("CAT")), diag_path)
     days = spark.read.parquet(demand_path).select("timestamp").unionByName(
         spark.read.parquet(diag_path).select("timestamp"))
     ok = days.where(F.col("timestamp").between(F.lit(dt.date(1992, 1, 1)), F.lit(AS_OF + dt.timedelta(days=1))))
@@ -581,7 +597,7 @@ def batch_reduce(spark, sf):
     path = scratch_path(spark, "batch")
     reduced = _reduced(spark, sf).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
     store.append_batch(reduced, path)
-    return spark.read.parquet(path).drop(store.BATCH_COL)
+    return store.read_staging(spark, path).drop(store.BATCH_COL)
 
 
 @job("narrow_types")
@@ -606,8 +622,8 @@ def incremental_two_batches(spark, sf):
     path = scratch_path(spark, "demand-store")
     src = fx.visits(spark, sf)
     build = _demand_counts_from(spark, sf)
-    inc.run_recount(src, "DATA_VISITA", build, path, LOOKBACK_DAYS, upto=BATCH1_END)
-    inc.run_recount(src, "DATA_VISITA", build, path, LOOKBACK_DAYS)
+    inc.run_recount(src, "DATA_VISITA", build, path, BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    inc.run_recount(src, "DATA_VISITA", build, path, AS_OF, LOOKBACK_DAYS)
     return inc.read_recount_store(spark, path)
 
 
@@ -616,8 +632,36 @@ def incremental_diagnosis_two_batches(spark, sf):
     path = scratch_path(spark, "diagnosis-store")
     src = fx.diagnoses(spark, sf)
     build = _diagnosis_counts_from(spark, sf)
-    inc.run_recount(src, "data_visita", build, path, LOOKBACK_DAYS, upto=BATCH1_END)
-    inc.run_recount(src, "data_visita", build, path, LOOKBACK_DAYS)
+    inc.run_recount(src, "data_visita", build, path, BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    inc.run_recount(src, "data_visita", build, path, AS_OF, LOOKBACK_DAYS)
+    return inc.read_recount_store(spark, path)
+
+
+@job("incremental_future_row")
+def incremental_future_row(spark, sf):
+    """Some visits of the first load carry a date after the run's day: they
+    are not counted and later runs still load every day (X13)."""
+    path = scratch_path(spark, "demand-store")
+    src = fx.visits(spark, sf)
+    build = _demand_counts_from(spark, sf)
+    wrong = src.withColumn("DATA_VISITA", F.when(F.col("SERVEI_CODI") == "5-LOW", F.lit(FUTURE).cast(src.schema["DATA_VISITA"].dataType))
+                           .otherwise(F.col("DATA_VISITA")))
+    inc.run_recount(src.unionByName(wrong.where(F.col("DATA_VISITA") == F.lit(FUTURE))), "DATA_VISITA", build, path,
+                    BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    inc.run_recount(src, "DATA_VISITA", build, path, AS_OF, LOOKBACK_DAYS)
+    return inc.read_recount_store(spark, path)
+
+
+@job("incremental_deleted_day")
+def incremental_deleted_day(spark, sf):
+    """The last month of the first load loses all its visits at the source
+    before the second run: its counts go from the store."""
+    path = scratch_path(spark, "demand-store")
+    src = fx.visits(spark, sf)
+    build = _demand_counts_from(spark, sf)
+    inc.run_recount(src, "DATA_VISITA", build, path, BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    left = src.where((F.col("DATA_VISITA") < F.lit(DELETED[0])) | (F.col("DATA_VISITA") >= F.lit(DELETED[1])))
+    inc.run_recount(left, "DATA_VISITA", build, path, AS_OF, LOOKBACK_DAYS)
     return inc.read_recount_store(spark, path)
 
 
@@ -652,3 +696,90 @@ def stream_daily_counts(spark, sf):
     schema = read_table(spark, sf, "events").schema
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     return run_daily_counts(spark, source, schema, sink, ckpt)
+
+
+@job("stream_late_rows")
+def stream_late_rows(spark, sf):
+    """The events in several micro-batches that each span all days, so most
+    rows arrive days late: none may be lost."""
+    events = fx.events(spark, sf)
+    source = scratch_path(spark, "stream-source")
+    events.repartition(4, "user_id").write.parquet(source)
+    return run_daily_counts(spark, source, events.schema, scratch_path(spark, "stream-sink"),
+                            scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
+
+
+# --- stores and checks as write-then-read jobs (S7-S9, S13, S15, P18-P20, V1, V2, V5, I3, I7, R7) ----
+
+def _total_long(spark, sf):
+    return _named(_demand(spark, sf, ("CAT",), ["SERVEI_CODI"], True))
+
+
+def _total_wide(spark, sf):
+    wanted = [c for c in names.demand_features("CAT") if "TOTAL" in c or "SERVEI" in c]
+    return to_wide(_total_long(spark, sf), features=wanted)
+
+
+@job("matrix_csv_round_trip")
+def matrix_csv_round_trip(spark, sf):
+    """Headed CSV written, read back and coerced to counts."""
+    path = scratch_path(spark, "matrix-csv")
+    store.save_matrix_csv(_total_wide(spark, sf), path)
+    return store.load_matrix_csv(spark, path)
+
+
+@job("matrix_dual_write")
+def matrix_dual_write(spark, sf):
+    """Parquet and CSV of one matrix; both must hold the same cells."""
+    path = scratch_path(spark, "matrix")
+    store.save_matrix(_total_wide(spark, sf), path)
+    parquet = to_long(spark.read.parquet(f"{path}.parquet")).withColumn("kind", F.lit("parquet"))
+    return parquet.unionByName(to_long(store.load_matrix_csv(spark, f"{path}.csv")).withColumn("kind", F.lit("csv")))
+
+
+@job("long_partitioned_store")
+def long_partitioned_store(spark, sf):
+    """Counts stored by scope and variable, one scope read back."""
+    path = scratch_path(spark, "long-store")
+    store.save_final(_demand(spark, sf, ("CAT", "RS")).hint("rebalance", "scope", "variable"), path, partition_by=["scope", "variable"])
+    return spark.read.parquet(path).where("scope = 'RS'").select("day", "group_value", "variable", "value", "n")
+
+
+@job("data_ids")
+def data_ids(spark, sf):
+    """One text id per key; distinct keys have distinct ids."""
+    reduced = _reduced(spark, sf)
+    return reduced.select(data_id("DATA_VISITA", "ICD10_3", "UP").alias("data_id"), "n")
+
+
+@job("narrow_casts")
+def narrow_casts(spark, sf):
+    """P20: columns cast to their narrowest types keep their values."""
+    return to_long(store.narrow_types(_total_wide(spark, sf)).select(
+        "timestamp", *[F.col(f"`{c}`").cast("long").alias(c) for c in [c for c in names.demand_features("CAT") if "TOTAL" in c or "SERVEI" in c]]))
+
+
+@job("state_watermark")
+def state_watermark(spark, sf):
+    """The watermark of a run, stored and read back."""
+    days = clean_visits(fx.visits(spark, sf)).agg(F.max("day").alias("m")).first()["m"]
+    path = scratch_path(spark, "state")
+    store.save_state(spark, path, days, dt.datetime(2002, 1, 1))
+    return spark.read.parquet(path).select("last_loaded_date")
+
+
+@job("compact_staging_batches")
+def compact_staging_batches(spark, sf):
+    """Batches rewritten as one, the latest row per key."""
+    path = _staged_reduced(spark, sf)
+    store.compact_staging(spark, path, REDUCED_KEY)
+    return store.read_staging(spark, path).drop(store.BATCH_COL)
+
+
+@job("aligned_matrices")
+def aligned_matrices(spark, sf):
+    """Matrices with different columns, unioned with 0 fill."""
+    wide = _total_wide(spark, sf)
+    early = wide.where(F.col("timestamp") < F.lit(BATCH1_END)).drop("demanda__TOTAL_CAT")
+    late = wide.where(F.col("timestamp") >= F.lit(BATCH1_END)).drop("demanda__SERVEI_CODI__5-LOW")
+    return align_union([early, late])

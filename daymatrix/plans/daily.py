@@ -9,6 +9,7 @@ UP stays long (its column count grows with units x values).
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import quote
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -44,17 +45,17 @@ def _record(spark: SparkSession, info: inc.RunInfo, state_path: str | None, run_
 
 
 def run_demand_increment(visits: DataFrame, lookup: DataFrame, store_path: str,
-                         lookback_days: int = 0, upto: dt.date | None = None,
+                         as_of: dt.date, lookback_days: int = 0, min_valid: dt.date | None = None,
                          state_path: str | None = None, run_at: dt.datetime | None = None) -> inc.RunInfo:
     """Recount the days from the stored watermark on and replace them;
     optionally record ``(last_loaded_date, updated_at)`` (I3, clock given)."""
     info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
-                           store_path, lookback_days, upto)
+                           store_path, as_of, lookback_days, min_valid)
     return _record(visits.sparkSession, info, state_path, run_at)
 
 
 def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path: str,
-                            lookback_days: int = 0, upto: dt.date | None = None,
+                            as_of: dt.date, lookback_days: int = 0, min_valid: dt.date | None = None,
                             selected_codes: Sequence[str] | DataFrame = SELECTED_CODES,
                             date_col: str = "data_visita", state_path: str | None = None,
                             run_at: dt.datetime | None = None) -> inc.RunInfo:
@@ -62,7 +63,7 @@ def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path:
     info = inc.run_recount(
         diagnoses, date_col,
         lambda rows: diagnosis_counts(prepare_diagnoses(rows, lookup), selected_codes=selected_codes),
-        store_path, lookback_days, upto)
+        store_path, as_of, lookback_days, min_valid)
     return _record(diagnoses.sparkSession, info, state_path, run_at)
 
 
@@ -76,7 +77,9 @@ def render_matrices(counts: DataFrame, out_dir: str, domain_prefix: str, start=N
     spark = counts.sparkSession
     outputs = {}
     long_path = f"{out_dir}/{domain_prefix}_long"
-    store.save_final(counts, long_path, partition_by=["scope", "variable"])
+    # Clustered by folder, so that not every task writes into every one; AQE
+    # splits a large folder over several tasks.
+    store.save_final(counts.hint("rebalance", "scope", "variable"), long_path, partition_by=["scope", "variable"])
     outputs[f"{domain_prefix}_long"] = long_path
     stored = spark.read.parquet(long_path)
     for scope in wide_scopes:
@@ -191,7 +194,7 @@ def render_up_by_region(counts: DataFrame, lookup: DataFrame, out_dir: str, doma
         wide = to_wide(named, features=bounded_values(named, "feature"))
         if lo is not None and hi is not None:
             wide = densify_wide(wide, "timestamp", lo, hi)
-        safe = "".join(ch if ch.isalnum() or ch in "-_" else "_" for ch in region)
+        safe = quote(region, safe="")  # one path per region, whatever its characters
         path = f"{out_dir}/{domain_prefix}_up/region={safe}"
         store.save_matrix(wide, path)
         outputs[region] = f"{path}.parquet"

@@ -12,8 +12,10 @@ Two write modes, never mixed on one store:
   stored are appended as ``batch_id`` partitions and summed on read; the
   writer refuses a batch that touches a stored day.
 
-The watermark is the greatest day actually stored; with a partition column
-Spark answers it from the file listing.
+Rows dated after ``as_of`` or before ``min_valid`` are left out of every run, so
+a wrong date can neither be counted nor move the watermark. The watermark is
+the greatest day stored: the greatest month is found among the store's
+partition folders, and only that month is read.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymatrix.schema import COUNT_KEY
-from daymatrix.session import materialize
-from daymatrix.sources.store import BATCH_COL, append_batch, path_exists, read_staging
+from daymatrix.session import scratch_path
+from daymatrix.sources.store import BATCH_COL, append_batch, drop_partitions, partition_values, path_exists, read_staging
 
 PERIOD_COL = "period"
 
@@ -39,11 +41,18 @@ class RunInfo:
     hwm_after: dt.date | None
 
 
+def stored_periods(spark: SparkSession, path: str) -> list[dt.date]:
+    """Months that the store holds, from its partition folders."""
+    return sorted(dt.date.fromisoformat(v) for v in partition_values(spark, path, PERIOD_COL))
+
+
 def stored_hwm(spark: SparkSession, path: str, day_col: str = "day") -> dt.date | None:
-    if not path_exists(spark, path):
+    """Greatest stored day, or ``None`` for an empty store."""
+    periods = stored_periods(spark, path)
+    if not periods:
         return None
-    row = spark.read.parquet(path).agg(F.max(day_col).alias("m")).collect()[0]
-    return None if row is None else row["m"]
+    last = spark.read.parquet(path).where(F.col(PERIOD_COL) == F.lit(periods[-1]))
+    return last.agg(F.max(day_col).alias("m")).first()["m"]
 
 
 def _raw_bound(df: DataFrame, raw_date_col: str, d: dt.date):
@@ -53,30 +62,40 @@ def _raw_bound(df: DataFrame, raw_date_col: str, d: dt.date):
 
 
 def run_recount(source: DataFrame, raw_date_col: str, build_counts: Callable[[DataFrame], DataFrame],
-                store_path: str, lookback_days: int = 0, upto: dt.date | None = None,
+                store_path: str, as_of: dt.date, lookback_days: int = 0, min_valid: dt.date | None = None,
                 day_col: str = "day") -> RunInfo:
-    """One recount run (I1, I2). ``upto`` (exclusive) limits the source to
-    what existed at run time; ``None`` reads everything up to now."""
+    """One recount run (I1, I2) over the source rows dated ``min_valid`` to
+    ``as_of``, both included. Months read again are replaced as a whole: one
+    that has no rows left goes from the store."""
     spark = source.sparkSession
     hwm = stored_hwm(spark, store_path, day_col)
-    rows = source
+    until = as_of + dt.timedelta(days=1)
+    rows = source.where(F.col(raw_date_col) < _raw_bound(source, raw_date_col, until))
+    if min_valid is not None:
+        rows = rows.where(F.col(raw_date_col) >= _raw_bound(source, raw_date_col, min_valid))
     read_from = None
     if hwm is not None:
         read_from = (hwm - dt.timedelta(days=lookback_days) + dt.timedelta(days=1)).replace(day=1)
         rows = rows.where(F.col(raw_date_col) >= _raw_bound(source, raw_date_col, read_from))
-    if upto is not None:
-        rows = rows.where(F.col(raw_date_col) < _raw_bound(source, raw_date_col, upto))
     counts = build_counts(rows)
     if read_from is not None:
         counts = counts.where(F.col(day_col) >= F.lit(read_from))
+    before = [p for p in stored_periods(spark, store_path) if read_from is not None and p >= read_from]
     # Rebalance on the period: rows of a month are clustered into few files,
     # and AQE splits a month that is too large for one task (no sampling pass).
+    staged = scratch_path(spark, "recount")
     (counts.withColumn(PERIOD_COL, F.trunc(day_col, "MM"))
         .hint("rebalance", PERIOD_COL)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD_COL)
-        .parquet(store_path))
+        .write.partitionBy(PERIOD_COL).parquet(staged))
+    fresh = set(stored_periods(spark, staged))
+    if fresh:
+        (spark.read.parquet(staged)
+            .hint("rebalance", PERIOD_COL)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PERIOD_COL)
+            .parquet(store_path))
+    drop_partitions(spark, store_path, PERIOD_COL, [p.isoformat() for p in before if p not in fresh])
     return RunInfo(hwm, read_from, stored_hwm(spark, store_path, day_col))
 
 
@@ -91,7 +110,9 @@ class OverlappingBatchError(ValueError):
 def add_disjoint_batch(counts: DataFrame, store_path: str, day_col: str = "day") -> int:
     """Append a batch of counts whose days are all new (I4)."""
     spark = counts.sparkSession
-    counts = materialize(counts)  # read by the overlap check and by the append
+    staged = scratch_path(spark, "batch")  # computed once; read by the overlap check and by the append
+    counts.write.parquet(staged)
+    counts = spark.read.parquet(staged)
     if path_exists(spark, store_path):
         stored_days = read_staging(spark, store_path).select(day_col).distinct()
         clash = counts.select(day_col).distinct().join(stored_days, day_col, "left_semi")

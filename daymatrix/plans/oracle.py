@@ -4,7 +4,7 @@ Each statement re-derives the expected result from the raw driver views
 (``orders``, ``customer``, ``nation``, ``lineitem``, ``events``) in plain SQL:
 the fixture views, the cleaning rules, the range tables (as ``VALUES`` with a
 range join and ``arg_min``), the counts, fills and renderings. Wide results
-use DuckDB's dynamic ``PIVOT``.
+name their columns (``plans.features``), one filtered sum each.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from daymatrix.functions.clean import WHITESPACE
 from daymatrix.functions.icd import CHAPTER_RANGES, SELECTED_CODES, SUBCHAPTER_RANGES
 from daymatrix.operators.demand import DEMAND_VARIABLES
 from daymatrix.plans import catalog as C
+from daymatrix.plans import features as names
 
 # --- SQL text helpers ----------------------------------------------------------
 
@@ -59,7 +60,7 @@ SELECTED_SQL = ", ".join(f"'{c}'" for c in sorted(set(SELECTED_CODES)))
 FIXTURES = """
 visits AS (
   SELECT o_orderdate AS DATA_VISITA,
-         CAST(o_custkey % 250 AS VARCHAR) AS UP,
+         CAST(o_custkey AS VARCHAR) AS UP,
          o_orderstatus AS VISI_LLOC_VISITA,
          CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN '  '
               ELSE substr(o_orderpriority, 1, 1) END AS VISI_SITUACIO_VISITA,
@@ -71,15 +72,17 @@ visits AS (
   FROM orders),
 up_rs AS (
   SELECT CAST(c_custkey AS VARCHAR) AS codi_up,
-         CASE WHEN c_custkey % 23 = 0 THEN 'SENSEESPECIFICAR_SE'
+         CASE WHEN c_custkey % 17 = 0 THEN '  '
+              WHEN c_custkey % 23 = 0 THEN 'SENSEESPECIFICAR_SE'
               WHEN c_custkey % 29 = 0 THEN NULL
               ELSE 'RS' || CAST(n_regionkey AS VARCHAR) END AS RS
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey < 250 AND c_custkey % 17 <> 0),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 diagnoses AS (
   SELECT l_shipdate AS data_visita,
-         CAST(l_suppkey % 50 AS VARCHAR) AS up_c,
+         CAST(l_suppkey AS VARCHAR) AS up_c,
          CASE WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 53 = 0 THEN 'x?'
+              WHEN l_orderkey % 47 = 0 THEN upper(substr('abcdefghijklmnopqrstuvwxyz', CAST(l_partkey % 26 AS INT) + 1, 1))
+                   || lpad(CAST(l_orderkey % 100 AS VARCHAR), 2, '0')
               ELSE substr('abcdefghijklmnopqrstuvwxyz', CAST(l_partkey % 26 AS INT) + 1, 1)
                    || lpad(CAST(l_orderkey % 100 AS VARCHAR), 2, '0')
                    || '.' || CAST(l_linenumber AS VARCHAR) END AS problema_salut_c
@@ -196,10 +199,19 @@ def diag_long(scopes=("CAT", "RS", "UP"), where="TRUE") -> str:
     return f"xlong AS ({scoped('xst', 'diagnosis', scopes, where, 'sum(n)')})"
 
 
-def pivot(src: str, key: str = "day", fill: bool = True, extra: str = "") -> str:
-    cols = f"COALESCE(COLUMNS(* EXCLUDE ({key})), 0)" if fill else f"COLUMNS(* EXCLUDE ({key}))"
-    return (f"SELECT {extra}{key} AS timestamp, {cols} FROM "
-            f"(PIVOT (SELECT {key}, feature, n FROM {src}) ON feature USING CAST(sum(n) AS BIGINT) GROUP BY {key})")
+def pivot(src: str, columns, key: str = "day", fill: bool = True, extra: str = "") -> str:
+    cells = []
+    for c in columns:
+        total = f"CAST(sum(n) FILTER (WHERE feature = '{c}') AS BIGINT)"
+        cells.append((f"COALESCE({total}, 0)" if fill else total) + f' AS "{c}"')
+    return f"SELECT {extra}{key} AS timestamp, {', '.join(cells)} FROM {src} GROUP BY {key}"
+
+
+def cells(src: str, columns, name: str = "feature", value: str = "n") -> str:
+    """The cells of a zero-filled matrix as rows."""
+    return (f"SELECT d.day AS timestamp, f.feature AS {name}, CAST(COALESCE(sum(s.n), 0) AS BIGINT) AS {value} "
+            f"FROM (SELECT DISTINCT day FROM {src}) d CROSS JOIN (VALUES {_values([(c,) for c in columns])}) f(feature) "
+            f"LEFT JOIN {src} s ON s.day = d.day AND s.feature = f.feature GROUP BY 1, 2")
 
 
 def calendar(name: str, bounds: str) -> str:
@@ -288,17 +300,16 @@ SQL["demand_feature_names"] = with_(*DEMAND_BASE, demand_long()) + f"SELECT day,
 
 _DCAT = f"dcat AS (SELECT day, {DEMAND_NAME} AS feature, n FROM ({scoped('dst', 'demand', ('CAT',))}) t)"
 _DRS = f"drs AS (SELECT day, {DEMAND_NAME} AS feature, n FROM ({scoped('dst', 'demand', ('RS',))}) t)"
-SQL["demand_wide_cat"] = with_(*DEMAND_BASE, _DCAT) + pivot("dcat")
-SQL["demand_wide_rs"] = with_(*DEMAND_BASE, _DRS) + pivot("drs")
-SQL["wide_to_long"] = with_(*DEMAND_BASE, _DCAT) + f"""SELECT timestamp, feature, n FROM
-(UNPIVOT ({pivot('dcat')}) ON COLUMNS(* EXCLUDE (timestamp)) INTO NAME feature VALUE n) u"""
+SQL["demand_wide_cat"] = with_(*DEMAND_BASE, _DCAT) + pivot("dcat", names.demand_features("CAT"))
+SQL["demand_wide_rs"] = with_(*DEMAND_BASE, _DRS) + pivot("drs", names.demand_features("RS"))
+SQL["wide_to_long"] = with_(*DEMAND_BASE, _DCAT) + cells("dcat", names.demand_features("CAT"))
 
 # --- diagnosis -----------------------------------------------------------------------
 
 SQL["diagnosis_prepared"] = with_(*DIAG_BASE) + "SELECT * FROM dx"
 SQL["diagnosis_total"] = with_(*DIAG_BASE) + "SELECT DATA_VISITA, CAST(sum(n) AS BIGINT) AS DIAG_TOTAL FROM dx GROUP BY 1"
 SQL["diagnosis_total_rs"] = with_(*DIAG_BASE, "tr AS (SELECT DATA_VISITA, 'DIAG_TOTAL__RS__' || RS AS feature, n FROM dx)") \
-    + pivot("tr", "DATA_VISITA")
+    + pivot("tr", [f"DIAG_TOTAL__RS__{r}" for r in names.DIAGNOSIS_REGIONS], "DATA_VISITA")
 SQL["diagnosis_code_daily"] = with_(RAW_ROWS) + "SELECT day, DIAG_CODE, count(*) AS n FROM rr GROUP BY 1, 2"
 SQL["diagnosis_code_by_group"] = with_(LOOKUP, RAW_ROWS) + """SELECT day, COALESCE(lk.RS, 'UNKNOWN') AS RS, DIAG_CODE, count(*) AS n
 FROM rr LEFT JOIN lk ON rr.UP = lk.UP GROUP BY 1, 2, 3"""
@@ -317,18 +328,20 @@ _XCAT = f"xcat AS (SELECT day, {DIAG_NAME} AS feature, n FROM ({scoped('xst', 'd
 _IS_CHAPTER = "variable = 'ICD10_CHAPTER'"
 _CH_CAT = f"chc AS (SELECT day, {DIAG_NAME} AS feature, n FROM ({scoped('xst', 'diagnosis', ('CAT',), _IS_CHAPTER, 'sum(n)')}) t)"
 _CH_RS = f"chr_ AS (SELECT day, {DIAG_NAME} AS feature, n FROM ({scoped('xst', 'diagnosis', ('RS',), _IS_CHAPTER, 'sum(n)')}) t)"
-SQL["wide_chapter_cat"] = with_(*DIAG_BASE, DIAG_STACK, _CH_CAT) + pivot("chc")
-SQL["wide_chapter_rs"] = with_(*DIAG_BASE, DIAG_STACK, _CH_RS) + pivot("chr_")
+SQL["wide_chapter_cat"] = with_(*DIAG_BASE, DIAG_STACK, _CH_CAT) + pivot("chc", names.diagnosis_features("CAT", ["ICD10_CHAPTER"], False))
+SQL["wide_chapter_rs"] = with_(*DIAG_BASE, DIAG_STACK, _CH_RS) + pivot("chr_", names.diagnosis_features("RS", ["ICD10_CHAPTER"], False))
 SQL["diagnosis_code_wide"] = with_(*DIAG_BASE) + pivot(
-    f"(SELECT DATA_VISITA AS day, 'DIAG_CODE_' || ICD10_3 AS feature, n FROM dx WHERE ICD10_3 IN ({SELECTED_SQL}))")
+    f"(SELECT DATA_VISITA AS day, 'DIAG_CODE_' || ICD10_3 AS feature, n FROM dx WHERE ICD10_3 IN ({SELECTED_SQL}))",
+    [f"DIAG_CODE_{c}" for c in sorted(set(SELECTED_CODES))])
 SQL["selected_daily_cat"] = with_(*DIAG_BASE) + pivot(
-    f"(SELECT DATA_VISITA AS day, 'ICD10_3__' || ICD10_3 AS feature, n FROM dx WHERE ICD10_3 IN ({SELECTED_SQL}))")
+    f"(SELECT DATA_VISITA AS day, 'ICD10_3__' || ICD10_3 AS feature, n FROM dx WHERE ICD10_3 IN ({SELECTED_SQL}))",
+    [f"ICD10_3__{c}" for c in sorted(set(SELECTED_CODES))])
 SQL["selected_daily_rs"] = with_(*DIAG_BASE) + pivot(
     f"(SELECT DATA_VISITA AS day, 'ICD10_3__' || ICD10_3 || '__RS__' || RS AS feature, n FROM dx "
-    f"WHERE ICD10_3 IN ({SELECTED_SQL}))")
-SQL["selected_wide_cat"] = with_(*DIAG_BASE, DIAG_STACK, _XCAT) + pivot("xcat")
+    f"WHERE ICD10_3 IN ({SELECTED_SQL}))", names.diagnosis_features("RS", ["ICD10_3"], False))
+SQL["selected_wide_cat"] = with_(*DIAG_BASE, DIAG_STACK, _XCAT) + pivot("xcat", names.diagnosis_features("CAT"))
 SQL["selected_wide_rs"] = with_(*DIAG_BASE, DIAG_STACK, diag_long(("RS",))) + pivot(
-    f"(SELECT day, {DIAG_NAME} AS feature, n FROM xlong)")
+    f"(SELECT day, {DIAG_NAME} AS feature, n FROM xlong)", names.diagnosis_features("RS"))
 SQL["selected_long_up"] = with_(*DIAG_BASE, DIAG_STACK, diag_long(("UP",))) + f"SELECT day, {DIAG_NAME} AS feature, n FROM xlong"
 
 # --- time series -----------------------------------------------------------------------
@@ -383,36 +396,37 @@ JOIN_CTES = (*ALL_BASE, DIAG_STACK, _DCAT, _XCAT,
               "gall AS (SELECT * FROM gd UNION ALL SELECT * FROM gx)",
               f"fl AS (SELECT feature, day, CAST(COALESCE(last_value(n IGNORE NULLS) {_W_BEFORE}, 0) AS BIGINT) AS n FROM gall)")
 
-SQL["joined_daily"] = with_(*JOIN_CTES) + pivot("fl", fill=False)
+SQL["joined_daily"] = with_(*JOIN_CTES) + pivot("fl", names.joined_features())
 SQL["final_recent"] = with_(*JOIN_CTES) + pivot(
     f"(SELECT * FROM fl WHERE day >= {_d(C.RECENT_FROM)} AND feature IN "
-    f"({', '.join(repr(f) for f in C.RECENT_FEATURES)}))", fill=False)
+    f"({', '.join(repr(f) for f in C.RECENT_FEATURES)}))", C.RECENT_FEATURES)
 SQL["monthly_trend"] = with_(*JOIN_CTES) + """SELECT CAST(date_trunc('month', day) AS DATE) AS month, feature,
        CAST(sum(n) AS BIGINT) AS n FROM fl GROUP BY 1, 2"""
 SQL["historical_all"] = with_(*ALL_BASE, DIAG_STACK, demand_long(), diag_long()) + \
     f"SELECT day, {DEMAND_NAME} AS feature, n FROM dlong UNION ALL SELECT day, {DIAG_NAME} AS feature, n FROM xlong"
 
 
-def _batch_wide(src: str, prefix: str) -> str:
+def _batch_wide(src: str, prefix: str, columns) -> str:
     """Per-batch pivots, unioned by name, latest batch per day, columns prefixed."""
     b1 = f"(SELECT day, '{prefix}' || feature AS feature, n FROM {src} WHERE day < {_d(C.BATCH1_END)})"
     b2 = f"(SELECT day, '{prefix}' || feature AS feature, n FROM {src} WHERE day >= {_d(C.BATCH2_START)})"
     return (f"SELECT * EXCLUDE (batch_id, rn) FROM (SELECT *, row_number() OVER (PARTITION BY timestamp "
-            f"ORDER BY batch_id DESC) AS rn FROM ({pivot(b1, extra='1 AS batch_id, ')} UNION ALL BY NAME "
-            f"{pivot(b2, extra='2 AS batch_id, ')}) u) w WHERE rn = 1")
+            f"ORDER BY batch_id DESC) AS rn FROM ({pivot(b1, [prefix + c for c in columns if c != C.LATE_COLUMN], extra='1 AS batch_id, ')} UNION ALL BY NAME "
+            f"{pivot(b2, [prefix + c for c in columns], extra='2 AS batch_id, ')}) u) w WHERE rn = 1")
 
 
 _TOTAL_OR_CHAPTER = "variable IN ('TOTAL', 'ICD10_CHAPTER')"
 _CH_CAT_TOTAL = f"chct AS (SELECT day, {DIAG_NAME} AS feature, n FROM ({scoped('xst', 'diagnosis', ('CAT',), _TOTAL_OR_CHAPTER, 'sum(n)')}) t)"
 _MERGE_CTES = (*ALL_BASE, DIAG_STACK, _DCAT, _CH_CAT_TOTAL)
-SQL["merge_finals"] = with_(*_MERGE_CTES) + f"""SELECT * FROM ({_batch_wide('dcat', '')}) a
-FULL OUTER JOIN ({_batch_wide('chct', 'DIAG_')}) b USING (timestamp)"""
-SQL["merge_staging"] = with_(*_MERGE_CTES) + f"""SELECT * FROM ({_batch_wide('dcat', 'DEMAND_')}) a
-FULL OUTER JOIN ({_batch_wide('chct', 'DIAGNOSIS_')}) b USING (timestamp)"""
+SQL["merge_finals"] = with_(*_MERGE_CTES) + f"""SELECT * FROM ({_batch_wide('dcat', '', names.demand_features('CAT'))}) a
+FULL OUTER JOIN ({_batch_wide('chct', 'DIAG_', names.diagnosis_features('CAT', ['ICD10_CHAPTER']))}) b USING (timestamp)"""
+SQL["merge_staging"] = with_(*_MERGE_CTES) + f"""SELECT * FROM ({_batch_wide('dcat', 'DEMAND_', names.demand_features('CAT'))}) a
+FULL OUTER JOIN ({_batch_wide('chct', 'DIAGNOSIS_', names.diagnosis_features('CAT', ['ICD10_CHAPTER']))}) b USING (timestamp)"""
 
 # --- staging, dedup, retention ------------------------------------------------------------
 
-SQL["dedup_latest"] = with_(*DEMAND_BASE) + scoped("dst", "demand", ("CAT",))
+SQL["dedup_latest"] = with_(*DEMAND_BASE) + f"""SELECT * REPLACE (
+  CASE WHEN day >= {_d(C.BATCH2_START)} THEN n * 10 + 1 ELSE n END AS n) FROM ({scoped("dst", "demand", ("CAT",))}) t"""
 
 _BATCHED = f"""st AS (
   SELECT *, 1 AS batch_id FROM dx WHERE DATA_VISITA < {_d(C.BATCH1_END)}
@@ -437,7 +451,7 @@ SQL["narrow_types"] = with_(*DEMAND_BASE, _DCAT) + f"""SELECT column_name, CAST(
        CASE WHEN min(v) >= -128 AND max(v) <= 127 THEN 'tinyint'
             WHEN min(v) >= -32768 AND max(v) <= 32767 THEN 'smallint'
             WHEN min(v) >= -2147483648 AND max(v) <= 2147483647 THEN 'int' ELSE 'bigint' END AS narrow_type
-FROM (UNPIVOT ({pivot('dcat')}) ON COLUMNS(* EXCLUDE (timestamp)) INTO NAME column_name VALUE v) u
+FROM ({cells('dcat', names.demand_features('CAT'), 'column_name', 'v')}) u
 GROUP BY column_name"""
 
 # --- incremental -------------------------------------------------------------------------
@@ -460,3 +474,29 @@ WHERE UP IS NOT NULL AND UP NOT IN (SELECT UP FROM lk) GROUP BY UP"""
 # --- streaming -------------------------------------------------------------------------------
 
 SQL["stream_daily_counts"] = "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+
+SQL["stream_late_rows"] = SQL["stream_daily_counts"]
+
+# --- increments under wrong and lost rows ------------------------------------------------------
+
+SQL["incremental_future_row"] = SQL["demand_all_scopes"]
+SQL["incremental_deleted_day"] = with_(*DEMAND_BASE) + scoped(
+    "dst", "demand", where=f"(day < {_d(C.DELETED[0])} OR day >= {_d(C.DELETED[1])})")
+
+# --- stores and checks ---------------------------------------------------------------------------
+
+_FEW = [c for c in names.demand_features("CAT") if "TOTAL" in c or "SERVEI" in c]
+_FEW_CTE = "few AS (SELECT * FROM dcat WHERE feature LIKE '%TOTAL%' OR feature LIKE '%SERVEI%')"
+_FEW_BASE = with_(*DEMAND_BASE, _DCAT, _FEW_CTE)
+SQL["matrix_csv_round_trip"] = _FEW_BASE + pivot("few", _FEW)
+SQL["matrix_dual_write"] = _FEW_BASE + f"""SELECT c.*, k.kind FROM ({cells("few", _FEW)}) c
+CROSS JOIN (VALUES ('parquet'), ('csv')) k(kind)"""
+SQL["long_partitioned_store"] = with_(*DEMAND_BASE) + f"""SELECT day, group_value, variable, value, n
+FROM ({scoped("dst", "demand", ("RS",))}) t"""
+SQL["data_ids"] = with_(*DIAG_BASE) + "SELECT CAST(DATA_VISITA AS VARCHAR) || '|' || ICD10_3 || '|' || UP AS data_id, n FROM dx"
+SQL["narrow_casts"] = _FEW_BASE + cells("few", _FEW)
+SQL["state_watermark"] = with_(LOOKUP, VISITS_CLEAN) + "SELECT max(day) AS last_loaded_date FROM vc"
+SQL["compact_staging_batches"] = with_(*DIAG_BASE, _BATCHED, _LATEST) + "SELECT * EXCLUDE (batch_id) FROM lt"
+SQL["aligned_matrices"] = _FEW_BASE + pivot(
+    f"(SELECT day, CASE WHEN day < {_d(C.BATCH1_END)} AND feature = 'demanda__TOTAL_CAT' THEN NULL "
+    f"WHEN day >= {_d(C.BATCH1_END)} AND feature = 'demanda__SERVEI_CODI__5-LOW' THEN NULL ELSE feature END AS feature, n FROM few)", _FEW)

@@ -8,7 +8,6 @@ in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -82,10 +81,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     root = checkpoint_root(spark)
-    path = f"{root}/daymatrix/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
-    return path
+    return f"{root}/daymatrix/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back, for frames
+    that several jobs scan: compressed, and read by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:

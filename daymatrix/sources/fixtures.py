@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 from daymatrix.sources.tables import read_table
 
 # Fixed values of the fixture definition.
-UNIT_MODULUS = 250          # visits: unit code = customer key mod 250
-LOOKUP_MAX_KEY = 250        # lookup lists customer keys below this bound ...
-LOOKUP_SKIP_MODULUS = 17    # ... except multiples of 17 (units without region)
-DIAG_UNIT_MODULUS = 50      # diagnoses: unit code = supplier key mod 50
+LOOKUP_SKIP_MODULUS = 17    # customers that the lookup lists without a region code
+BARE_CODE_MODULUS = 47      # orders whose diagnoses carry a bare 3-character code
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,7 +40,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return o.select(
         F.col("o_orderdate").alias("DATA_VISITA"),
-        (F.col("o_custkey") % UNIT_MODULUS).cast("string").alias("UP"),
+        F.col("o_custkey").cast("string").alias("UP"),
         F.col("o_orderstatus").alias("VISI_LLOC_VISITA"),
         situacio.alias("VISI_SITUACIO_VISITA"),
         F.col("o_orderpriority").alias("SERVEI_CODI"),
@@ -57,13 +55,13 @@ def up_rs(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     key = F.col("c_custkey")
     rs = (
-        F.when(key % 23 == 0, F.lit("SENSEESPECIFICAR_SE"))
+        F.when(key % LOOKUP_SKIP_MODULUS == 0, F.lit("  "))
+        .when(key % 23 == 0, F.lit("SENSEESPECIFICAR_SE"))
         .when(key % 29 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("RS"), F.col("n_regionkey").cast("string")))
     )
     return (
-        c.where((key < LOOKUP_MAX_KEY) & (key % LOOKUP_SKIP_MODULUS != 0))
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(key.cast("string").alias("codi_up"), rs.alias("RS"))
     )
 
@@ -83,11 +81,12 @@ def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     problema = (
         F.when(okey % 59 == 0, F.lit(None).cast("string"))
         .when(okey % 53 == 0, F.lit("x?"))
+        .when(okey % BARE_CODE_MODULUS == 0, F.upper(F.substring(code, 1, 3)))
         .otherwise(code)
     )
     return li.select(
         F.col("l_shipdate").alias("data_visita"),
-        (F.col("l_suppkey") % DIAG_UNIT_MODULUS).cast("string").alias("up_c"),
+        F.col("l_suppkey").cast("string").alias("up_c"),
         problema.alias("problema_salut_c"),
     )
 

@@ -21,6 +21,7 @@ from daymatrix.functions.names import qcol
 from daymatrix.operators.dedup import latest_wins
 
 BATCH_COL = "batch_id"
+SEQ_COL = "row_seq"   # order of the rows within a batch, fixed at append
 # Rows per staging file. Small chunks only bound a single process's memory;
 # on a cluster they would make many small files, so the default keeps files
 # in the order of 100 MB for count rows. It stays a parameter.
@@ -43,12 +44,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a dataset's first partition column, from its folders."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> list[str]:
+    """Delete whole partitions by value; returns those that were there."""
+    fs, _ = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    dropped = []
+    for value in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+        if fs.exists(p):
+            fs.delete(p, True)
+            dropped.append(value)
+    return dropped
+
+
 def next_batch_id(spark: SparkSession, path: str) -> int:
     """One more than the greatest stored batch id (1 for a new store)."""
-    if not path_exists(spark, path):
-        return 1
-    row = spark.read.parquet(path).agg(F.max(BATCH_COL).alias("m")).collect()[0]
-    return 1 if row is None or row["m"] is None else int(row["m"]) + 1
+    return 1 + max((int(v) for v in partition_values(spark, path, BATCH_COL)), default=0)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
@@ -61,7 +81,8 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
     """
     spark = df.sparkSession
     bid = next_batch_id(spark, path) if batch_id is None else int(batch_id)
-    (df.withColumn(BATCH_COL, F.lit(bid).cast("int"))
+    (df.withColumn(SEQ_COL, F.monotonically_increasing_id())
+       .withColumn(BATCH_COL, F.lit(bid).cast("int"))
        .write.mode("append")
        .partitionBy(BATCH_COL)
        .option("maxRecordsPerFile", max_records_per_file)
@@ -70,17 +91,21 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
     return bid
 
 
-def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False) -> DataFrame:
-    """All batches, columns unioned across batches."""
+def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False, keep_seq: bool = False) -> DataFrame:
+    """All batches, columns unioned across batches (U1, S13); ``keep_seq``
+    keeps each row's place in its batch."""
     reader = spark.read.option("mergeSchema", True)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
-    return reader.parquet(path)
+    staged = reader.parquet(path)
+    return staged if keep_seq else staged.drop(SEQ_COL)
 
 
 def load_staging(spark: SparkSession, path: str, keys: Sequence[str], ignore_corrupt: bool = False) -> DataFrame:
-    """Staging rows, latest batch wins per key."""
-    return latest_wins(read_staging(spark, path, ignore_corrupt), keys, BATCH_COL)
+    """Staging rows, the last row per key wins: latest batch, and within it the
+    row that was appended last (S12, D1)."""
+    staged = read_staging(spark, path, ignore_corrupt, keep_seq=True)
+    return latest_wins(staged, keys, [BATCH_COL, SEQ_COL]).drop(SEQ_COL)
 
 
 def manifest(staged: DataFrame, ts_col: str) -> DataFrame:
@@ -103,15 +128,7 @@ def retention_flags(man: DataFrame, as_of, retention_days: int = 90) -> DataFram
 
 def drop_batches(spark: SparkSession, path: str, batch_ids: Iterable[int]) -> list[int]:
     """Delete whole ``batch_id`` partitions (I6/I7); other batches untouched."""
-    fs, _ = _fs_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    dropped = []
-    for bid in batch_ids:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BATCH_COL}={int(bid)}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            dropped.append(int(bid))
-    return dropped
+    return [int(v) for v in drop_partitions(spark, path, BATCH_COL, [str(int(b)) for b in batch_ids])]
 
 
 def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, retention_days: int = 90) -> list[int]:

@@ -6,56 +6,17 @@ callers add on top reach the scan as ``ReadSchema`` and ``PushedFilters``.
 
 from __future__ import annotations
 
-import os
-from urllib.parse import urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymatrix.functions.clean import strip
 
 
-# Inputs below this size may be spread over the cores with one small shuffle.
-SPREAD_MAX_BYTES = 512 * 1024 * 1024
-SPREAD_BYTES_PER_PARTITION = 1024 * 1024
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One driver table, e.g. ``read_table(spark, dir, "orders")``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
-
-
-def _input_bytes(df: DataFrame, stop_above: int) -> int | None:
-    """Total size of the scanned files when they are local; ``None`` for
-    remote storage (large inputs there come in many row groups anyway).
-    Counting stops past ``stop_above``."""
-    total = 0
-    for f in df.inputFiles():
-        if not f.startswith("file:") and "://" in f:
-            return None
-        total += os.path.getsize(urlparse(f).path if f.startswith("file:") else f)
-        if total > stop_above:
-            break
-    return total
-
-
-def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Spread a small scan over the cores.
-
-    Parquet splits at row-group boundaries, so a small file written as one
-    row group is read, parsed and pre-aggregated by a single task however
-    many cores there are. Below ``max_bytes`` a round-robin repartition
-    (one shuffle of at most that many bytes) lets the row-level work run in
-    parallel; filters and column pruning still reach the scan beneath it.
-    Large inputs arrive in many row groups and are never reshuffled.
-    """
-    size = _input_bytes(df, max_bytes)
-    if not size or size > max_bytes:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    target = max(1, min(cores, -(-size // SPREAD_BYTES_PER_PARTITION)))
-    return df.repartition(target) if target > 1 else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table, e.g. ``read_table(spark, dir, "orders")``. Scans split
+    by ``spark.sql.files.maxPartitionBytes`` and row groups, at any size and
+    from any store alike."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_lookup(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

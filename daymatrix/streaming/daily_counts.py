@@ -1,12 +1,12 @@
 """Structured Streaming form of the daily count.
 
-``readStream`` over a Parquet folder, event time cast to ``TIMESTAMP`` (the
-watermark rejects ``TIMESTAMP_NTZ``), ``withWatermark`` + a 1-day tumbling
-window, and ``foreachBatch`` in update mode. Each micro-batch carries only
-changed ``(day, key)`` rows, so the sink merges them with what is stored for
-those days (latest count wins) and replaces just those day partitions with
-dynamic partition overwrite. The checkpoint lives in the shared folder, so a
-restarted query resumes from its offsets and state.
+``readStream`` over a Parquet folder and ``foreachBatch``: each micro-batch is
+counted per day and key in one aggregation and stored as its own partition,
+named by the batch id. The result is the sum over the batches, so a row counts
+however late it arrives; no state is kept and no watermark drops it. A batch
+that is replayed after a failure replaces its own partition, which makes the
+sink exactly-once. The checkpoint lives in the shared folder, so a restarted
+query resumes from its offsets.
 """
 
 from __future__ import annotations
@@ -14,66 +14,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymatrix.operators.lookup import small_side
 from daymatrix.sources.store import path_exists
 
+EPOCH_COL = "epoch"
 
-def daily_window_counts(stream: DataFrame, ts_col: str = "ts", key_col: str = "event_type",
-                        lateness: str = "1 day") -> DataFrame:
-    """Streaming ``(day, key, n)`` per 1-day event-time window."""
-    ts = F.col(ts_col).cast("timestamp")
-    return (
-        stream.select(ts.alias("__ts"), F.col(key_col))
-        .withWatermark("__ts", lateness)
-        .groupBy(F.window("__ts", "1 day"), F.col(key_col))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date(F.col("window.start")).alias("day"), key_col, "n")
-    )
 
+def daily_key_counts(rows: DataFrame, ts_col: str = "ts", key_col: str = "event_type") -> DataFrame:
+    """``(day, key, n)`` of some rows."""
+    return (rows.groupBy(F.to_date(F.col(ts_col).cast("timestamp")).alias("day"), F.col(key_col))
+            .agg(F.count(F.lit(1)).alias("n")))
 
-def _upsert(sink_path: str, key_col: str):
+
+def read_daily_counts(spark: SparkSession, sink_path: str, key_col: str = "event_type") -> DataFrame:
+    """Counts per day and key over all stored batches."""
+    return spark.read.parquet(sink_path).groupBy("day", key_col).agg(F.sum("n").cast("long").alias("n"))
+
+
+def compact_daily_counts(spark: SparkSession, sink_path: str, out_path: str, key_col: str = "event_type") -> None:
+    """Write the sums as one batch of a new sink (many small batches read
+    slowly); the stream goes on into either."""
+    read_daily_counts(spark, sink_path, key_col).withColumn(EPOCH_COL, F.lit(-1).cast("long")) \
+        .write.partitionBy(EPOCH_COL).parquet(out_path)
+
+
+def _store(sink_path: str, ts_col: str, key_col: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        changed = batch.withColumn("__seq", F.lit(1))
-        merged = changed
-        if path_exists(spark, sink_path):
-            days = batch.select("day").distinct()
-            stored = (spark.read.parquet(sink_path)
-                      .join(small_side(days), "day", "left_semi")
-                      .withColumn("__seq", F.lit(0)))
-            merged = changed.unionByName(stored)
-        # Latest wins per (day, key): the micro-batch value replaces the stored one.
-        out = merged.groupBy("day", key_col).agg(F.max_by("n", "__seq").alias("n"))
-        # Materialise before overwriting the partitions the plan reads from.
-        out = out.checkpoint(eager=True)
-        (out.hint("rebalance", "day").write.mode("overwrite")
+        (daily_key_counts(batch, ts_col, key_col)
+            .withColumn(EPOCH_COL, F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day").parquet(sink_path))
+            .partitionBy(EPOCH_COL).parquet(sink_path))
     return write
 
 
 def run_daily_counts(spark: SparkSession, source: str, schema, sink_path: str, checkpoint_path: str,
-                     ts_col: str = "ts", key_col: str = "event_type", lateness: str = "1 day",
-                     timeout_s: int = 600, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the stream to the end of the available input (``availableNow``)
-    and return the sink as a batch DataFrame. ``source`` is a folder of
-    Parquet files or a glob over the table's files."""
+                     ts_col: str = "ts", key_col: str = "event_type",
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run the stream to the end of the available input (``availableNow``),
+    however long that takes, and return the counts as a batch DataFrame.
+    ``source`` is a folder of Parquet files or a glob over the table's files."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source)
-    counts = daily_window_counts(stream, ts_col, key_col, lateness)
-    q = (counts.writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint_path)
-         .foreachBatch(_upsert(sink_path, key_col))
-         .trigger(availableNow=True)
-         .start())
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError("streaming query did not finish in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink_path).select("day", key_col, F.col("n").cast("long").alias("n"))
+    query = (reader.parquet(source).writeStream
+             .option("checkpointLocation", checkpoint_path)
+             .foreachBatch(_store(sink_path, ts_col, key_col))
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
+    if not path_exists(spark, sink_path):  # no input at all
+        empty = spark.createDataFrame([], schema)
+        daily_key_counts(empty, ts_col, key_col).withColumn(EPOCH_COL, F.lit(0).cast("long")).write.parquet(sink_path)
+    return read_daily_counts(spark, sink_path, key_col)

@@ -118,11 +118,11 @@ def test_increments_with_state(spark):
 
     store_path, state_path = scratch_path(spark, "t-inc-store"), scratch_path(spark, "t-inc-state")
     v, lk = fx.visits(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)
-    first = daily.run_demand_increment(v, lk, store_path, 30, upto=dt.date(1999, 1, 1), state_path=state_path,
+    first = daily.run_demand_increment(v, lk, store_path, dt.date(1998, 12, 31), 30, state_path=state_path,
                                        run_at=dt.datetime(1999, 1, 1, 6))
     assert first.hwm_before is None and first.hwm_after < dt.date(1999, 1, 1)
     assert store.load_state(spark, state_path) == first.hwm_after
-    second = daily.run_demand_increment(v, lk, store_path, 30, state_path=state_path)
+    second = daily.run_demand_increment(v, lk, store_path, dt.date(2001, 11, 5), 30, state_path=state_path)
     assert second.read_from == (first.hwm_after - dt.timedelta(days=29)).replace(day=1)
     full = demand_counts(prepare_visits(v, lk))
     stored = spark.read.parquet(store_path).drop("period")
@@ -137,8 +137,8 @@ def test_diagnosis_increment_matches_full_count(spark):
 
     path = scratch_path(spark, "t-dx-inc")
     dx, lk = fx.diagnoses(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)
-    daily.run_diagnosis_increment(dx, lk, path, 30, upto=dt.date(1999, 1, 1))
-    daily.run_diagnosis_increment(dx, lk, path, 30)
+    daily.run_diagnosis_increment(dx, lk, path, dt.date(1998, 12, 31), 30)
+    daily.run_diagnosis_increment(dx, lk, path, dt.date(2001, 11, 5), 30)
     full = diagnosis_counts(prepare_diagnoses(dx, lk), selected_codes=SELECTED_CODES)
     stored = spark.read.parquet(path).drop("period")
     assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0

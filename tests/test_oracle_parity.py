@@ -2,12 +2,13 @@
 import pytest
 
 import __spark_entry__ as E
+from daymatrix.plans.catalog import REGISTRY
 from daymatrix.plans.verify import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {name: fn for name, fn in E.queries().items() if name in REGISTRY}
+SQL = {name: sql for name, sql in E.oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")

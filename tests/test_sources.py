@@ -66,12 +66,17 @@ def test_unmatched_units_sample(spark):
     assert full and [r.UP for r in sample] == full[:2]
 
 
-def test_year_predicates():
-    from daymatrix.sources.jdbc import year_predicates
+def test_month_predicates():
+    from daymatrix.sources.jdbc import month_predicates
 
-    preds = year_predicates("DATA_VISITA", "1998-03-04", dt.date(2000, 1, 1), after="1998-06-30")
+    preds = month_predicates("DATA_VISITA", "1998-11-04", dt.date(1999, 1, 2), after="1998-06-30")
     assert preds == [
-        "DATA_VISITA >= '1998-01-01' AND DATA_VISITA < '1999-01-01' AND DATA_VISITA > '1998-06-30'",
-        "DATA_VISITA >= '1999-01-01' AND DATA_VISITA < '2000-01-01' AND DATA_VISITA > '1998-06-30'",
-        "DATA_VISITA >= '2000-01-01' AND DATA_VISITA < '2001-01-01' AND DATA_VISITA > '1998-06-30'",
+        "DATA_VISITA >= '1998-11-04' AND DATA_VISITA < '1998-12-01' AND DATA_VISITA > '1998-06-30'",
+        "DATA_VISITA >= '1998-12-01' AND DATA_VISITA < '1999-01-01' AND DATA_VISITA > '1998-06-30'",
+        "DATA_VISITA >= '1999-01-01' AND DATA_VISITA < '1999-01-03' AND DATA_VISITA > '1998-06-30'",
     ]
+
+
+def test_lookup_lists_every_customer(spark):
+    customers = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert fx.up_rs(spark, SF_SMALL).count() == customers

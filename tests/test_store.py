@@ -9,6 +9,7 @@ from daymatrix.session import scratch_path
 from daymatrix.sources import store
 
 D = dt.date
+AS_OF = D(2024, 12, 31)
 
 
 def test_latest_wins(spark):
@@ -54,25 +55,48 @@ def _stored(spark, path):
 def test_increments_are_idempotent(spark):
     src = _rows(spark, [(1, "a"), (2, "a"), (2, "b"), (3, "a"), (3, "a")])
     full = scratch_path(spark, "t-full")
-    inc.run_recount(src, "ts", _count, full)
+    inc.run_recount(src, "ts", _count, full, AS_OF)
     expect = _stored(spark, full)
     two = scratch_path(spark, "t-two")
-    inc.run_recount(src, "ts", _count, two, lookback_days=1, upto=D(2024, 1, 3))
-    inc.run_recount(src, "ts", _count, two, lookback_days=1)
+    inc.run_recount(src, "ts", _count, two, D(2024, 1, 2), lookback_days=1)
+    inc.run_recount(src, "ts", _count, two, AS_OF, lookback_days=1)
     assert _stored(spark, two) == expect
-    inc.run_recount(src, "ts", _count, two, lookback_days=1)  # replay
+    inc.run_recount(src, "ts", _count, two, AS_OF, lookback_days=1)  # replay
     assert _stored(spark, two) == expect
 
 
 def test_partial_day_then_full(spark):
     path = scratch_path(spark, "t-partial")
     partial = _rows(spark, [(5, "a")] * 2)
-    inc.run_recount(partial, "ts", _count, path)
+    inc.run_recount(partial, "ts", _count, path, AS_OF)
     full = _rows(spark, [(5, "a")] * 7)
-    inc.run_recount(full, "ts", _count, path)
+    inc.run_recount(full, "ts", _count, path, AS_OF)
     assert _stored(spark, path) == [(D(2024, 1, 5), "a", 7)]
 
 
+def test_future_row_neither_counts_nor_moves_the_watermark(spark):
+    path = scratch_path(spark, "t-future")
+    rows = spark.createDataFrame([(D(2024, 1, 5), "a"), (D(2099, 1, 1), "a")], "ts DATE, k STRING")
+    assert inc.run_recount(rows, "ts", _count, path, D(2024, 1, 31)).hwm_after == D(2024, 1, 5)
+    more = spark.createDataFrame([(D(2024, 1, 5), "a"), (D(2024, 2, 5), "a"), (D(2024, 3, 5), "a")], "ts DATE, k STRING")
+    inc.run_recount(more, "ts", _count, path, D(2024, 3, 31))
+    assert [r[0] for r in _stored(spark, path)] == [D(2024, 1, 5), D(2024, 2, 5), D(2024, 3, 5)]
+
+
+def test_emptied_month_goes(spark):
+    path = scratch_path(spark, "t-emptied")
+    rows = spark.createDataFrame([(D(2024, 1, 5), "a"), (D(2024, 2, 5), "a")], "ts DATE, k STRING")
+    inc.run_recount(rows, "ts", _count, path, AS_OF)
+    inc.run_recount(rows.where("ts < DATE'2024-02-01'"), "ts", _count, path, AS_OF, lookback_days=40)
+    assert _stored(spark, path) == [(D(2024, 1, 5), "a", 1)]
+
+
+def test_last_appended_row_wins_within_a_batch(spark):
+    path = scratch_path(spark, "t-ties")
+    store.append_batch(spark.createDataFrame([("a.b", 3), ("a.b", 1), ("a.b", 2)], "`k.x` STRING, n INT").coalesce(1), path)
+    assert [(r[0], r.n) for r in store.load_staging(spark, path, ["k.x"]).drop("batch_id").collect()] == [("a.b", 2)]
+
+
 def test_additive_store_refuses_overlap(spark):
     import pytest
 

@@ -23,3 +23,12 @@ def test_day_split_over_micro_batches(spark):
     got = sorted((r.day.isoformat(), r.event_type, r.n) for r in out.collect())
     assert got == [("2024-01-01", "view", 2), ("2024-01-02", "click", 2), ("2024-01-02", "view", 2),
                    ("2024-01-03", "view", 1)]
+
+
+def test_rows_later_than_a_day_count(spark):
+    src = scratch_path(spark, "t-late-src")
+    for i, day in enumerate([9, 1, 5, 1]):
+        spark.createDataFrame([_ev(i, day, 8, "view")], SCHEMA).coalesce(1).write.parquet(f"{src}/{i}")
+    out = run_daily_counts(spark, f"{src}/*/*.parquet", spark.read.parquet(f"{src}/0").schema,
+                           scratch_path(spark, "t-late-sink"), scratch_path(spark, "t-late-ckpt"), max_files_per_trigger=1)
+    assert sorted((r.day.day, r.n) for r in out.collect()) == [(1, 2), (5, 1), (9, 1)]

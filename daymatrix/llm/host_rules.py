@@ -139,7 +139,7 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
     """The rows of ``docs`` that pass, with all their columns. The base rule is
     applied in the scan; of the hosts only the rejected ones are joined."""
     hosts = host_verdicts(written(with_rules(measure(docs), limits), "host-rules"), limits)
-    rejected = hosts.where("host_rejected").select("host")
+    rejected = hosts.where("host_rejected").select(F.col("host").alias("__rejected_host"))
     names = docs.columns
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
             yield from whole.filter(pa.array(ok, pa.bool_())).to_batches()
 
     kept = docs.mapInArrow(passing, docs.schema)
-    return kept.join(rejected, F.col("source").cast("string") == F.col("host"), "left_anti").select(*(F.col(f"`{c}`") for c in names))
+    return kept.join(rejected, F.col("source").cast("string") == F.col("__rejected_host"), "left_anti").select(*(F.col(f"`{c}`") for c in names))
 
 
 ORACLE_RULES = r"""

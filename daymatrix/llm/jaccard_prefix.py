@@ -10,9 +10,10 @@ documents link when 100 * shared >= 80 * union. The join:
   enough shared shingles leaves the join here;
 * collapses equal sets to one representative;
 * finds pairs that share a prefix shingle and pass the length filter, the
-  positional filter (what can still be shared after that position) and a suffix
-  filter (shared shingles in each sixteenth of the hash space are at most the
-  smaller count there);
+  positional filter (what can be shared before and after that position, not
+  counting shingles that occur in one document only) and a suffix filter
+  (shared shingles in each sixteenth of the hash space are at most the smaller
+  count there);
 * verifies each pair once on the whole texts.
 
 A shingle that many documents hold in their prefix (a large group of copies
@@ -78,7 +79,7 @@ def _digest(docs: pa.Table, counts: np.ndarray) -> pa.Table:
         if n and rare < length:
             order = np.lexsort((keys, df))[rare:length]
             prefix = [{"key": k, "pos": rare + i} for i, k in enumerate(keys[order].view(np.int64).tolist())]
-            bins = np.bincount((keys >> np.uint64(60)).astype(np.int64), minlength=BINS).tolist()
+            bins = np.bincount((keys[df > 1] >> np.uint64(60)).astype(np.int64), minlength=BINS).tolist()
             z = zstandard.compress(text.as_py().encode(), 6)
         with np.errstate(over="ignore"):
             rows.append((doc_id, n, int(keys.sum(dtype=np.uint64).astype(np.int64)) if n else 0,
@@ -125,12 +126,13 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _may_link(x: str, y: str):
-    """Length, positional and suffix filter for two prefix rows."""
-    nx, ny, px, py = (F.col(f"{s}.{c}") for c in ("n", "pos") for s in (x, y))
+    """Length, positional and suffix filter for two prefix rows. Only the
+    ``n - rare`` shingles that occur in other documents can be shared."""
+    nx, ny, px, py, rx, ry = (F.col(f"{s}.{c}") for c in ("n", "pos", "n_rare") for s in (x, y))
     s, t = SIMILAR
     need = F.ceil((nx + ny) * s / F.lit(float(s + t)) - 1e-9)
     length = (F.least(nx, ny) * t) >= (F.greatest(nx, ny) * s)
-    position = F.least(px, py) + 1 + F.least(nx - px, ny - py) - 1 >= need
+    position = F.least(px - rx, py - ry) + F.least(nx - px, ny - py) >= need
     suffix = F.expr(f"aggregate(zip_with({x}.bins, {y}.bins, (p, q) -> least(p, q)), 0L, (u, v) -> u + v)") >= need
     return length & position & suffix
 
@@ -147,7 +149,7 @@ def link_classes(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = kept.select("doc_id", "z")
     rows = written(
         kept.select("doc_id", F.col("n_shingles").alias("n"), "bins", "n_rare", F.explode("prefix").alias("p"))
-        .select("doc_id", "n", "bins", F.col("p.key").alias("key"), F.col("p.pos").alias("pos"),
+        .select("doc_id", "n", "n_rare", "bins", F.col("p.key").alias("key"), F.col("p.pos").alias("pos"),
                 # Relative number of unshared shingles: the centre of a group of
                 # edited copies is the text they were edited from.
                 F.struct(((F.col("n_rare") * 1000) / F.col("n")).cast("int").alias("rare"), F.xxhash64("doc_id").alias("h"), "doc_id").alias("rank")),
@@ -163,12 +165,12 @@ def link_classes(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
         # The group's centre; in later rounds that of the largest remaining
         # component by rank, compared with members of other components only.
         order = F.col("rank") if turn == 0 else F.struct(F.pmod(F.xxhash64("comp", F.lit(turn)), F.lit(1 << 20)), "rank")
-        centre = open_rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "n", "pos", "bins", "comp"), order).alias("c"))
+        centre = open_rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "n", "n_rare", "pos", "bins", "comp"), order).alias("c"))
         pairs = (
             open_rows.alias("r").join(centre.alias("k"), "key")
             .select("r.*", "c")
             .where("doc_id <> c.doc_id AND comp <> c.comp")
-            .select(F.struct("doc_id", "n", "pos", "bins").alias("x"), F.col("c").alias("y"))
+            .select(F.struct("doc_id", "n", "n_rare", "pos", "bins").alias("x"), F.col("c").alias("y"))
             .where(_may_link("x", "y"))
             .select(F.least("x.doc_id", "y.doc_id").alias("b"), F.greatest("x.doc_id", "y.doc_id").alias("a"))
             .distinct()

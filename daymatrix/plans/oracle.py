@@ -60,7 +60,7 @@ SELECTED_SQL = ", ".join(f"'{c}'" for c in sorted(set(SELECTED_CODES)))
 FIXTURES = """
 visits AS (
   SELECT o_orderdate AS DATA_VISITA,
-         CAST(o_custkey AS VARCHAR) AS UP,
+         CASE WHEN o_orderkey % 43 = 0 THEN 'U' ELSE '' END || CAST(o_custkey AS VARCHAR) AS UP,
          o_orderstatus AS VISI_LLOC_VISITA,
          CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN '  '
               ELSE substr(o_orderpriority, 1, 1) END AS VISI_SITUACIO_VISITA,
@@ -79,9 +79,9 @@ up_rs AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
 diagnoses AS (
   SELECT l_shipdate AS data_visita,
-         CAST(l_suppkey AS VARCHAR) AS up_c,
+         CASE WHEN l_orderkey % 43 = 0 THEN 'U' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS up_c,
          CASE WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 53 = 0 THEN 'x?'
-              WHEN l_orderkey % 47 = 0 THEN upper(substr('abcdefghijklmnopqrstuvwxyz', CAST(l_partkey % 26 AS INT) + 1, 1))
+              WHEN l_orderkey % 7 = 0 THEN upper(substr('abcdefghijklmnopqrstuvwxyz', CAST(l_partkey % 26 AS INT) + 1, 1))
                    || lpad(CAST(l_orderkey % 100 AS VARCHAR), 2, '0')
               ELSE substr('abcdefghijklmnopqrstuvwxyz', CAST(l_partkey % 26 AS INT) + 1, 1)
                    || lpad(CAST(l_orderkey % 100 AS VARCHAR), 2, '0')

@@ -16,10 +16,16 @@ from daymatrix.sources.tables import read_table
 
 # Fixed values of the fixture definition.
 LOOKUP_SKIP_MODULUS = 17    # customers that the lookup lists without a region code
-BARE_CODE_MODULUS = 47      # orders whose diagnoses carry a bare 3-character code
+UNLISTED_MODULUS = 43       # orders whose rows name a unit that the lookup does not list
+BARE_CODE_MODULUS = 7       # orders whose diagnoses carry a bare 3-character code
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
+def _unit(order_key, column: str):
+    code = F.col(column).cast("string")
+    return F.when(order_key % UNLISTED_MODULUS == 0, F.concat(F.lit("U"), code)).otherwise(code)
+
+
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
@@ -40,7 +46,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return o.select(
         F.col("o_orderdate").alias("DATA_VISITA"),
-        F.col("o_custkey").cast("string").alias("UP"),
+        _unit(key, "o_custkey").alias("UP"),
         F.col("o_orderstatus").alias("VISI_LLOC_VISITA"),
         situacio.alias("VISI_SITUACIO_VISITA"),
         F.col("o_orderpriority").alias("SERVEI_CODI"),
@@ -86,7 +92,7 @@ def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.select(
         F.col("l_shipdate").alias("data_visita"),
-        F.col("l_suppkey").cast("string").alias("up_c"),
+        _unit(okey, "l_suppkey").alias("up_c"),
         problema.alias("problema_salut_c"),
     )
 

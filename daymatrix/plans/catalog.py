@@ -27,6 +27,7 @@ from daymatrix.operators.diagnosis import LEVELS, code_daily, daily_total, diagn
 from daymatrix.operators.join import combine_long, join_daily, join_daily_long, merge_wide
 from daymatrix.operators.dedup import data_id, latest_wins
 from daymatrix.operators.lookup import unit_region_lookup
+from daymatrix.operators import reports
 from daymatrix.operators.quality import unknown_codes, unmatched_units
 from daymatrix.operators.reshape import align_union, bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, fill_series, year_ranges
@@ -51,6 +52,7 @@ LOOKBACK_DAYS = 30
 RETENTION_DAYS = 90
 RECENT_FROM = dt.date(2001, 1, 1)
 FUTURE = dt.date(2099, 1, 1)
+LOADED = (dt.datetime(1999, 1, 1, 6), dt.datetime(2001, 11, 5, 6))   # when the two batches were appended
 DELETED = (dt.date(1998, 12, 1), dt.date(1999, 1, 1))   # a month that the source loses
 STAGING_RANGE = (dt.date(1998, 6, 1), dt.date(1999, 6, 30))
 FINAL_RANGE = (dt.date(1997, 1, 1), dt.date(2000, 12, 31))
@@ -317,10 +319,7 @@ def diagnosis_total(spark, sf):
 
 @job("diagnosis_total_rs")
 def diagnosis_total_rs(spark, sf):
-    r = _reduced(spark, sf)
-    long = r.groupBy("DATA_VISITA", "RS").agg(F.sum("n").alias("n")).select(
-        "DATA_VISITA", F.concat(F.lit("DIAG_TOTAL__RS__"), "RS").alias("feature"), "n")
-    return to_wide(long, key="DATA_VISITA", features=[f"DIAG_TOTAL__RS__{r}" for r in sorted(names.DIAGNOSIS_REGIONS)])
+    return reports.total_by_group(_reduced(spark, sf), features=[f"DIAG_TOTAL__RS__{r}" for r in sorted(names.DIAGNOSIS_REGIONS)])
 
 
 @job("diagnosis_code_daily")
@@ -378,15 +377,22 @@ def diagnosis_code_wide(spark, sf):
                    features=[f"DIAG_CODE_{c}" for c in sorted(set(SELECTED_CODES))])
 
 
+@job("diagnosis_code_blocks")
+def diagnosis_code_blocks(spark, sf):
+    """Every 3-character code on every day (R6), written in blocks of columns;
+    the non-zero cells of all blocks read back."""
+    long = diagnosis_counts(_reduced(spark, sf), ("CAT",), ["ICD10_3"], False, None)
+    path = scratch_path(spark, "code-blocks")
+    blocks = store.write_wide_blocks(long.select("day", F.concat(F.lit("DIAG_CODE_"), "value").alias("feature"), "n"), path)
+    rows = [to_long(spark.read.parquet(b)).where("n <> 0") for b in blocks]
+    return combine_long(rows)
+
+
 def _selected_matrix(spark, sf, scope):
     long = diagnosis_counts(_reduced(spark, sf), (scope,), ["ICD10_3"], False, SELECTED_CODES)
-    if scope == "CAT":
-        name = F.concat(F.lit("ICD10_3__"), "value")
-        columns = [f"ICD10_3__{c}" for c in sorted(set(SELECTED_CODES))]
-    else:
-        name = F.concat(F.lit("ICD10_3__"), "value", F.lit(f"__{scope}__"), "group_value")
-        columns = names.diagnosis_features(scope, ["ICD10_3"], False)
-    return to_wide(long.select("day", name.alias("feature"), "n"), features=columns)
+    columns = [f"ICD10_3__{c}" for c in sorted(set(SELECTED_CODES))] if scope == "CAT" else \
+        names.diagnosis_features(scope, ["ICD10_3"], False)
+    return reports.selected_matrix(long, scope, columns)
 
 
 @job("selected_daily_cat")
@@ -511,15 +517,17 @@ def merge_staging(spark, sf):
 
 @job("final_recent")
 def final_recent(spark, sf):
-    long = _joined_long(spark, sf).where(F.col("feature").isin(RECENT_FEATURES))
-    recent = long.where(F.col("day") >= F.lit(RECENT_FROM))
-    return to_wide(recent, features=RECENT_FEATURES, fill=0)
+    return reports.recent(_joined_long(spark, sf), RECENT_FROM, RECENT_FEATURES)
 
 
 @job("monthly_trend")
 def monthly_trend(spark, sf):
-    return _joined_long(spark, sf).groupBy(F.trunc("day", "MM").alias("month"), "feature").agg(
-        F.sum("n").cast("long").alias("n"))
+    return reports.monthly_totals(_joined_long(spark, sf))
+
+
+@job("range_totals")
+def range_totals(spark, sf):
+    return reports.range_totals(_joined_long(spark, sf), *FINAL_RANGE)
 
 
 # --- staging store, dedup, retention (D1, S10-S14, A12-A14, I5-I7, P20) --------------
@@ -529,7 +537,7 @@ def _staged_reduced(spark, sf) -> str:
     path = scratch_path(spark, "staging")
     reduced = written(_reduced(spark, sf), "reduced")  # computed once, cut into the two batches
     for i, part in enumerate(_batched(reduced, "DATA_VISITA"), start=1):
-        store.append_batch(part, path, batch_id=i)
+        store.append_batch(part, path, batch_id=i, loaded_at=LOADED[i - 1])
     return path
 
 
@@ -561,16 +569,14 @@ def staging_range(spark, sf):
 
 @job("staging_to_final")
 def staging_to_final(spark, sf):
-    staged = store.load_staging(spark, _staged_reduced(spark, sf), REDUCED_KEY)
-    lo, hi = FINAL_RANGE
     final_path = scratch_path(spark, "final")
-    store.save_final(staged.where(F.col("DATA_VISITA").between(F.lit(lo), F.lit(hi))), final_path)
+    store.staging_to_final(spark, _staged_reduced(spark, sf), final_path, REDUCED_KEY, "DATA_VISITA", *FINAL_RANGE)
     return spark.read.parquet(final_path)
 
 
 @job("staging_manifest")
 def staging_manifest(spark, sf):
-    return store.manifest(store.read_staging(spark, _staged_reduced(spark, sf)), "DATA_VISITA")
+    return store.manifest(store.read_staging(spark, _staged_reduced(spark, sf), keep_meta=True), "DATA_VISITA")
 
 
 @job("retention_keep")
@@ -585,10 +591,8 @@ def last_date_in_finals(spark, sf):
     demand, diagnosis = _both_cat_named(spark, sf)
     store.save_final(to_wide(demand, features=names.demand_features("CAT")), demand_path)
     store.save_final(to_wide(diagnosis, features=names.diagnosis_features("CAT")), diag_path)
-    days = spark.read.parquet(demand_path).select("timestamp").unionByName(
-        spark.read.parquet(diag_path).select("timestamp"))
-    ok = days.where(F.col("timestamp").between(F.lit(dt.date(1992, 1, 1)), F.lit(AS_OF + dt.timedelta(days=1))))
-    return ok.agg(F.max("timestamp").alias("last_date"))
+    return reports.last_valid_date([spark.read.parquet(demand_path), spark.read.parquet(diag_path)],
+                                   dt.date(1992, 1, 1), AS_OF + dt.timedelta(days=1))
 
 
 @job("batch_reduce")

@@ -438,7 +438,9 @@ SQL["staging_range"] = with_(*DIAG_BASE, _BATCHED, _LATEST) + \
 SQL["staging_to_final"] = with_(*DIAG_BASE, _BATCHED, _LATEST) + \
     f"SELECT * FROM lt WHERE DATA_VISITA BETWEEN {_d(C.FINAL_RANGE[0])} AND {_d(C.FINAL_RANGE[1])}"
 SQL["staging_manifest"] = with_(*DIAG_BASE, _BATCHED) + """SELECT batch_id, min(DATA_VISITA) AS min_timestamp,
-       max(DATA_VISITA) AS max_timestamp, count(*) AS num_rows FROM st GROUP BY batch_id"""
+       max(DATA_VISITA) AS max_timestamp, count(*) AS num_rows,
+       CASE batch_id WHEN 1 THEN TIMESTAMP '1999-01-01 06:00:00' ELSE TIMESTAMP '2001-11-05 06:00:00' END AS last_update
+FROM st GROUP BY batch_id"""
 SQL["retention_keep"] = with_(*DIAG_BASE, _BATCHED) + f"""SELECT batch_id, max(DATA_VISITA) AS max_timestamp,
        max(DATA_VISITA) >= {_d(C.AS_OF - dt.timedelta(days=C.RETENTION_DAYS))} AS keep FROM st GROUP BY batch_id"""
 SQL["last_date_in_finals"] = with_(*ALL_BASE, DIAG_STACK) + f"""SELECT max(day) AS last_date FROM (
@@ -500,3 +502,7 @@ SQL["compact_staging_batches"] = with_(*DIAG_BASE, _BATCHED, _LATEST) + "SELECT
 SQL["aligned_matrices"] = _FEW_BASE + pivot(
     f"(SELECT day, CASE WHEN day < {_d(C.BATCH1_END)} AND feature = 'demanda__TOTAL_CAT' THEN NULL "
     f"WHEN day >= {_d(C.BATCH1_END)} AND feature = 'demanda__SERVEI_CODI__5-LOW' THEN NULL ELSE feature END AS feature, n FROM few)", _FEW)
+SQL["range_totals"] = with_(*JOIN_CTES) + f"""SELECT feature, CAST(sum(n) AS BIGINT) AS n FROM fl
+WHERE day BETWEEN {_d(C.FINAL_RANGE[0])} AND {_d(C.FINAL_RANGE[1])} GROUP BY feature"""
+SQL["diagnosis_code_blocks"] = with_(*DIAG_BASE) + """SELECT DATA_VISITA AS timestamp, 'DIAG_CODE_' || ICD10_3 AS feature,
+       CAST(sum(n) AS BIGINT) AS n FROM dx GROUP BY 1, 2"""

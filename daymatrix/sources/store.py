@@ -19,9 +19,13 @@ from pyspark.sql import types as T
 from daymatrix.functions.clean import to_count
 from daymatrix.functions.names import qcol
 from daymatrix.operators.dedup import latest_wins
+from daymatrix.operators.reshape import bounded_values, to_wide
+from daymatrix.operators.timeseries import bounds, densify_wide
+from daymatrix.session import scratch_path
 
 BATCH_COL = "batch_id"
 SEQ_COL = "row_seq"   # order of the rows within a batch, fixed at append
+LOADED_COL = "loaded_at"   # when a batch was appended, by the caller's clock
 # Rows per staging file. Small chunks only bound a single process's memory;
 # on a cluster they would make many small files, so the default keeps files
 # in the order of 100 MB for count rows. It stays a parameter.
@@ -72,7 +76,7 @@ def next_batch_id(spark: SparkSession, path: str) -> int:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
-                 max_records_per_file: int = DEFAULT_RECORDS_PER_FILE) -> int:
+                 max_records_per_file: int = DEFAULT_RECORDS_PER_FILE, loaded_at: dt.datetime | None = None) -> int:
     """Append ``df`` as one batch (S10, S11); returns its ``batch_id``.
 
     Files hold at most ``max_records_per_file`` rows (X26). An empty input
@@ -82,6 +86,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
     spark = df.sparkSession
     bid = next_batch_id(spark, path) if batch_id is None else int(batch_id)
     (df.withColumn(SEQ_COL, F.monotonically_increasing_id())
+       .withColumn(LOADED_COL, F.lit(loaded_at).cast("timestamp_ntz"))
        .withColumn(BATCH_COL, F.lit(bid).cast("int"))
        .write.mode("append")
        .partitionBy(BATCH_COL)
@@ -91,29 +96,32 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
     return bid
 
 
-def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False, keep_seq: bool = False) -> DataFrame:
-    """All batches, columns unioned across batches (U1, S13); ``keep_seq``
-    keeps each row's place in its batch."""
+def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False, keep_meta: bool = False) -> DataFrame:
+    """All batches, columns unioned across batches (U1, S13); ``keep_meta``
+    keeps each row's place in its batch and the time of the append."""
     reader = spark.read.option("mergeSchema", True)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
     staged = reader.parquet(path)
-    return staged if keep_seq else staged.drop(SEQ_COL)
+    return staged if keep_meta else staged.drop(SEQ_COL, LOADED_COL)
 
 
 def load_staging(spark: SparkSession, path: str, keys: Sequence[str], ignore_corrupt: bool = False) -> DataFrame:
     """Staging rows, the last row per key wins: latest batch, and within it the
     row that was appended last (S12, D1)."""
-    staged = read_staging(spark, path, ignore_corrupt, keep_seq=True)
-    return latest_wins(staged, keys, [BATCH_COL, SEQ_COL]).drop(SEQ_COL)
+    staged = read_staging(spark, path, ignore_corrupt, keep_meta=True)
+    return latest_wins(staged, keys, [BATCH_COL, SEQ_COL]).drop(SEQ_COL, LOADED_COL)
 
 
 def manifest(staged: DataFrame, ts_col: str) -> DataFrame:
-    """Per batch: ``batch_id, min_timestamp, max_timestamp, num_rows``."""
+    """Per batch: ``batch_id, min_timestamp, max_timestamp, num_rows`` and, if
+    the rows carry it, ``last_update`` (A13)."""
+    updated = [F.max(LOADED_COL).alias("last_update")] if LOADED_COL in staged.columns else []
     return staged.groupBy(BATCH_COL).agg(
         F.min(ts_col).alias("min_timestamp"),
         F.max(ts_col).alias("max_timestamp"),
         F.count(F.lit(1)).alias("num_rows"),
+        *updated,
     )
 
 
@@ -140,18 +148,59 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, retentio
 
 def save_final(df: DataFrame, path: str, compression: str = "snappy",
                partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-               replace_partitions_only: bool = False) -> None:
+               replace_partitions_only: bool = False, row_group_bytes: int | None = None) -> None:
     """Final store write (S14, S15). An overwrite replaces the whole dataset
     (static mode, whatever the session default), so partitions absent from
     ``df`` do not survive from an earlier run; ``replace_partitions_only``
-    switches to dynamic mode, replacing just the partitions present in ``df``."""
+    switches to dynamic mode, replacing just the partitions present in ``df``.
+    ``row_group_bytes`` bounds the row groups."""
     w = (df.write.mode(mode).option("compression", compression)
          .option("partitionOverwriteMode", "dynamic" if replace_partitions_only else "static"))
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def staging_to_final(spark: SparkSession, staging_path: str, final_path: str, keys: Sequence[str], ts_col: str,
+                     lo=None, hi=None, as_of=None, retention_days: int = 90) -> list[int]:
+    """One run from staging to final (I5): the last row per key of the days
+    ``[lo, hi]`` replaces the final store; then, if ``as_of`` is given, batches
+    past the retention are dropped. Returns their ids."""
+    latest = load_staging(spark, staging_path, keys)
+    if lo is not None and hi is not None:
+        latest = latest.where(F.col(ts_col).between(F.lit(_as_date(lo)), F.lit(_as_date(hi))))
+    save_final(latest, final_path)
+    return apply_retention(spark, staging_path, ts_col, as_of, retention_days) if as_of is not None else []
+
+
+def write_wide_blocks(long: DataFrame, path: str, block_columns: int = 250, key: str = "day", feature: str = "feature",
+                      value: str = "n", start=None, end=None) -> list[str]:
+    """A zero-filled dense matrix of any number of columns (R6, J6), as several
+    Parquet outputs ``<path>/block=<i>`` of about ``block_columns`` columns each
+    and the same days. Features are dealt to blocks by hash; the driver knows
+    the names of one block at a time. Returns the blocks' paths."""
+    spark = long.sparkSession
+    n = long.select(feature).where(F.col(feature).isNotNull()).distinct().count()
+    blocks = max(1, -(-n // block_columns))
+    staged = scratch_path(spark, "wide-blocks")
+    block = F.pmod(F.xxhash64(feature), F.lit(blocks)).cast("int").alias("block")
+    long.select(block, key, feature, value).hint("rebalance", "block").write.partitionBy("block").parquet(staged)
+    stored = spark.read.parquet(staged)
+    lo, hi = bounds(stored, key)
+    lo, hi = (start or lo), (end or hi)
+    out = []
+    for b in range(blocks):
+        part = stored.where(F.col("block") == b).drop("block")
+        wide = to_wide(part, key, feature, value, features=bounded_values(part, feature, 100 * block_columns), cap=100 * block_columns)
+        if lo is not None and hi is not None:
+            wide = densify_wide(wide, "timestamp", lo, hi)
+        out.append(f"{path}/block={b}")
+        save_final(wide, out[-1])
+    return out
+
+
 def load_final(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Final store, or an empty frame of ``schema`` when nothing is stored yet."""
     if not path_exists(spark, path):

@@ -144,15 +144,15 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = pa.Table.from_batches([batch])
+            nothing = pa.nulls(len(batch), pa.int64())
             view = pa.RecordBatch.from_arrays(
-                [pa.array(range(len(batch)), pa.int64()), pa.nulls(len(batch), pa.string()), batch.column(names.index("text"))],
-                ["doc_id", "host", "text"])
-            ok: list[bool] = []
-            for part in _measure([view]):
+                [nothing, nothing.cast(pa.string()), batch.column(names.index("text"))], ["doc_id", "host", "text"])
+            at = 0
+            for part in _measure([view]):  # one chunk of rows at a time
                 n, repeat = part["n_words"].to_numpy(), part["n_repeat_words"].to_numpy()
-                ok += (~((n < limits.min_words) | (100 * repeat > limits.max_repeat_pct * n))).tolist()
-            yield from whole.filter(pa.array(ok, pa.bool_())).to_batches()
+                ok = ~((n < limits.min_words) | (100 * repeat > limits.max_repeat_pct * n))
+                yield batch.slice(at, len(n)).filter(pa.array(ok))
+                at += len(n)
 
     kept = docs.mapInArrow(passing, docs.schema)
     return kept.join(rejected, F.col("source").cast("string") == F.col("__rejected_host"), "left_anti").select(*(F.col(f"`{c}`") for c in names))

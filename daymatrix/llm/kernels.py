@@ -11,7 +11,6 @@ polynomial hash, evaluated for all spans of a chunk at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text that one kernel call works on (a longer document is a chunk
 #: of its own). Bounds the size of the temporary arrays.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -38,20 +37,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=1)
-def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        p = np.full(size, base, U64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    up, down = _power_table(size)
-    return up, down
+def _powers(n: int) -> list[np.ndarray]:
+    """The first ``n`` or more powers of the base and of its inverse; the
+    longest tables asked for so far are kept."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(n + n // 4, base, U64)
+            p[0] = 1
+            _POWERS[i] = np.multiply.accumulate(p)
+    return _POWERS
 
 
 class SpanHash:

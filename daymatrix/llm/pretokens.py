@@ -89,7 +89,7 @@ class Pretokens:
     """Pre-tokens of some rows: limits, row of each row's first token, and the
     distinct ones by 64-bit hash."""
 
-    def __init__(self, rows: list[str], whole: np.ndarray | None = None, limit: int = 1 << 20):
+    def __init__(self, rows: list[str], whole: np.ndarray | None = None, limit: int = 1 << 18):
         self.text = "".join(rows)
         size = np.fromiter(map(len, rows), np.int64, len(rows))
         off = np.concatenate([[0], np.cumsum(size)])

@@ -172,7 +172,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, len(whole), 500)):
             at = batch.schema.get_field_index("text")
             texts, changed = [], []
             for value in batch.column(at).cast(pa.binary()):

@@ -22,17 +22,19 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from daymatrix.llm import bpe_words, host_rules, jaccard_prefix, qgram_decontam, secret_scan  # noqa: E402
-from daymatrix.llm.common import benchmark, documents, written  # noqa: E402
+from daymatrix.llm.common import benchmark, documents, small_batches, without, written  # noqa: E402
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or their host's verdict rejects go."""
+    small_batches(spark)
     return host_rules.keep_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id
     stays."""
+    small_batches(spark)
     classes = jaccard_prefix.near_duplicates(docs)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     known = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -41,18 +43,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item within its edit budget go."""
+    small_batches(spark)
     leaks = qgram_decontam.find_leaks(docs, benchmark(spark, sf_dir)).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, leaks, "doc_id").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; no document goes."""
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the text
     decoded from them."""
+    small_batches(spark)
     return bpe_words.round_trip(docs, keep_ids=True)
 
 

@@ -84,6 +84,7 @@ def pack(docs: DataFrame, columns: list[str], text: str = "text", limit: int = B
         part = TaskContext.get().partitionId()
         for seq, table in enumerate(cut(batches, text, limit)):
             payload = table_bytes(table)
+            pa.default_memory_pool().release_unused()
             name = hashlib.blake2b(payload, digest_size=8, salt=f"{part}.{seq}".encode()[:16]).digest()
             yield pa.RecordBatch.from_pydict({"block": pa.array([int.from_bytes(name, "little", signed=True)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
@@ -159,6 +160,7 @@ def meet(blocks: DataFrame, parts: DataFrame, fn: Callable[[pa.Table, list[tuple
         rows = sorted(zip(table["bucket"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
         if [b for b, _ in rows].count(-1) != 1:
             raise RuntimeError("the input changed between two scans: write it to a table first")
+        pa.default_memory_pool().release_unused()
         return fn(bytes_table(rows[0][1]), rows[1:])
 
     both = blocks.select("block", F.lit(-1).alias("bucket"), "payload").unionByName(parts)

@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 from daymatrix.session import scratch_path
 
 
+#: Rows in an Arrow batch of whole texts. Rows are wide here (some hold a
+#: hundred thousand characters), so Spark's 10,000 would be tens of MB a batch.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches between the JVM and Python for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -29,6 +40,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted(column: str, buckets: int):
-    """A stable number in ``[0, buckets)`` from a column, null included."""
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(buckets))
+#: Rows of a key list that may be broadcast.
+BROADCAST_KEYS = 100_000
+
+
+def without(docs: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """The rows of ``docs`` that match none of ``keys`` (one key column). The
+    keys are written and counted first: a short list is broadcast, so that the
+    texts stay where they are; a longer one is joined by a shuffle."""
+    keys = written(keys, "keys")
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, on, "left_anti")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.llm.common import written
+from daymatrix.llm.common import without, written
 from daymatrix.llm.kernels import SpanHash, chunks, is_space, per_row_sum, windows, words
 
 SYMBOLS = np.zeros(256, bool)
@@ -155,7 +155,7 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
                 at += len(n)
 
     kept = docs.mapInArrow(passing, docs.schema)
-    return kept.join(rejected, F.col("source").cast("string") == F.col("__rejected_host"), "left_anti").select(*(F.col(f"`{c}`") for c in names))
+    return without(kept, rejected, F.col("source").cast("string") == F.col("__rejected_host")).select(*(F.col(f"`{c}`") for c in names))
 
 
 ORACLE_RULES = r"""

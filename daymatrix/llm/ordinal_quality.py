@@ -6,8 +6,10 @@ expected grade; the tail probability ``P(grade >= select_grade)`` decides on
 selection.
 
 Features are the distinct words of the whole text (A-Z lower-cased, without
-punctuation at the end) and the last two and three bytes as they stand, hashed. Weights are fitted by AdaGrad steps in a few
-parallel parts whose results are averaged, over a bounded sample of rated rows.
+punctuation at the end) and the last two and three bytes as they stand, hashed;
+those that tell grades apart over the whole sample are learned. Weights are
+fitted by AdaGrad steps in a few parallel parts whose results are averaged, over
+a bounded sample of rated rows.
 
 Defined cases: a text without words (null, empty, blank) has score 0 and is not
 kept; rows rated null are not learned from; without rated rows every grade is
@@ -36,7 +38,7 @@ _MARK = np.zeros(256, bool)
 _MARK[np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~", np.uint8)] = True
 PARTS, ROUNDS, EPOCHS = 6, 3, 2
 RATE, DECAY = 0.1, 1e-5
-#: Least documents of a part, and standard deviations, for a feature to be
+#: Least documents of the sample, and standard deviations, for a feature to be
 #: learned.
 MIN_DOCS, MIN_Z = 8, 4.0
 
@@ -72,33 +74,51 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _telling(rows: list[tuple[int, np.ndarray]], size: int, top: int) -> np.ndarray:
+def _document_counts(grades: int):
+    """Per task, of each feature: its documents, and those graded above each
+    threshold. The feature after the last one stands for all documents."""
+    every = 1 << BITS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((grades, every + 1), np.int64)
+        for batch in batches:
+            for y, x in zip(batch["grade"].to_pylist(), batch["x"]):
+                n[: y + 1, np.asarray(x.values)] += 1
+                n[: y + 1, every] += 1
+        held = np.flatnonzero(n[0])
+        yield pa.RecordBatch.from_pydict({"x": pa.array(held, pa.int32())} | {f"n{k}": pa.array(n[k][held], pa.int64()) for k in range(grades)})
+
+    return count
+
+
+def _telling(sample: DataFrame, grades: int) -> np.ndarray:
     """Features whose documents' grades differ from the rest by more than
-    chance: held by ``MIN_DOCS`` documents, and at some threshold ``MIN_Z``
-    standard deviations off. The others would only add noise."""
-    grade = np.repeat([y for y, _ in rows], [len(x) for _, x in rows])
-    every = np.concatenate([x for _, x in rows])
-    df = np.bincount(every, minlength=size)
-    grades = np.array([y for y, _ in rows])
-    keep = np.zeros(size, bool)
-    for k in range(top):
-        p = (grades > k).mean()
-        above = np.bincount(every[grade > k], minlength=size)
-        spread = np.sqrt(np.maximum(df * p * (1 - p) * (1 - df / len(rows)), 1e-9))
-        keep |= np.abs(above - df * p) > MIN_Z * spread
+    chance: held by ``MIN_DOCS`` documents of the sample, and at some threshold
+    ``MIN_Z`` standard deviations off. The others would only add noise."""
+    names = [f"n{k}" for k in range(grades)]
+    # At most 2^BITS + 1 rows of a few numbers.
+    sums = (
+        sample.mapInArrow(_document_counts(grades), ", ".join(["x int", *(f"{c} long" for c in names)]))
+        .groupBy("x").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
+    )
+    n = np.zeros((grades, (1 << BITS) + 1), np.int64)
+    n[:, sums["x"].to_numpy()] = [sums[c].to_numpy() for c in names]
+    df, docs = n[0, :-1], n[0, -1]
+    keep = np.zeros(1 << BITS, bool)
+    for above in n[1:]:
+        p = above[-1] / docs
+        spread = np.sqrt(np.maximum(df * p * (1 - p) * (1 - df / docs), 1e-9))
+        keep |= np.abs(above[:-1] - df * p) > MIN_Z * spread
     return keep & (df >= MIN_DOCS)
 
 
-def _steps(rows: list[tuple[int, np.ndarray]], model: Model, seed: int) -> Model:
-    """AdaGrad over the rows, ``EPOCHS`` times in random order."""
+def _steps(rows: list[tuple[int, np.ndarray]], model: Model, keep: np.ndarray, seed: int) -> tuple[Model, np.ndarray]:
+    """AdaGrad over the rows' features in ``keep``, ``EPOCHS`` times in random
+    order; also the squared slopes that each weight was learned from."""
     w, t = model.weights.astype(np.float64), model.thresholds.copy()
     g_w, g_t = np.full(len(w), 1.0), np.full(len(t), 1.0)
     order = np.random.default_rng(seed)
     top = len(t)
-    if not rows:
-        return model
-    keep = _telling(rows, len(w), top)
-    w[~keep] = 0.0
     rows = [(y, x[keep[x]]) for y, x in rows]
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
@@ -120,14 +140,15 @@ def _steps(rows: list[tuple[int, np.ndarray]], model: Model, seed: int) -> Model
                 g_t[y - 1] += d_t * d_t
                 t[y - 1] += RATE * d_t / np.sqrt(g_t[y - 1])
             t = np.maximum.accumulate(t + np.arange(top) * 1e-6)
-    return Model(w, t)
+    return Model(w, t), g_w - 1.0
 
 
 def _learner(shared, turn: int):
     def learn(table: pa.Table) -> pa.Table:
         rows = list(zip(table["grade"].to_pylist(), (np.asarray(x.values) for x in table["x"])))
-        out = _steps(rows, shared.value, 100 * turn + table["part"][0].as_py())
+        out, seen = _steps(rows, *shared.value, 100 * turn + table["part"][0].as_py())
         return pa.table({"n": pa.array([len(rows)], pa.int64()), "w": pa.array([out.weights.astype(np.float32).tobytes()], pa.binary()),
+                         "seen": pa.array([seen.astype(np.float32).tobytes()], pa.binary()),
                          "t": pa.array([out.thresholds.tobytes()], pa.binary())})
 
     return learn
@@ -154,14 +175,21 @@ def fit(rated: DataFrame, grades: int, sample_docs: int = SAMPLE_DOCS) -> Model:
         .select(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part"), F.col("grade").cast("int"), "text")
         .mapInArrow(prepare, "part int, grade int, x array<int>"), "ordinal-sample")
     spark = rated.sparkSession
+    if sample.isEmpty():
+        return model
+    keep = _telling(sample, grades)
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(model)
+        shared = spark.sparkContext.broadcast((model, keep))
 
-        # At most PARTS rows of one weight vector each.
-        parts = sample.groupBy("part").applyInArrow(_learner(shared, turn), "n long, w binary, t binary").collect()
+        # At most PARTS rows of two vectors each.
+        parts = sample.groupBy("part").applyInArrow(_learner(shared, turn), "n long, w binary, seen binary, t binary").collect()
         share = np.array([p["n"] for p in parts], float)
         share /= share.sum()
-        model = Model(sum(s * np.frombuffer(p["w"], np.float32) for s, p in zip(share, parts)).astype(np.float32),
+        # A part has a say on a weight by what it learned it from: parts that
+        # hold a rare feature seldom or never would pull it back.
+        seen = np.stack([np.frombuffer(p["seen"], np.float32) for p in parts]).astype(np.float64)
+        moved = np.stack([np.frombuffer(p["w"], np.float32) for p in parts]) - model.weights
+        model = Model((model.weights + (moved * seen).sum(axis=0) / np.maximum(seen.sum(axis=0), 1e-12)).astype(np.float32),
                       sum(s * np.frombuffer(p["t"], np.float64) for s, p in zip(share, parts)))
         shared.unpersist()
     return model

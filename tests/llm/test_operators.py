@@ -310,3 +310,25 @@ def test_ordinal_quality(spark, none):
     assert ordinal_quality.rate_documents(none, lab).count() == 0
     nothing = ordinal_quality.rate_documents(df, lab.limit(0))
     assert nothing.where("kept").count() == 0 and nothing.count() == len(rows) + 3
+
+
+def test_words_that_few_rated_documents_hold(spark):
+    """Each of the telling words is in 24 rated documents, so in about 4 of a
+    part; the screen counts over the whole sample."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(1600):
+        toxic = i % 4 == 0
+        w = [rng.choice(VOCAB) + str(rng.randrange(50)) for _ in range(40)]
+        if toxic:
+            w[rng.randrange(40)] = f"rude{i // 4 % 10}{'kqvwxyzjhb'[i // 4 % 10] * 3}"
+        rows.append((i, " ".join(w)))
+        if i // 40 % 5 < 3:
+            labels.append((i, 1, int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert sum("rude0" in t and (i // 40 % 5 < 3) for i, t in rows) == 24
+    out = {r.doc_id: r for r in ordinal_quality.rate_documents(df, lab).collect()}
+    unseen = [i for i, _ in rows if i // 40 % 5 >= 3]
+    assert np.mean([not out[i].kept for i in unseen if i % 4 == 0]) >= 0.9
+    assert np.mean([out[i].kept for i in unseen if i % 4]) >= 0.9

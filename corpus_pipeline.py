@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates the document with the smallest id
     stays."""
     small_batches(spark)
-    classes = jaccard_prefix.near_duplicates(docs)
+    classes = jaccard_prefix.near_components(docs)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     known = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -21,7 +21,10 @@ with small edits) would pair all with all. So the first rounds compare each
 document only with the centre of its shingle's group, the member with the
 fewest unshared shingles; a last round compares the members that are still in
 different components. Every link between documents of different
-components is thus found, and no pair within a component is needed.
+components is thus found, which makes the components whole. Links join members
+of one component only, so all of them are then counted there: its sets are
+compared all with all, in blocks of a bounded number of sets, of which sets of
+too different sizes need not meet.
 
 Defined cases: null, empty or blank text has the empty set and links with
 nothing; 1 to 4 words form one shingle; repeated rows of one id are one node; a
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymatrix.llm.blocks import bucket_bits, count_keys, pack, with_counts
-from daymatrix.llm.common import written
+from daymatrix.llm.common import BROADCAST_KEYS, written
 from daymatrix.llm.graph import components
 from daymatrix.llm.kernels import SpanHash, chunks, lower_ascii, mix, windows, words
 
@@ -48,6 +51,10 @@ WORDS = 5
 SIMILAR = (80, 100)
 BINS = 16
 CENTRE_ROUNDS = 2
+#: About this many sets, and shingles, a side of a block of comparisons.
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20
+#: Shared shingles are counted over so many columns at once.
+COLUMNS = 4096
 
 DIGEST = "doc_id long, n_shingles long, sig_a long, sig_b long, bins array<int>, prefix array<struct<key:long,pos:int>>, n_rare int, z binary"
 
@@ -137,9 +144,10 @@ def _may_link(x: str, y: str):
     return length & position & suffix
 
 
-def link_classes(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: ``(doc_id, rep)`` for documents with a shared
-    prefix, and verified links between representatives of different sets."""
+def link_classes(cand: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(members, links, reps)``: ``(doc_id, rep)`` for documents with a shared
+    prefix, the verified links between representatives of different sets that
+    connect the components, and the digests of the representatives."""
     key = ["n_shingles", "sig_a", "sig_b"]
     near = cand.where(F.size("prefix") > 0)
     reps = near.groupBy(*key).agg(F.min("doc_id").alias("rep"))
@@ -188,7 +196,7 @@ def link_classes(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
         .join(checked, ["a", "b"], "left_anti")
     )
-    return members, links.unionByName(_verify(rest, texts).where("linked"))
+    return members, links.unionByName(_verify(rest, texts).where("linked")), kept
 
 
 def _open_rows(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -199,16 +207,106 @@ def _open_rows(rows: DataFrame, comp: DataFrame) -> DataFrame:
     return named.join(mixed, "key", "left_semi")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` per row of ``docs``
-    (``doc_id``, ``text``): ``n_links`` counts the verified links of the
-    document's class that were needed to connect the component."""
+def _linked(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which sets of ``a`` (rows) link with which of ``b`` (columns)."""
+    size = np.array([len(x) for x in sets])
+    _, key, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(held > 1, np.cumsum(held > 1) - 1, -1)[key]
+    row = np.repeat(np.arange(len(sets)), size)[column >= 0]
+    column = column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        at = slice(*np.searchsorted(column, [lo, lo + COLUMNS]))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[at], column[at] - lo] = 1
+        shared += has[a] @ has[b].T
+    shared = shared.astype(np.int64)
+    return SIMILAR[1] * shared >= SIMILAR[0] * (size[a][:, None] + size[b][None, :] - shared)
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """``rep, n_links`` of a block: all pairs of its sets, or those between its
+    two sides."""
+    plain = zstandard.ZstdDecompressor()
+    sets = list(shingle_sets(pa.array([plain.decompress(z.as_py()).decode() for z in table["z"]], pa.string())))
+    side, weight = (table[c].to_numpy() for c in ("side", "weight"))
+    n = np.zeros(len(sets), np.int64)
+    if side[0] < 0:
+        every = np.arange(len(sets))
+        linked = _linked(sets, every, every)
+        np.fill_diagonal(linked, False)
+        n = linked @ weight
+    else:
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if len(a) and len(b):
+            linked = _linked(sets, a, b)
+            n[a], n[b] = linked @ weight[b], linked.T @ weight[a]
+    return pa.table({"rep": table["doc_id"], "n_links": pa.array(n, pa.int64())})
+
+
+def count_links(reps: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rep, n_links``: the documents that link with those of each
+    representative's set, itself not counted. A small component is one block. In
+    a larger one the sets are dealt by size into levels, of which only equal and
+    neighbouring ones can link, and each level by a hash into chunks; every two
+    chunks that can link are a block."""
+    weight = members.groupBy("rep").agg(F.count("doc_id").alias("weight"))
+    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(SIMILAR[1] / SIMILAR[0])) + 1e-9).cast("int")
+    sets = written(
+        reps.select("doc_id", "n_shingles", "z").join(comp.withColumnRenamed("node", "doc_id"), "doc_id")
+        .join(weight.withColumnRenamed("rep", "doc_id"), "doc_id").withColumn("level", level), "jaccard-sets")
+    parts = F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("s") / BLOCK_SHINGLES)).cast("int")
+    shape = written(
+        sets.groupBy("component", "level").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+        .groupBy("component").agg(F.sum("m").alias("all"), F.sum("s").alias("shingles"),
+                                  F.map_from_entries(F.collect_list(F.struct("level", parts))).alias("chunks"))
+        .where(F.col("all") > 1), "jaccard-shape")
+    large = shape.where((F.col("all") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)).select("component", "chunks")
+    small = shape.join(large, "component", "left_anti").select("component")
+    blocks = (
+        "concat(transform(sequence(0, chunks[level] - 1), j -> named_struct('lo', level, 'up', 0, 'i', least(mine, j), 'j', greatest(mine, j),"
+        " 'side', if(j = mine, -1, if(mine < j, 0, 1)))),"
+        " if(chunks[level + 1] is null, array(), transform(sequence(0, chunks[level + 1] - 1), j -> named_struct('lo', level, 'up', 1, 'i', mine, 'j', j, 'side', 0))),"
+        " if(chunks[level - 1] is null, array(), transform(sequence(0, chunks[level - 1] - 1), j -> named_struct('lo', level - 1, 'up', 1, 'i', j, 'j', mine, 'side', 1))))")
+    few = large.count() <= BROADCAST_KEYS
+    dealt = (
+        sets.join(F.broadcast(large) if few else large, "component")
+        .withColumn("mine", F.expr("cast(pmod(xxhash64(doc_id), chunks[level]) as int)"))
+        .select("component", "doc_id", "z", "weight", F.explode(F.expr(blocks)).alias("block"))
+        .select("component", "doc_id", "z", "weight", "block.*")
+    )
+    whole = sets.join(small, "component").select("component", "doc_id", "z", "weight", *(F.lit(0).alias(c) for c in ("lo", "up", "i", "j")), F.lit(-1).alias("side"))
+    found = whole.unionByName(dealt).groupBy("component", "lo", "up", "i", "j").applyInArrow(_block_links, "rep long, n_links long")
+    return weight.join(found.groupBy("rep").agg(F.sum("n_links").alias("n")), "rep", "left").select(
+        "rep", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Digests, members, digests of representatives, and components."""
     cand = written(digests(docs.select("doc_id", "text")), "jaccard-digests")
-    members, links = link_classes(cand)
+    members, links, reps = link_classes(cand)
     links = written(links.select("a", "b"), "jaccard-links")
-    edges = links.unionByName(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    comp = components(edges)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    return cand, members, reps, components(links.unionByName(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+
+
+def near_components(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id``,
+    ``text``)."""
+    cand, _, _, comp = _classes(docs)
+    return (
+        cand.select("doc_id", "n_shingles").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` per row of ``docs``
+    (``doc_id``, ``text``): ``n_links`` counts the other documents that the
+    document links with, those of an equal set among them."""
+    cand, members, reps, comp = _classes(docs)
+    degree = written(count_links(reps, members, comp), "jaccard-degrees")
     per_doc = comp.join(members.withColumnRenamed("doc_id", "node"), "node").join(degree, "rep", "left")
     return (
         cand.select("doc_id", "n_shingles")

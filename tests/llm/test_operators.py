@@ -332,3 +332,37 @@ def test_words_that_few_rated_documents_hold(spark):
     unseen = [i for i, _ in rows if i // 40 % 5 >= 3]
     assert np.mean([not out[i].kept for i in unseen if i % 4 == 0]) >= 0.9
     assert np.mean([out[i].kept for i in unseen if i % 4]) >= 0.9
+
+
+def _links(rows):
+    """``doc_id -> number of documents it links with`` by comparing all pairs."""
+    sets = [(i, brute.shingles(t)) for i, t in rows]
+    out = Counter({i: 0 for i, _ in rows})
+    for a, (i, s) in enumerate(sets):
+        for j, t in sets[:a]:
+            both = len(s & t)
+            if both and 100 * both >= 80 * (len(s) + len(t) - both):
+                out.update([i, j])
+    return dict(out)
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_links_are_all_counted(spark, docs, rows, monkeypatch, block):
+    """Also those within a component that its connection does not need, with
+    components in one block and in many, of sets of several sizes."""
+    monkeypatch.setattr(jaccard_prefix, "BLOCK_SETS", block)
+    ids = dict((d, t) for d, t in rows if d is not None)
+    assert {r.doc_id: r.n_links for r in jaccard_prefix.near_duplicates(docs).collect() if r.doc_id is not None} == _links(list(ids.items()))
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    group = []
+    for i in range(150):
+        w = base[: rng.randrange(110, 200)]
+        for p in rng.sample(range(len(w)), rng.choice([0, 1, 2, 3])):
+            w[p] = f"e{i}_{p}"
+        group.append((i, " ".join(w)))
+    group += [(1000 + i, group[i][1]) for i in range(0, 150, 7)]
+    want = _links(group)
+    assert max(want.values()) > 30
+    got = jaccard_prefix.near_duplicates(spark.createDataFrame(group, "doc_id long, text string"))
+    assert {r.doc_id: r.n_links for r in got.collect()} == want

@@ -31,6 +31,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: several
     readers share one computation, and a lost executor costs no more than a

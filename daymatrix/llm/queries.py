@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from daymatrix.llm import (
-    bpe_words, edit_counts, host_rules, jaccard_prefix, kd_shards, ordinal_quality, qgram_decontam, secret_scan,
-    suffix_dedup, zstd_language,
+    bpe_words, collocations, conversation_trie, edit_counts, gray_simhash, host_rules, jaccard_prefix, kd_shards, ordinal_quality,
+    qgram_decontam, secret_scan, suffix_dedup, zstd_language,
 )
-from daymatrix.llm.common import benchmark, documents, labels
+from daymatrix.llm.common import benchmark, conversations, documents, labels
 from pyspark.sql import functions as F
 
 
@@ -58,15 +58,29 @@ def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.count_with_edits(docs, keep_text=False).drop("text_after")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(conversations(spark, sf_dir))
+
+
+def op13_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gray_simhash.near_duplicates(documents(spark, sf_dir))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (op1_ordinal_quality, op2_zstd_language, op3_host_rules, op4_suffix_dedup, op5_qgram_decontam, op6_kd_shards,
-               op7_secret_scan, op8_bpe_words, op9_ngram_jaccard, op10_edit_counts)
+               op7_secret_scan, op8_bpe_words, op9_ngram_jaccard, op10_edit_counts, op11_collocations, op12_conversation_trie, op13_gray_simhash)
 } | {"pipeline": corpus_pipeline.run}
 
 SQL: dict[str, str] = {
     "op3_host_rules": f"""WITH {host_rules.ORACLE_RULES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
+    "op11_collocations": collocations.oracle_sql(),
+    "op12_conversation_trie": conversation_trie.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_registered():
     names = E.queries()
     assert set(REGISTRY) <= set(names) and "pipeline" in names
-    assert [sum(k.startswith(f"op{n}_") for k in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in names) for n in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -28,7 +28,7 @@ def test_query_matches_oracle(spark, name):
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(REGISTRY) if n not in ("pipeline", "op4_suffix_dedup", "op5_qgram_decontam")])
+@pytest.mark.parametrize("name", [n for n in sorted(REGISTRY) if n not in ("pipeline", "op4_suffix_dedup", "op5_qgram_decontam", "op11_collocations", "op12_conversation_trie")])
 def test_one_row_per_document(spark, name):
     docs = corpus_pipeline.documents(spark, SF)
     out = REGISTRY[name](spark, SF).select("doc_id")

@@ -22,6 +22,7 @@ non-deterministic plan), the step raises instead of mixing them up.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -39,6 +40,20 @@ KEY_BITS = 48
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    def _trim(_):
+        return 0
+
+
+def release() -> None:
+    """Give free memory back to the system. Python workers live on from stage to
+    stage, and what their allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def table_bytes(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=_IPC) as out:
@@ -84,7 +99,7 @@ def pack(docs: DataFrame, columns: list[str], text: str = "text", limit: int = B
         part = TaskContext.get().partitionId()
         for seq, table in enumerate(cut(batches, text, limit)):
             payload = table_bytes(table)
-            pa.default_memory_pool().release_unused()
+            release()
             name = hashlib.blake2b(payload, digest_size=8, salt=f"{part}.{seq}".encode()[:16]).digest()
             yield pa.RecordBatch.from_pydict({"block": pa.array([int.from_bytes(name, "little", signed=True)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
@@ -131,6 +146,8 @@ def count_keys(blocks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], bit
                     "keys": pa.array([pack_ints(np.diff(keys[lo:hi], prepend=np.uint64(0)), 6) for _, lo, hi in rows], pa.binary()),
                     "counts": pa.array([pack_ints(counts[lo:hi], 4) for _, lo, hi in rows], pa.binary()),
                 })
+                del keys, counts
+                release()
 
     def add(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -160,8 +177,10 @@ def meet(blocks: DataFrame, parts: DataFrame, fn: Callable[[pa.Table, list[tuple
         rows = sorted(zip(table["bucket"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[0])
         if [b for b, _ in rows].count(-1) != 1:
             raise RuntimeError("the input changed between two scans: write it to a table first")
-        pa.default_memory_pool().release_unused()
-        return fn(bytes_table(rows[0][1]), rows[1:])
+        try:
+            return fn(bytes_table(rows[0][1]), rows[1:])
+        finally:
+            release()
 
     both = blocks.select("block", F.lit(-1).alias("bucket"), "payload").unionByName(parts)
     return both.groupBy("block").applyInArrow(run, schema)

@@ -8,13 +8,13 @@ windows that begin with it, so one ROLLUP over the five window columns gives the
 counts of all phrases of one to five words, and its outermost level the words of
 a language.
 
-A phrase is a candidate from ``min_count`` occurrences on, and then each of its
-neighbouring word pairs has at least as many. Windows are therefore cut short at
-the first pair that has fewer in the whole corpus, and words that have fewer open
-no window (they add to the language's total only). Pair and word counts come
-from ``blocks``, by 48-bit keys: equal keys of different pairs can only raise a
-count and leave a window longer than need be, so no phrase's count changes. Each
-block then sends its distinct windows with their counts.
+A phrase is a candidate from ``min_count`` occurrences on, and then every two and
+every three neighbouring words of it have at least as many. Windows are therefore
+cut short at the first two or three words that have fewer in the whole corpus, and
+words that have fewer open no window (they add to the language's total only).
+These counts come from ``blocks``, by 48-bit keys: equal keys of different words
+can only raise a count and leave a window longer than need be, so no phrase's
+count changes. Each block then sends its distinct windows with their counts.
 
 For every cut of a candidate after its first k words, with a the candidate's
 count, l and r those of its two parts and n the words of the language, the score
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from daymatrix.llm.blocks import bucket_bits, count_keys, pack, with_counts
 from daymatrix.llm.common import written
-from daymatrix.llm.kernels import SpanHash, lower_ascii, mix, utf8
+from daymatrix.llm.kernels import SpanHash, chunks, lower_ascii, mix
 
 LONGEST = 5
 MIN_COUNT = 100
@@ -58,47 +58,53 @@ WINDOWS = "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n lon
 
 class Words:
     """The words of a block: their texts, the language of each, and whether the
-    next word follows in the same piece."""
+    next word follows in the same piece. Found in chunks of a few documents."""
 
     def __init__(self, docs: pa.Table):
-        data, off = utf8(docs["text"])
+        langs = pc.fill_null(docs["lang"], UNKNOWN).combine_chunks().dictionary_encode()
+        if isinstance(langs, pa.ChunkedArray):
+            langs = langs.combine_chunks()
+        self.langs = langs.dictionary.to_pylist()
+        lang = langs.indices.to_numpy().astype(np.int32)
+        salt = np.array([hash_name(x) for x in self.langs] or [0], np.uint64)
+        parts = [self._chunk(data, off, lang[lo:hi], salt) for lo, hi, data, off in chunks(docs["text"])]
+        empty = (np.zeros(0, bool), np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8))
+        self.follows, self.lang, self.hash, self._sizes, self._bytes = (np.concatenate(x) for x in zip(empty, *parts))
+
+    @staticmethod
+    def _chunk(data: np.ndarray, off: np.ndarray, lang: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, ...]:
         data = lower_ascii(data)
-        kind = _CLASS[data]
-        n = len(data)
+        kind, n = _CLASS[data], len(data)
         cut = np.zeros(n + 1, bool)
         cut[off] = True
         solid = kind == 0
         start, end = solid.copy(), solid.copy()
-        if n:
-            start[1:] &= ~solid[:-1] | cut[1:n]
-            end[:-1] &= ~solid[1:] | cut[1:n]
+        start[1:] &= ~solid[:-1] | cut[1:n]
+        end[:-1] &= ~solid[1:] | cut[1:n]
         first, last = np.flatnonzero(start), np.flatnonzero(end) + 1
-        pieces = np.cumsum(kind == 2)
         row = np.searchsorted(off, first, "right") - 1
-        self.follows = np.zeros(len(first), bool)
-        if len(first):
-            piece = pieces[first]
-            self.follows[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
-        langs = pc.fill_null(docs["lang"], UNKNOWN).combine_chunks().dictionary_encode()
-        if isinstance(langs, pa.ChunkedArray):
-            langs = langs.combine_chunks()
-        self.langs = langs.dictionary.to_pylist()
-        self.lang = langs.indices.to_numpy()[row] if len(first) else np.zeros(0, np.int32)
-        salt = np.array([hash_name(x) for x in self.langs] or [0], np.uint64)[self.lang]
-        self.hash = mix(SpanHash(data)(first, last) ^ salt) if len(first) else np.zeros(0, np.uint64)
-        ends = np.cumsum(last - first)
-        self._bytes, self._ends = np.ascontiguousarray(data[solid]), np.concatenate([[0], ends]).astype(np.int64)
+        piece = np.searchsorted(np.flatnonzero(kind == 2), first)
+        follows = np.zeros(len(first), bool)
+        follows[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
+        hashes = mix(SpanHash(data)(first, last) ^ salt[lang[row]])
+        return follows, lang[row], hashes, last - first, data[solid]
+
+    def chains(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words that one more, and two more words of the piece follow."""
+        two = np.flatnonzero(self.follows)
+        return two, two[:-1][np.diff(two) == 1] if len(two) else two
 
     def keys(self) -> np.ndarray:
-        """A key for every word, then one for every word and its follower."""
-        at = np.flatnonzero(self.follows)
-        with np.errstate(over="ignore"):
-            pairs = mix(self.hash[at] * np.uint64(0x9E3779B97F4A7C15) + self.hash[at + 1]) if len(at) else np.zeros(0, np.uint64)
-        return np.concatenate([self.hash, pairs])
+        """A key for every word, then for every two and every three in a row."""
+        two, three = self.chains()
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        pairs = mix(self.hash[two] * odd + self.hash[two + 1])
+        triples = mix((self.hash[three] * odd + self.hash[three + 1]) * odd + self.hash[three + 2])
+        return np.concatenate([self.hash, pairs, triples])
 
     def texts(self) -> pa.DictionaryArray:
-        plain = pa.Array.from_buffers(pa.large_string(), len(self._ends) - 1, [None, pa.py_buffer(self._ends), pa.py_buffer(self._bytes)])
-        return plain.cast(pa.large_string()).dictionary_encode()
+        ends = np.concatenate([[0], np.cumsum(self._sizes)]).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(self._bytes)]).dictionary_encode()
 
 
 def hash_name(name: str) -> int:
@@ -117,13 +123,15 @@ def _windows(min_count: int):
         texts = words.texts()
         ids, names = texts.indices.to_numpy(zero_copy_only=False), texts.dictionary.cast(pa.string())
         common = counts[:n] >= min_count
-        chain = words.follows.copy()
-        chain[words.follows] = counts[n:] >= min_count
-        # How many words lead each word without a break, up to four.
-        open_, columns = common.copy(), [ids]
+        two, three = words.chains()
+        pair, triple = np.zeros(n + LONGEST, bool), np.zeros(n + LONGEST, bool)
+        pair[two] = counts[n : n + len(two)] >= min_count
+        triple[three] = counts[n + len(two) :] >= min_count
+        # A window takes its k-th word while the last two or three words up to it are common.
+        more, columns = common.copy(), [ids]
         for k in range(1, LONGEST):
-            open_ = open_ & np.concatenate([chain[k - 1 :], np.zeros(min(k - 1, n), bool)])[:n]
-            columns.append(np.where(open_, np.concatenate([ids[k:], np.zeros(min(k, n), ids.dtype)])[:n], -1))
+            more &= pair[:n] if k == 1 else triple[k - 2 : k - 2 + n]
+            columns.append(np.where(more, np.append(ids[k:], np.zeros(min(k, n), ids.dtype)), -1))
         at = np.flatnonzero(common)
         table = pa.table({"lang": pa.array(words.lang[at], pa.int32()), **{c: pa.array(v[at], pa.int32()) for c, v in zip(COLUMNS, columns)}})
         table = table.group_by(["lang", *COLUMNS]).aggregate([([], "count_all")])

@@ -14,7 +14,7 @@ cut short at the first two or three words that have fewer in the whole corpus, a
 words that have fewer open no window (they add to the language's total only).
 These counts come from ``blocks``, by 48-bit keys: equal keys of different words
 can only raise a count and leave a window longer than need be, so no phrase's
-count changes. Each block then sends its distinct windows with their counts.
+count changes.
 
 For every cut of a candidate after its first k words, with a the candidate's
 count, l and r those of its two parts and n the words of the language, the score
@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymatrix.llm.blocks import bucket_bits, count_keys, pack, with_counts
+from daymatrix.llm.blocks import bucket_bits, bytes_table, count_keys, pack, release, table_bytes, with_counts
 from daymatrix.llm.common import written
 from daymatrix.llm.kernels import SpanHash, chunks, lower_ascii, mix
 
@@ -52,6 +52,9 @@ _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = 1
 _CLASS[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = 2
 
+#: An odd multiplier for hashes of hashes.
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
 COLUMNS = [f"w{i + 1}" for i in range(LONGEST)]
 WINDOWS = "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n long"
 
@@ -97,9 +100,8 @@ class Words:
     def keys(self) -> np.ndarray:
         """A key for every word, then for every two and every three in a row."""
         two, three = self.chains()
-        odd = np.uint64(0x9E3779B97F4A7C15)
-        pairs = mix(self.hash[two] * odd + self.hash[two + 1])
-        triples = mix((self.hash[three] * odd + self.hash[three + 1]) * odd + self.hash[three + 2])
+        pairs = mix(self.hash[two] * ODD + self.hash[two + 1])
+        triples = mix((self.hash[three] * ODD + self.hash[three + 1]) * ODD + self.hash[three + 2])
         return np.concatenate([self.hash, pairs, triples])
 
     def texts(self) -> pa.DictionaryArray:
@@ -116,7 +118,7 @@ def _keys(docs: pa.Table) -> np.ndarray:
     return Words(docs).keys()
 
 
-def _windows(min_count: int):
+def _windows(min_count: int, bits: int):
     def run(docs: pa.Table, counts: np.ndarray) -> pa.Table:
         words = Words(docs)
         n = len(words.hash)
@@ -128,40 +130,60 @@ def _windows(min_count: int):
         pair[two] = counts[n : n + len(two)] >= min_count
         triple[three] = counts[n + len(two) :] >= min_count
         # A window takes its k-th word while the last two or three words up to it are common.
-        more, columns = common.copy(), [ids]
+        more, columns, key = common.copy(), [ids], words.hash.copy()
         for k in range(1, LONGEST):
             more &= pair[:n] if k == 1 else triple[k - 2 : k - 2 + n]
             columns.append(np.where(more, np.append(ids[k:], np.zeros(min(k, n), ids.dtype)), -1))
+            at = np.flatnonzero(more)
+            key[at] = mix(key[at] * ODD + words.hash[at + k])
         at = np.flatnonzero(common)
-        table = pa.table({"lang": pa.array(words.lang[at], pa.int32()), **{c: pa.array(v[at], pa.int32()) for c, v in zip(COLUMNS, columns)}})
-        table = table.group_by(["lang", *COLUMNS]).aggregate([([], "count_all")])
+        table = pa.table({"lang": pa.array(words.lang[at], pa.int32()), **{c: pa.array(v[at], pa.int32()) for c, v in zip(COLUMNS, columns)}, "key": key[at]})
+        table = table.group_by(["lang", *COLUMNS]).aggregate([([], "count_all"), ("key", "min")])
         rest = np.bincount(words.lang[~common], minlength=len(words.langs))
         tail = np.flatnonzero(rest)
         langs = pa.array(words.langs, pa.string())
         word = lambda c: pc.fill_null(names.take(pc.if_else(pc.less(c, 0), None, c)), PAD)
-        out = {"lang": langs.take(table["lang"].combine_chunks()), **{c: word(table[c].combine_chunks()) for c in COLUMNS}}
-        return pa.table({
-            "lang": pa.concat_arrays([out["lang"], langs.take(pa.array(tail))]),
-            **{c: pa.concat_arrays([out[c], pa.array([PAD] * len(tail), pa.string())]) for c in COLUMNS},
+        out = pa.table({
+            "lang": pa.concat_arrays([langs.take(table["lang"].combine_chunks()), langs.take(pa.array(tail))]),
+            **{c: pa.concat_arrays([word(table[c].combine_chunks()), pa.array([PAD] * len(tail), pa.string())]) for c in COLUMNS},
             "n": pa.concat_arrays([table["count_all"].combine_chunks().cast(pa.int64()), pa.array(rest[tail], pa.int64())]),
         })
+        keys = np.concatenate([table["key_min"].to_numpy(), np.array([hash_name(words.langs[i]) for i in tail], np.uint64)])
+        bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        out, bucket = out.take(order), bucket[order]
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+        ends = np.append(first[1:], len(bucket))
+        return pa.table({"bucket": pa.array(bucket[first], pa.int32()),
+                         "payload": pa.array([table_bytes(out.slice(a, b - a)) for a, b in zip(first, ends)], pa.binary())})
 
     return run
 
 
+def _add(table: pa.Table) -> pa.Table:
+    parts = pa.concat_tables([bytes_table(x.as_py()) for x in table["payload"]])
+    names = ["lang", *COLUMNS]
+    try:
+        return parts.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
+    finally:
+        release()
+
+
 def windows(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """``lang, w1..w5, n``: longest windows, padded with empty words, and their
-    counts. Words too rare for any candidate stand together as an all-padded
-    window of their language."""
-    blocks = pack(docs, ["lang", "text"])
-    counts = count_keys(blocks, _keys, bucket_bits(docs))
-    return with_counts(blocks, counts, _keys, _windows(min_count), WINDOWS)
+    """``lang, w1..w5, n``: the distinct longest windows, padded with empty
+    words, and their counts. Words too rare for any candidate stand together as
+    an all-padded window of their language. Blocks send their windows in packed
+    buckets by hash, which add up what all blocks hold."""
+    blocks, bits = pack(docs, ["lang", "text"]), bucket_bits(docs)
+    counts = count_keys(blocks, _keys, bits)
+    packed = with_counts(blocks, counts, _keys, _windows(min_count, bits), "bucket int, payload binary")
+    return packed.groupBy("bucket").applyInArrow(_add, WINDOWS)
 
 
 def phrases(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang, words, f``: every phrase of up to five words that occurs
     ``min_count`` times or more; an empty phrase has the language's words."""
-    longest = windows(docs.select(F.col("lang").cast("string").alias("lang"), "text"), min_count).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
+    longest = windows(docs.select(F.col("lang").cast("string").alias("lang"), "text"), min_count)
     level = F.grouping_id()
     known = longest.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), level.alias("g"))
     # The grouping id has a bit for every column that is summed over.

@@ -537,7 +537,7 @@ def _staged_reduced(spark, sf) -> str:
     path = scratch_path(spark, "staging")
     reduced = written(_reduced(spark, sf), "reduced")  # computed once, cut into the two batches
     for i, part in enumerate(_batched(reduced, "DATA_VISITA"), start=1):
-        store.append_batch(part, path, batch_id=i, loaded_at=LOADED[i - 1])
+        store.append_batch(part, path, batch_id=i, loaded_at=LOADED[i - 1], ts_col="DATA_VISITA")
     return path
 
 
@@ -576,12 +576,12 @@ def staging_to_final(spark, sf):
 
 @job("staging_manifest")
 def staging_manifest(spark, sf):
-    return store.manifest(store.read_staging(spark, _staged_reduced(spark, sf), keep_meta=True), "DATA_VISITA")
+    return store.stored_manifest(spark, _staged_reduced(spark, sf), "DATA_VISITA")
 
 
 @job("retention_keep")
 def retention_keep(spark, sf):
-    man = store.manifest(store.read_staging(spark, _staged_reduced(spark, sf)), "DATA_VISITA")
+    man = store.stored_manifest(spark, _staged_reduced(spark, sf), "DATA_VISITA")
     return store.retention_flags(man, AS_OF, RETENTION_DAYS).select("batch_id", "max_timestamp", "keep")
 
 

@@ -1,18 +1,21 @@
 """Staging and final stores on Parquet.
 
-A staging store is one Parquet dataset partitioned by ``batch_id``: appends
-go through Spark's commit protocol (no file-name collisions, X10), the
-manifest is an aggregation over the data (X11), and retention drops whole
-``batch_id`` partitions. Final stores are overwritten atomically per write,
-or per day partition with dynamic partition overwrite.
+A staging store holds one folder per batch, ``batch_id=<id>``, and a commit record
+(``sources.commits``) of the live ones. An append claims an id, writes its folder
+and commits it with what was observed while writing: rows, first and last
+timestamp, schema. So a reader sees whole batches only, the manifest (X11) and the
+union schema (U1) are read from the record and not from the data, and compaction
+and retention change the set of batches at once. Final stores are overwritten
+atomically per write, or per day partition with dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +25,12 @@ from daymatrix.operators.dedup import latest_wins
 from daymatrix.operators.reshape import bounded_values, to_wide
 from daymatrix.operators.timeseries import bounds, densify_wide
 from daymatrix.session import scratch_path
+from daymatrix.sources import commits
+from daymatrix.sources.commits import file_system
 
 BATCH_COL = "batch_id"
 SEQ_COL = "row_seq"   # order of the rows within a batch, fixed at append
+SOURCE_COL = "source_batch"   # the batch that a row first came with; kept by compaction
 LOADED_COL = "loaded_at"   # when a batch was appended, by the caller's clock
 # Rows per staging file. Small chunks only bound a single process's memory;
 # on a cluster they would make many small files, so the default keeps files
@@ -32,25 +38,16 @@ LOADED_COL = "loaded_at"   # when a batch was appended, by the caller's clock
 DEFAULT_RECORDS_PER_FILE = 2_000_000
 
 
-def _fs_path(spark: SparkSession, path: str):
-    # Listing and deleting files has no public PySpark API; the Hadoop file
-    # system of the path is reached through the session's JVM gateway.
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored at ``path`` (file-system check: probing by
     reading would log a stack trace for every absent store)."""
-    fs, p = _fs_path(spark, path)
+    fs, p = file_system(spark, path)
     return bool(fs.exists(p))
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a dataset's first partition column, from its folders."""
-    fs, p = _fs_path(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -59,7 +56,7 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> list[str]:
     """Delete whole partitions by value; returns those that were there."""
-    fs, _ = _fs_path(spark, path)
+    fs, _ = file_system(spark, path)
     jvm = spark.sparkContext._jvm
     dropped = []
     for value in values:
@@ -70,47 +67,132 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
     return dropped
 
 
-def next_batch_id(spark: SparkSession, path: str) -> int:
-    """One more than the greatest stored batch id (1 for a new store)."""
-    return 1 + max((int(v) for v in partition_values(spark, path, BATCH_COL)), default=0)
+def _folder(batch_id: int) -> str:
+    return f"{BATCH_COL}={batch_id}"
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int | None = None,
-                 max_records_per_file: int = DEFAULT_RECORDS_PER_FILE, loaded_at: dt.datetime | None = None) -> int:
+def _write_batch(df: DataFrame, path: str, bid: int, max_records_per_file: int, ts_col: str | None) -> dict | None:
+    """Write one batch folder; returns its entry for the record, with what was
+    observed while writing, or ``None`` if there are no rows."""
+    spark = df.sparkSession
+    seen = Observation()
+    stats = [F.count(F.lit(1)).alias("n"), F.max(LOADED_COL).cast("string").alias("updated")]
+    if ts_col is not None:
+        stats += [F.min(qcol(ts_col)).cast("string").alias("lo"), F.max(qcol(ts_col)).cast("string").alias("hi")]
+    (df.observe(seen, *stats).write.mode("errorifexists")
+       .option("maxRecordsPerFile", max_records_per_file)
+       .option("compression", "snappy")
+       .parquet(f"{path}/{_folder(bid)}"))
+    got = seen.get
+    if not got["n"]:
+        fs, p = file_system(spark, f"{path}/{_folder(bid)}")
+        fs.delete(p, True)
+        return None
+    return {"id": bid, "num_rows": got["n"], "last_update": got["updated"], "ts_col": ts_col,
+            "ts_type": df.schema[ts_col].dataType.simpleString() if ts_col else None,
+            "min_timestamp": got.get("lo"), "max_timestamp": got.get("hi")}
+
+
+def _with_columns(known: str | None, schema: T.StructType) -> str:
+    """The registered schema with the columns that are new in ``schema``."""
+    fields = {f.name: f for f in T.StructType.fromJson(json.loads(known)).fields} if known else {}
+    for f in schema.fields:
+        if f.name in fields and fields[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {fields[f.name].dataType.simpleString()} in the store, {f.dataType.simpleString()} in the batch")
+        fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+    return T.StructType(list(fields.values())).json()
+
+
+def append_batch(df: DataFrame, path: str, batch_id: int | None = None, max_records_per_file: int = DEFAULT_RECORDS_PER_FILE,
+                 loaded_at: dt.datetime | None = None, ts_col: str | None = None) -> int:
     """Append ``df`` as one batch (S10, S11); returns its ``batch_id``.
 
-    Files hold at most ``max_records_per_file`` rows (X26). An empty input
-    creates no ``batch_id`` partition, so no manifest row either; it is not
-    probed beforehand, which would compute the input twice.
+    Files hold at most ``max_records_per_file`` rows (X26). ``ts_col`` names the
+    column whose first and last value the manifest records. An empty input
+    commits nothing, so it has no manifest row either; it is not probed
+    beforehand, which would compute the input twice. Writers may run side by
+    side: ids are claimed, and each batch is seen once it is committed.
     """
     spark = df.sparkSession
-    bid = next_batch_id(spark, path) if batch_id is None else int(batch_id)
-    (df.withColumn(SEQ_COL, F.monotonically_increasing_id())
-       .withColumn(LOADED_COL, F.lit(loaded_at).cast("timestamp_ntz"))
-       .withColumn(BATCH_COL, F.lit(bid).cast("int"))
-       .write.mode("append")
-       .partitionBy(BATCH_COL)
-       .option("maxRecordsPerFile", max_records_per_file)
-       .option("compression", "snappy")
-       .parquet(path))
+    bid = commits.claim(spark, path, batch_id)
+    rows = (df.drop(BATCH_COL).withColumn(SEQ_COL, F.monotonically_increasing_id())
+            .withColumn(SOURCE_COL, F.lit(bid))
+            .withColumn(LOADED_COL, F.lit(loaded_at).cast("timestamp_ntz")))
+    _with_columns(commits.snapshot(spark, path).extra.get("schema"), rows.schema)  # refuse before writing
+    entry = _write_batch(rows, path, bid, max_records_per_file, ts_col)
+    if entry:
+        commits.commit(spark, path, lambda seen: (
+            seen.live + [entry], {**seen.extra, "schema": _with_columns(seen.extra.get("schema"), rows.schema)}))
     return bid
 
 
-def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False, keep_meta: bool = False) -> DataFrame:
-    """All batches, columns unioned across batches (U1, S13); ``keep_meta``
-    keeps each row's place in its batch and the time of the append."""
-    reader = spark.read.option("mergeSchema", True)
+def adopt_batches(spark: SparkSession, path: str) -> list[int]:
+    """Commit the ``batch_id=`` folders of a store that has no record yet (one
+    written by another tool), their schemas merged from the files."""
+    if commits.snapshot(spark, path).version:
+        raise commits.CommitConflict("the store has a record already")
+    ids = [int(v) for v in partition_values(spark, path, BATCH_COL)]
+    found = spark.read.option("mergeSchema", True).parquet(path).drop(BATCH_COL)
+    for c, kind in ((SEQ_COL, "long"), (SOURCE_COL, "int"), (LOADED_COL, "timestamp_ntz")):
+        if c not in found.columns:
+            found = found.withColumn(c, F.lit(None).cast(kind))
+    for bid in ids:
+        commits.claim(spark, path, bid)
+    commits.commit(spark, path, lambda seen: (
+        [{"id": i, "ts_col": None} for i in ids], {**seen.extra, "schema": _with_columns(None, found.schema)}))
+    return ids
+
+
+def _read_batches(spark: SparkSession, path: str, seen: commits.Snapshot, ignore_corrupt: bool = False) -> DataFrame:
+    if not seen.version:
+        raise FileNotFoundError(f"no committed batch at {path}; see adopt_batches")
+    schema = T.StructType.fromJson(json.loads(seen.extra["schema"])).add(BATCH_COL, T.IntegerType())
+    if not seen.live:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
-    staged = reader.parquet(path)
-    return staged if keep_meta else staged.drop(SEQ_COL, LOADED_COL)
+    rows = reader.parquet(*[f"{path}/{_folder(i)}" for i in seen.ids])
+    return rows.withColumn(SOURCE_COL, F.coalesce(SOURCE_COL, BATCH_COL))
+
+
+def read_staging(spark: SparkSession, path: str, ignore_corrupt: bool = False, keep_meta: bool = False) -> DataFrame:
+    """All live batches, columns unioned across batches by the recorded schema
+    (U1, S13; no file footer is read for it); ``keep_meta`` keeps each row's
+    first batch, its place in that and the time of the append."""
+    staged = _read_batches(spark, path, commits.snapshot(spark, path), ignore_corrupt)
+    return staged if keep_meta else staged.drop(SEQ_COL, SOURCE_COL, LOADED_COL)
+
+
+def _latest(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return latest_wins(staged, keys, [SOURCE_COL, SEQ_COL])
 
 
 def load_staging(spark: SparkSession, path: str, keys: Sequence[str], ignore_corrupt: bool = False) -> DataFrame:
     """Staging rows, the last row per key wins: latest batch, and within it the
     row that was appended last (S12, D1)."""
     staged = read_staging(spark, path, ignore_corrupt, keep_meta=True)
-    return latest_wins(staged, keys, [BATCH_COL, SEQ_COL]).drop(SEQ_COL, LOADED_COL)
+    return _latest(staged, keys).drop(SEQ_COL, SOURCE_COL, LOADED_COL)
+
+
+MANIFEST = ["min_timestamp", "max_timestamp", "num_rows", "last_update"]
+
+
+def stored_manifest(spark: SparkSession, path: str, ts_col: str) -> DataFrame:
+    """The manifest (A13) as recorded at the appends: ``batch_id,
+    min_timestamp, max_timestamp, num_rows, last_update``. Only batches that
+    were appended without ``ts_col`` are read."""
+    seen = commits.snapshot(spark, path)
+    known = [e for e in seen.live if e["ts_col"] == ts_col]
+    kind = T.StructType.fromJson(json.loads(seen.extra["schema"]))[ts_col].dataType.simpleString() if seen.version else "timestamp"
+    rows = [(e["id"], *(e[c] for c in MANIFEST)) for e in known]
+    recorded = spark.createDataFrame(rows, f"{BATCH_COL} INT, min_timestamp STRING, max_timestamp STRING, num_rows BIGINT, last_update STRING")
+    recorded = recorded.select(BATCH_COL, *(F.col(c).cast(kind).alias(c) for c in MANIFEST[:2]), "num_rows", F.col("last_update").cast("timestamp_ntz").alias("last_update"))
+    others = [e for e in seen.live if e["ts_col"] != ts_col]
+    if not others:
+        return recorded
+    scanned = _read_batches(spark, path, commits.Snapshot(seen.version, others, [], seen.extra))
+    return recorded.unionByName(manifest(scanned, ts_col))
 
 
 def manifest(staged: DataFrame, ts_col: str) -> DataFrame:
@@ -135,13 +217,30 @@ def retention_flags(man: DataFrame, as_of, retention_days: int = 90) -> DataFram
 
 
 def drop_batches(spark: SparkSession, path: str, batch_ids: Iterable[int]) -> list[int]:
-    """Delete whole ``batch_id`` partitions (I6/I7); other batches untouched."""
-    return [int(v) for v in drop_partitions(spark, path, BATCH_COL, [str(int(b)) for b in batch_ids])]
+    """Take batches out of the store (I6, I7) at once; returns those that were
+    live. Their folders go with a later :func:`vacuum`."""
+    gone: list[int] = []
+    wanted = {int(b) for b in batch_ids}
+
+    def change(seen: commits.Snapshot):
+        gone[:] = [i for i in seen.ids if i in wanted]
+        return [e for e in seen.live if e["id"] not in wanted], seen.extra
+
+    if wanted:
+        commits.commit(spark, path, change)
+    return gone
+
+
+def vacuum(spark: SparkSession, path: str) -> list[int]:
+    """Delete the folders of batches that went out before the last commit."""
+    return commits.vacuum(spark, path, _folder)
 
 
 def apply_retention(spark: SparkSession, path: str, ts_col: str, as_of, retention_days: int = 90) -> list[int]:
-    """Drop staging batches older than the retention window; returns the ids."""
-    flags = retention_flags(manifest(read_staging(spark, path), ts_col), as_of, retention_days)
+    """Drop staging batches older than the retention window, by the recorded
+    manifest; returns the ids. Folders that earlier runs took out are deleted."""
+    vacuum(spark, path)
+    flags = retention_flags(stored_manifest(spark, path, ts_col), as_of, retention_days)
     old = [r[BATCH_COL] for r in flags.where(~F.col("keep")).select(BATCH_COL).collect()]
     return drop_batches(spark, path, old)
 
@@ -216,15 +315,23 @@ def save_matrix(wide: DataFrame, path: str, key: str = "timestamp", compression:
     save_matrix_csv(wide.sparkSession.read.parquet(f"{path}.parquet"), f"{path}.csv", key)
 
 
-def compact_staging(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
-    """Rewrite the latest row per key as one new batch, then drop the batches
-    it supersedes (I7). Returns the new batch id."""
-    from daymatrix.session import materialize
-
-    latest = materialize(load_staging(spark, path, keys).drop(BATCH_COL))
-    old = [r[BATCH_COL] for r in read_staging(spark, path).select(BATCH_COL).distinct().collect()]
-    bid = append_batch(latest, path)
-    drop_batches(spark, path, old)
+def compact_staging(spark: SparkSession, path: str, keys: Sequence[str], ts_col: str | None = None) -> int:
+    """Rewrite the latest row per key as one new batch that takes the place of
+    the batches read, in one commit (I7). Returns the new batch id.
+
+    Batches appended meanwhile stay, and win or lose by their own ids as before:
+    every row keeps the batch it first came with and its place in that. If one of
+    the batches read has gone meanwhile, nothing changes and the commit raises.
+    Folders that earlier compactions replaced are deleted."""
+    vacuum(spark, path)
+    seen = commits.snapshot(spark, path)
+    latest = _latest(_read_batches(spark, path, seen), keys).drop(BATCH_COL)
+    if ts_col is None:
+        named = {e["ts_col"] for e in seen.live}
+        ts_col = named.pop() if len(named) == 1 else None
+    bid = commits.claim(spark, path)
+    entry = _write_batch(latest, path, bid, DEFAULT_RECORDS_PER_FILE, ts_col)
+    commits.replace(spark, path, seen.ids, [entry] if entry else [])
     return bid
 
 

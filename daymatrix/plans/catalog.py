@@ -31,12 +31,13 @@ from daymatrix.operators import reports
 from daymatrix.operators.quality import unknown_codes, unmatched_units
 from daymatrix.operators.reshape import align_union, bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, fill_series, year_ranges
+from daymatrix.plans import daily
 from daymatrix.plans import features as names
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY
 from daymatrix.session import materialize, scratch_path, written
 from daymatrix.sources import fixtures as fx
-from daymatrix.sources import scan, store
+from daymatrix.sources import blocks, scan, store
 from daymatrix.sources.tables import read_table
 from daymatrix.streaming.daily_counts import run_daily_counts
 
@@ -388,6 +389,37 @@ def diagnosis_code_blocks(spark, sf):
     return combine_long(rows)
 
 
+@job("raw_code_blocks")
+def raw_code_blocks(spark, sf):
+    """Every raw code on every day (R6), whole codes, in blocks of columns; the
+    cells that are not 0 read back."""
+    long = code_daily(raw_code_rows(fx.diagnoses(spark, sf))).select(
+        F.lit("raw").alias("matrix"), "day", F.concat(F.lit("DIAG_CODE_"), "DIAG_CODE").alias("feature"), "n")
+    long = written(long, "raw-codes")
+    path = blocks.write_blocks(long, [bounds(long, "day")], scratch_path(spark, "raw-code-blocks"))
+    return blocks.read_long(spark, path).drop("matrix")
+
+
+def _up_blocks(spark, sf, counts, lookup):
+    path = scratch_path(spark, "up-blocks")
+    return blocks.column_digests(spark, daily.write_up_blocks(written(counts, "up-counts"), lookup, path))
+
+
+@job("up_blocks_demand")
+def up_blocks_demand(spark, sf):
+    """The dense UP matrices of demand (I8), one a region, written in blocks;
+    every column's days, cells, sum and sum by day number from the files."""
+    lookup = fx.up_rs(spark, sf)
+    return _up_blocks(spark, sf, _demand(spark, sf, ("UP",), lookup=lookup), lookup)
+
+
+@job("up_blocks_diagnosis")
+def up_blocks_diagnosis(spark, sf):
+    """As ``up_blocks_demand`` for diagnoses."""
+    lookup = fx.up_rs(spark, sf)
+    return _up_blocks(spark, sf, _diagnosis(spark, sf, ("UP",), lookup=lookup), lookup)
+
+
 def _selected_matrix(spark, sf, scope):
     long = diagnosis_counts(_reduced(spark, sf), (scope,), ["ICD10_3"], False, SELECTED_CODES)
     columns = [f"ICD10_3__{c}" for c in sorted(set(SELECTED_CODES))] if scope == "CAT" else \
@@ -473,6 +505,17 @@ def historical_all(spark, sf):
     return combine_long([_named(_demand(spark, sf, lookup=lookup)), _named(_diagnosis(spark, sf, lookup=lookup))])
 
 
+@job("historical_blocks")
+def historical_blocks(spark, sf):
+    """The six matrices side by side, dense and zero-filled (J6, Q4, S16), as
+    columns' days, cells, sum and sum by day number from the files."""
+    lookup = fx.up_rs(spark, sf)
+    paths = [scratch_path(spark, "history-long") for _ in range(2)]
+    for counts, path in zip((_demand(spark, sf, lookup=lookup), _diagnosis(spark, sf, lookup=lookup)), paths):
+        store.save_final(counts.hint("rebalance", "scope", "variable"), path, partition_by=["scope", "variable"])
+    return blocks.column_digests(spark, daily.historical_blocks(spark, paths, scratch_path(spark, "history-blocks")))
+
+
 def _batched(df: DataFrame, day_col: str) -> tuple[DataFrame, DataFrame]:
     """The two fixture batches, cut by day with 30 days of overlap."""
     return (df.where(F.col(day_col) < F.lit(BATCH1_END)),

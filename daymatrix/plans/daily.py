@@ -27,7 +27,7 @@ from daymatrix.operators.reshape import bounded_values, to_wide
 from daymatrix.operators.timeseries import bounds, densify_wide
 from daymatrix.plans import incremental as inc
 from daymatrix.session import materialize
-from daymatrix.sources import store
+from daymatrix.sources import blocks, store
 
 
 class MissingInputError(FileNotFoundError):
@@ -98,13 +98,12 @@ def render_matrices(counts: DataFrame, out_dir: str, domain_prefix: str, start=N
 def demand_final(spark: SparkSession, visits: DataFrame, lookup: DataFrame, out_dir: str,
                  start=None, end=None, up_matrices: bool = False) -> dict[str, str]:
     """Q1: visits -> counts at every scope -> long dataset, densified CAT/RS
-    matrices and, per region, the UP matrices."""
+    matrices and the UP matrices of all regions in blocks of columns."""
     counts = demand_counts(prepare_visits(visits, lookup), SCOPES)
     outputs = render_matrices(counts, out_dir, "demand", start, end)
     if up_matrices:
         stored = spark.read.parquet(outputs["demand_long"])
-        for region, path in render_up_by_region(stored, lookup, out_dir, "demand", start, end).items():
-            outputs[f"demand_up[{region}]"] = path
+        outputs["demand_up"] = write_up_blocks(stored, lookup, f"{out_dir}/demand_up", start, end)
     return outputs
 
 
@@ -115,16 +114,35 @@ def diagnosis_final(spark: SparkSession, diagnoses: DataFrame, lookup: DataFrame
 
     The nine grouped-long datasets of the reference (level x CAT/RS/UP) are
     the ``diagnosis_long`` dataset's ``scope=/variable=`` partitions; the
-    all-level matrices are rendered for CAT, RS and (per region) UP."""
+    all-level matrices are rendered for CAT and RS, and for UP in blocks."""
     counts = diagnosis_counts(prepare_diagnoses(diagnoses, lookup), SCOPES, LEVELS, True, selected_codes)
     outputs = render_matrices(counts, out_dir, "diagnosis", start, end)
     if up_matrices:
         stored = spark.read.parquet(outputs["diagnosis_long"])
-        for region, path in render_up_by_region(stored, lookup, out_dir, "diagnosis", start, end).items():
-            outputs[f"diagnosis_up[{region}]"] = path
+        outputs["diagnosis_up"] = write_up_blocks(stored, lookup, f"{out_dir}/diagnosis_up", start, end)
     return outputs
 
 
+def _unit_regions(counts: DataFrame, lookup: DataFrame, region: str) -> DataFrame:
+    """UP counts by feature, with the region of the unit (none ->
+    ``RS:SENSEESPECIFICAR_SE``)."""
+    lk = unit_region_lookup(lookup).select(F.col("UP").alias("__unit"), region_label("RS").alias(region))
+    up = (counts.where(F.col("scope") == "UP")
+          .join(small_side(lk), F.col("group_value") == F.col("__unit"), "left")
+          .withColumn(region, F.coalesce(region, F.lit(REGION_DEFAULT))))
+    return with_feature(up).select("day", "feature", "n", region)
+
+
+def write_up_blocks(counts: DataFrame, lookup: DataFrame, path: str, start=None, end=None) -> str:
+    """The UP matrices (I8, I9) of all regions, dense over ``[start, end]``
+    (default: the first and last day of any unit), one matrix a region, in blocks
+    of columns written by one job (``sources.blocks``): no list of regions or
+    columns is collected, and neither has a limit."""
+    lo, hi = bounds(counts.where(F.col("scope") == "UP"), "day")
+    lo, hi = (start or lo), (end or hi)
+    return blocks.write_blocks(_unit_regions(counts, lookup, blocks.MATRIX), [(lo, hi)] if lo is not None and hi is not None else [], path)
+
+
 def joined_final(spark: SparkSession, demand_counts_df: DataFrame, diagnosis_counts_df: DataFrame,
                  out_path: str, fill_method: str | None = "ffill", compression: str = "snappy") -> str:
     """Q3: CAT demand and diagnosis matrices joined on the day with fills."""
@@ -150,6 +168,20 @@ def historical_combined(spark: SparkSession, long_paths: Sequence[str], out_path
     return out_path
 
 
+def historical_blocks(spark: SparkSession, long_paths: Sequence[str], out_path: str) -> str:
+    """Q4, J6, S16 as a zero-filled matrix: the CAT, RS and UP matrices of all
+    stored long datasets side by side over the days of any of them (each from its
+    own first to its last day), in blocks of columns. The block index names each
+    column's matrix, ``<domain>_<scope>``. A missing input is an error."""
+    missing = [p for p in long_paths if not store.path_exists(spark, p)]
+    if missing:
+        raise MissingInputError(f"missing inputs: {missing}")
+    matrix = F.lower(F.concat_ws("_", "domain", "scope")).alias(blocks.MATRIX)
+    combined = combine_long([with_feature(spark.read.parquet(p)).select(matrix, "day", "feature", "n") for p in long_paths])
+    spans = combined.groupBy(blocks.MATRIX).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).collect()  # a row a matrix
+    return blocks.write_blocks(combined, [(r["lo"], r["hi"]) for r in spans if r["lo"] is not None], out_path)
+
+
 def build_all(spark: SparkSession, visits: DataFrame, diagnoses: DataFrame, lookup: DataFrame,
               out_dir: str) -> dict[str, str]:
     """The whole daily build: demand and diagnosis outputs (Q1, Q2), then the
@@ -174,18 +206,13 @@ def render_up_by_region(counts: DataFrame, lookup: DataFrame, out_dir: str, doma
                         start=None, end=None, max_regions: int = 1_000) -> dict[str, str]:
     """UP-scope matrices rendered one region at a time (I8/I9 UP outputs).
 
-    A single wide UP matrix has units x values columns; split by region each
-    file stays within the pivot cap (a region over the cap raises rather than
-    truncating). Units get their region from the lookup (no region ->
-    ``RS:SENSEESPECIFICAR_SE``). The loop is over the bounded list of regions;
-    each region's pivot is one distributed job.
+    For a few regions of some thousand columns each, under their own names, as
+    Parquet and CSV: the loop is over the list of regions, each region's pivot is
+    one distributed job, and one past the pivot cap raises rather than truncating.
+    :func:`write_up_blocks` has no such bounds.
     """
     spark = counts.sparkSession
-    lk = unit_region_lookup(lookup).select(F.col("UP").alias("__unit"), region_label("RS").alias("__region"))
-    up = (counts.where(F.col("scope") == "UP")
-          .join(small_side(lk), F.col("group_value") == F.col("__unit"), "left")
-          .withColumn("__region", F.coalesce("__region", F.lit(REGION_DEFAULT))))
-    up = materialize(_named_with_region(up))
+    up = materialize(_unit_regions(counts, lookup, "__region"))
     lo, hi = bounds(up, "day")
     lo, hi = (start or lo), (end or hi)
     outputs = {}
@@ -199,7 +226,3 @@ def render_up_by_region(counts: DataFrame, lookup: DataFrame, out_dir: str, doma
         store.save_matrix(wide, path)
         outputs[region] = f"{path}.parquet"
     return outputs
-
-
-def _named_with_region(up: DataFrame) -> DataFrame:
-    return with_feature(up).select("day", "feature", "n", "__region")

@@ -506,3 +506,35 @@ SQL["range_totals"] = with_(*JOIN_CTES) + f"""SELECT feature, CAST(sum(n) AS BIG
 WHERE day BETWEEN {_d(C.FINAL_RANGE[0])} AND {_d(C.FINAL_RANGE[1])} GROUP BY feature"""
 SQL["diagnosis_code_blocks"] = with_(*DIAG_BASE) + """SELECT DATA_VISITA AS timestamp, 'DIAG_CODE_' || ICD10_3 AS feature,
        CAST(sum(n) AS BIGINT) AS n FROM dx GROUP BY 1, 2"""
+
+# --- dense blocks of columns ---------------------------------------------------------------------
+
+SQL["raw_code_blocks"] = with_(RAW_ROWS) + """SELECT day AS timestamp, 'DIAG_CODE_' || DIAG_CODE AS feature, count(*) AS n
+FROM rr GROUP BY 1, 2"""
+
+
+def column_digests(src: str, first: str, days: str) -> str:
+    """Digest of each column of dense matrices whose cells are ``src(matrix, day, feature, n)``."""
+    return (f"SELECT matrix, feature, ({days}) AS n_days, count(*) AS n_nonzero, CAST(sum(n) AS BIGINT) AS total, "
+            f"CAST(sum(n * (date_diff('day', ({first}), day) + 1)) AS BIGINT) AS weighted FROM {src} GROUP BY 1, 2")
+
+
+def _up(src: str, name: str, default: str) -> str:
+    return (f"up AS (SELECT COALESCE(CASE WHEN lk.RS = 'SENSEESPECIFICAR_SE' THEN '{default}' ELSE lk.RS END, '{default}') AS matrix, "
+            f"s.day, {name} AS feature, s.n FROM {src} s LEFT JOIN lk ON s.group_value = lk.UP)")
+
+
+_SPAN = "SELECT date_diff('day', min(day), max(day)) + 1 FROM up"
+_DEFAULT = "RS:SENSEESPECIFICAR_SE"
+SQL["up_blocks_demand"] = with_(*DEMAND_BASE, demand_long(("UP",)), _up("dlong", DEMAND_NAME, _DEFAULT)) + \
+    column_digests("up", "SELECT min(day) FROM up", _SPAN)
+SQL["up_blocks_diagnosis"] = with_(*DIAG_BASE, DIAG_STACK, diag_long(("UP",)), _up("xlong", DIAG_NAME, _DEFAULT)) + \
+    column_digests("up", "SELECT min(day) FROM up", _SPAN)
+
+_HISTORY = f"""hist AS (
+  SELECT 'demand_' || lower(scope) AS matrix, day, {DEMAND_NAME} AS feature, n FROM dlong
+  UNION ALL SELECT 'diagnosis_' || lower(scope), day, {DIAG_NAME}, n FROM xlong)"""
+_SPANS = """spans AS (SELECT DISTINCT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT matrix, min(day) AS lo, max(day) AS hi FROM hist GROUP BY matrix) b)"""
+SQL["historical_blocks"] = with_(*ALL_BASE, DIAG_STACK, demand_long(), diag_long(), _HISTORY, _SPANS) + \
+    column_digests("hist", "SELECT min(day) FROM spans", "SELECT count(*) FROM spans")

@@ -31,7 +31,7 @@ from daymatrix.operators import reports
 from daymatrix.operators.quality import unknown_codes, unmatched_units
 from daymatrix.operators.reshape import align_union, bounded_values, to_long, to_wide
 from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, fill_series, year_ranges
-from daymatrix.plans import daily
+from daymatrix.plans import daily, monthly
 from daymatrix.plans import features as names
 from daymatrix.plans import incremental as inc
 from daymatrix.schema import COUNT_KEY
@@ -39,7 +39,7 @@ from daymatrix.session import materialize, scratch_path, written
 from daymatrix.sources import fixtures as fx
 from daymatrix.sources import blocks, scan, store
 from daymatrix.sources.tables import read_table
-from daymatrix.streaming.daily_counts import run_daily_counts
+from daymatrix.streaming.daily_counts import compact_daily_counts, read_daily_counts, run_daily_counts
 
 # Fixed parameters of the registered jobs (dates inside the fixture spans).
 SCAN_LO, SCAN_HI, SCAN_AFTER = dt.date(1998, 1, 1), dt.date(1999, 1, 1), dt.date(1998, 6, 30)
@@ -55,6 +55,7 @@ RECENT_FROM = dt.date(2001, 1, 1)
 FUTURE = dt.date(2099, 1, 1)
 LOADED = (dt.datetime(1999, 1, 1, 6), dt.datetime(2001, 11, 5, 6))   # when the two batches were appended
 DELETED = (dt.date(1998, 12, 1), dt.date(1999, 1, 1))   # a month that the source loses
+WRONG_MONTH = (dt.date(1995, 3, 1), dt.date(1995, 3, 31))   # counted wrongly by a first run
 STAGING_RANGE = (dt.date(1998, 6, 1), dt.date(1999, 6, 30))
 FINAL_RANGE = (dt.date(1997, 1, 1), dt.date(2000, 12, 31))
 RECENT_FEATURES = ["DEMAND_demanda__TOTAL_CAT", "DIAGNOSIS_TOTAL"]
@@ -721,6 +722,22 @@ def incremental_add(spark, sf):
     return inc.read_additive_store(spark, path)
 
 
+@job("filled_months_redone")
+def filled_months_redone(spark, sf):
+    """Chapter series filled forward, kept by month over three runs: days up to
+    the first batch's end with wrong counts in one month, that month put right,
+    and the rest of the days. Equal to the full build."""
+    path = scratch_path(spark, "filled-months")
+    counts = written(_named(_diagnosis(spark, sf, ("CAT",), ["ICD10_CHAPTER"], False, None)), "chapter-counts")
+    lo, hi = WRONG_MONTH
+    early = counts.where(F.col("day") < F.lit(BATCH1_END))
+    wrong = F.col("day").between(F.lit(lo), F.lit(hi))
+    monthly.update(early.withColumn("n", F.when(wrong, F.col("n") * 2).otherwise(F.col("n"))).where(~wrong | (F.dayofmonth("day") < 20)), path)
+    monthly.update(early, path, lo, hi)
+    monthly.update(counts, path, BATCH1_END)
+    return monthly.read_filled(spark, path)
+
+
 # --- quality (V3, V4) ----------------------------------------------------------------
 
 @job("unknown_codes_report")
@@ -756,6 +773,19 @@ def stream_late_rows(spark, sf):
                             scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
 
 
+@job("stream_compacted")
+def stream_compacted(spark, sf):
+    """The stream in two runs of several micro-batches each, compacted within
+    the first run, between the two and after them: every event counts once."""
+    events = fx.events(spark, sf)
+    source, sink, ckpt = (scratch_path(spark, n) for n in ("stream-source", "stream-sink", "stream-ckpt"))
+    for part in range(2):
+        events.where(F.pmod(F.col("event_id"), F.lit(2)) == part).repartition(4, "user_id").write.mode("append").parquet(source)
+        run_daily_counts(spark, source, events.schema, sink, ckpt, max_files_per_trigger=1, compact_every=3 if part == 0 else None)
+        compact_daily_counts(spark, sink)
+    return read_daily_counts(spark, sink)
+
+
 # --- stores and checks as write-then-read jobs (S7-S9, S13, S15, P18-P20, V1, V2, V5, I3, I7, R7) ----
 
 def _total_long(spark, sf):

@@ -478,6 +478,7 @@ WHERE UP IS NOT NULL AND UP NOT IN (SELECT UP FROM lk) GROUP BY UP"""
 SQL["stream_daily_counts"] = "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"
 
 SQL["stream_late_rows"] = SQL["stream_daily_counts"]
+SQL["stream_compacted"] = SQL["stream_daily_counts"]
 
 # --- increments under wrong and lost rows ------------------------------------------------------
 
@@ -538,3 +539,7 @@ _SPANS = """spans AS (SELECT DISTINCT CAST(unnest(generate_series(CAST(lo AS TIM
   FROM (SELECT matrix, min(day) AS lo, max(day) AS hi FROM hist GROUP BY matrix) b)"""
 SQL["historical_blocks"] = with_(*ALL_BASE, DIAG_STACK, demand_long(), diag_long(), _HISTORY, _SPANS) + \
     column_digests("hist", "SELECT min(day) FROM spans", "SELECT count(*) FROM spans")
+
+# --- months redone with a carried fill state -------------------------------------------------------
+
+SQL["filled_months_redone"] = SQL["fill_forward"]

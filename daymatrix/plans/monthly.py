@@ -10,8 +10,8 @@ commit record (``sources.commits``), which also holds the calendar's bounds.
 
 A feature is stored from the month in which a run first met it. Its days before
 that are 0, as in the full build, and are added when the series are read, so a
-new feature does not touch earlier months. A feature whose counts are all gone
-goes from the result as well.
+new feature does not touch earlier months. A feature that has had no count by the
+last day (its counts went) is not in the result.
 
 Defined cases: cells are sparse counts, one row per ``feature`` and ``day``; null
 counts are as good as absent; without any counts there is no store, and reading
@@ -57,17 +57,19 @@ def _read(spark: SparkSession, path: str, months: dict[str, int]) -> DataFrame:
 
 
 def _state(spark: SparkSession, path: str, extra: dict, month: dt.date) -> DataFrame:
-    """``feature, n, first`` at the end of ``month``, of features with a count so far."""
+    """``feature, n, seen, first`` at the end of ``month``: each feature's last
+    value, and whether it has had a count by then."""
     months = {m: r for m, r in extra.get("months", {}).items() if m == month.isoformat()}
     last = min(_next_month(month) - dt.timedelta(days=1), dt.date.fromisoformat(extra["hi"])) if months else month
-    return _read(spark, path, months).where((F.col("day") == F.lit(last)) & F.col("seen")).select("feature", "n", "first")
+    return _read(spark, path, months).where(F.col("day") == F.lit(last)).select("feature", "n", "seen", "first")
 
 
 def _filled(spark: SparkSession, path: str, extra: dict, counts: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Filled cells of the days ``[start, end]``, from the state before and the counts within."""
+    """Filled cells of the days ``[start, end]``, from the state before and the
+    counts within. A feature without a count so far is carried on as such."""
     before = start - dt.timedelta(days=1)
     state = _state(spark, path, extra, _month(before))
-    seeds = state.select("feature", F.lit(before).alias("day"), F.col("n").cast("long").alias("n"))
+    seeds = state.select("feature", F.lit(before).alias("day"), F.when(F.col("seen"), F.col("n")).alias("n"))
     within = counts.where(F.col("day").between(F.lit(start), F.lit(end)) & F.col("n").isNotNull()).select("feature", "day", F.col("n").cast("long").alias("n"))
     grid = densify_long(seeds.unionByName(within), ["feature"], "day", "n", before, end, fill=None)
     filled = fill_series(grid, ["feature"], "day", "n", "ffill", zero_fill=False).where(F.col("day") >= F.lit(start))
@@ -108,7 +110,8 @@ def update(counts: DataFrame, path: str, changed_from: dt.date | None = None, ch
     folder = f"{path}/{RUN}={run}"
 
     def build(first: dt.date, last: dt.date, base: dict) -> dict:
-        cells = _filled(spark, path, base, counts, first, last)
+        # Nothing comes before the first day, whatever was stored.
+        cells = _filled(spark, path, base if first > lo else {}, counts, first, last)
         cells.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(folder)
         months = {m.isoformat(): run for m in _months(first, last)}
         # What lies before the first day or after the last one is no longer a month of the store.
@@ -136,7 +139,7 @@ def read_filled(spark: SparkSession, path: str) -> DataFrame:
     if not months:
         return _read(spark, path, {}).select("feature", "day", "n")
     lo, hi = (dt.date.fromisoformat(extra[k]) for k in ("lo", "hi"))
-    live = written(_state(spark, path, extra, _month(hi)).select("feature", "first"), "filled-features")
+    live = written(_state(spark, path, extra, _month(hi)).where("seen").select("feature", "first"), "filled-features")
     cells = _read(spark, path, months).select("feature", "day", "n").join(live, "feature").where("day >= first").select("feature", "day", "n")
     early = live.where(F.col("first") > F.lit(lo)).select(
         "feature", F.explode(day_sequence(F.lit(lo), F.date_sub("first", 1))).alias("day"), F.lit(0).cast("long").alias("n"))

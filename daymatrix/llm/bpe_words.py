@@ -25,10 +25,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from daymatrix.llm.blocks import bucket_bits, bytes_table, meet, pack, pack_ints, table_bytes, unpack_ints
+from daymatrix.llm.blocks import bucket_bits, bytes_table, meet, pack, pack_ints, release, table_bytes, unpack_ints
 from daymatrix.llm.pretokens import Pretokens, pieces, special_tokens, split_special, tokenizer
 
 ENCODED = "doc_id long, ids array<int>"
+#: Distinct words encoded at once.
+SLICE = 10_000
 
 
 def default_vocabulary() -> str:
@@ -69,21 +71,32 @@ def encode(docs: DataFrame, vocabulary: str, then: Callable[[pa.Table], pa.Table
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
                     "words": pa.array([table_bytes(pa.table({"w": text.slice(lo, hi - lo)})) for _, lo, hi in rows], pa.binary())})
+                del tokens, text
+                release()
 
     def encode_bucket(table: pa.Table) -> pa.Table:
-        lists = [bytes_table(x.as_py())["w"].to_pylist() for x in table["words"]]
-        distinct = list(dict.fromkeys(w for words in lists for w in words))
-        model, ids = tokenizer(shared.value), {}
-        for lo in range(0, len(distinct), 10_000):
-            part = distinct[lo : lo + 10_000]
-            ids.update(zip(part, (e.ids for e in model.encode_batch_fast(part, add_special_tokens=False))))
+        lists = [bytes_table(x.as_py())["w"].combine_chunks() for x in table["words"]]
+        at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        coded = pa.chunked_array(lists, pa.string()).combine_chunks().dictionary_encode()
+        del lists
+        distinct, of = coded.dictionary, coded.indices.to_numpy()
+        model, sizes, flats = tokenizer(shared.value), [], []
+        for lo in range(0, len(distinct), SLICE):
+            found = [e.ids for e in model.encode_batch_fast(distinct.slice(lo, SLICE).to_pylist(), add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter((i for x in found for i in x), np.int64, int(sizes[-1].sum())))
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
+        begin = np.cumsum(size) - size
         out = []
-        for words in lists:
-            found = [ids[w] for w in words]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.int64, int(size.sum()))
-            out.append(len(words).to_bytes(4, "little") + pack_ints(np.concatenate([size, flat]), 4))
-        return pa.table({"block": table["block"], "bucket": table["bucket"], "payload": pa.array(out, pa.binary())})
+        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+            word = of[lo:hi]
+            n = size[word]
+            own = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append((hi - lo).to_bytes(4, "little") + pack_ints(np.concatenate([n, flat[own]]), 4))
+        try:
+            return pa.table({"block": table["block"], "bucket": table["bucket"], "payload": pa.array(out, pa.binary())})
+        finally:
+            release()
 
     def join_back(table: pa.Table, rows: list[tuple[int, bytes]]) -> pa.Table:
         tokenizer(shared.value)

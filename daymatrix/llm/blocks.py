@@ -5,8 +5,8 @@ it occurs in all documents, and need the answer back where the text is. A
 plain join ships one row per occurrence both ways. Here documents travel in
 blocks of a few MB:
 
-1. ``pack`` cuts the scan into blocks, each one row with its documents as
-   compressed Arrow data;
+1. ``pack`` cuts the scan into blocks; where they must travel, each is one row
+   with its documents as compressed Arrow data;
 2. ``count_keys`` reduces each block to its distinct 48-bit keys, dealt by
    their leading bits into buckets as sorted, delta-coded arrays (a few bytes
    a key); a bucket, one group of a shuffle, adds up the counts over all
@@ -25,6 +25,7 @@ from __future__ import annotations
 import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -92,18 +93,48 @@ def cut(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa
         yield pa.concat_tables(held).combine_chunks()
 
 
-def pack(docs: DataFrame, columns: list[str], text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
-    """``(block, payload)`` rows of the given columns of all documents."""
+def _name(table: pa.Table, part: int, seq: int) -> int:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    digest = hashlib.blake2b(sink.getvalue(), digest_size=8, salt=f"{part}.{seq}".encode()[:16]).digest()
+    return int.from_bytes(digest, "little", signed=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for seq, table in enumerate(cut(batches, text, limit)):
-            payload = table_bytes(table)
-            release()
-            name = hashlib.blake2b(payload, digest_size=8, salt=f"{part}.{seq}".encode()[:16]).digest()
-            yield pa.RecordBatch.from_pydict({"block": pa.array([int.from_bytes(name, "little", signed=True)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
-    return docs.select(*columns).mapInArrow(run, "block long, payload binary")
+@dataclass(frozen=True)
+class Blocks:
+    """The given columns of all documents, cut into blocks."""
+
+    docs: DataFrame
+    columns: list[str]
+    text: str
+    limit: int
+
+    def map(self, fn: Callable[[int, pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+        """``fn(block, documents)`` of every block, in the task that cuts it: one
+        Python process per task, and no packing on the way."""
+        text, limit = self.text, self.limit
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            for seq, table in enumerate(cut(batches, text, limit)):
+                yield fn(_name(table, part, seq), table)
+                del table
+                release()
+
+        return self.docs.select(*self.columns).mapInArrow(run, schema)
+
+    def packed(self) -> DataFrame:
+        """``(block, payload)`` rows."""
+
+        def payload(block: int, table: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "payload": pa.array([table_bytes(table)], pa.binary())})
+
+        return self.map(payload, "block long, payload binary")
+
+
+def pack(docs: DataFrame, columns: list[str], text: str = "text", limit: int = BLOCK_BYTES) -> Blocks:
+    return Blocks(docs, columns, text, limit)
 
 
 def pack_ints(values: np.ndarray, width: int) -> bytes:
@@ -129,25 +160,21 @@ def bucket_edges(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(KEY_BITS - bits)).tolist() + [len(keys)]
 
 
-def count_keys(blocks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], bits: int) -> DataFrame:
+def count_keys(blocks: Blocks, keys_of: Callable[[pa.Table], np.ndarray], bits: int) -> DataFrame:
     """``(block, bucket, payload)``: the corpus-wide counts of each block's
     distinct keys. ``keys_of`` gives the 64-bit keys of a block's documents,
     one for each occurrence that counts."""
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, payload in zip(batch["block"].to_pylist(), batch["payload"]):
-                keys, _, counts = distinct_keys(keys_of(bytes_table(payload.as_py())))
-                edges = bucket_edges(keys, bits)
-                rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block] * len(rows), pa.int64()),
-                    "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
-                    "keys": pa.array([pack_ints(np.diff(keys[lo:hi], prepend=np.uint64(0)), 6) for _, lo, hi in rows], pa.binary()),
-                    "counts": pa.array([pack_ints(counts[lo:hi], 4) for _, lo, hi in rows], pa.binary()),
-                })
-                del keys, counts
-                release()
+    def emit(block: int, docs: pa.Table) -> pa.RecordBatch:
+        keys, _, counts = distinct_keys(keys_of(docs))
+        edges = bucket_edges(keys, bits)
+        rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([block] * len(rows), pa.int64()),
+            "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
+            "keys": pa.array([pack_ints(np.diff(keys[lo:hi], prepend=np.uint64(0)), 6) for _, lo, hi in rows], pa.binary()),
+            "counts": pa.array([pack_ints(counts[lo:hi], 4) for _, lo, hi in rows], pa.binary()),
+        })
 
     def add(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -164,12 +191,12 @@ def count_keys(blocks: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], bit
         })
 
     return (
-        blocks.mapInArrow(emit, "block long, bucket int, keys binary, counts binary")
+        blocks.map(emit, "block long, bucket int, keys binary, counts binary")
         .groupBy("bucket").applyInArrow(add, "block long, bucket int, payload binary")
     )
 
 
-def meet(blocks: DataFrame, parts: DataFrame, fn: Callable[[pa.Table, list[tuple[int, bytes]]], pa.Table], schema: str) -> DataFrame:
+def meet(blocks: Blocks, parts: DataFrame, fn: Callable[[pa.Table, list[tuple[int, bytes]]], pa.Table], schema: str) -> DataFrame:
     """Bring each block together with its ``(bucket, payload)`` rows and apply
     ``fn(documents, rows in bucket order)``."""
 
@@ -182,11 +209,11 @@ def meet(blocks: DataFrame, parts: DataFrame, fn: Callable[[pa.Table, list[tuple
         finally:
             release()
 
-    both = blocks.select("block", F.lit(-1).alias("bucket"), "payload").unionByName(parts)
+    both = blocks.packed().select("block", F.lit(-1).alias("bucket"), "payload").unionByName(parts)
     return both.groupBy("block").applyInArrow(run, schema)
 
 
-def with_counts(blocks: DataFrame, counts: DataFrame, keys_of: Callable[[pa.Table], np.ndarray],
+def with_counts(blocks: Blocks, counts: DataFrame, keys_of: Callable[[pa.Table], np.ndarray],
                 fn: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
     """``fn(documents, counts)`` for each block, where ``counts`` holds the
     corpus-wide count of every key that ``keys_of`` gives, in its order."""

@@ -61,18 +61,14 @@ def encode(docs: DataFrame, vocabulary: str, then: Callable[[pa.Table], pa.Table
     special = special_tokens(vocabulary)
     blocks = pack(docs, ["doc_id", "text"])
 
-    def send(batches):
+    def send(block: int, table: pa.Table) -> pa.RecordBatch:
         tokenizer(shared.value)  # its character classes hold for the splitting
-        for batch in batches:
-            for block, payload in zip(batch["block"].to_pylist(), batch["payload"]):
-                tokens, _ = _split(bytes_table(payload.as_py()), special)
-                text, edges = pa.array(tokens.distinct(), pa.string()), _edges(tokens.keys, bits)
-                rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
-                    "words": pa.array([table_bytes(pa.table({"w": text.slice(lo, hi - lo)})) for _, lo, hi in rows], pa.binary())})
-                del tokens, text
-                release()
+        tokens, _ = _split(table, special)
+        text, edges = pa.array(tokens.distinct(), pa.string()), _edges(tokens.keys, bits)
+        rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
+            "words": pa.array([table_bytes(pa.table({"w": text.slice(lo, hi - lo)})) for _, lo, hi in rows], pa.binary())})
 
     def encode_bucket(table: pa.Table) -> pa.Table:
         lists = [bytes_table(x.as_py())["w"].combine_chunks() for x in table["words"]]
@@ -118,7 +114,7 @@ def encode(docs: DataFrame, vocabulary: str, then: Callable[[pa.Table], pa.Table
         return then(out) if then else out
 
     words = (
-        blocks.mapInArrow(send, "block long, bucket int, words binary")
+        blocks.map(send, "block long, bucket int, words binary")
         .groupBy("bucket").applyInArrow(encode_bucket, "block long, bucket int, payload binary")
     )
     return meet(blocks, words, join_back, schema)

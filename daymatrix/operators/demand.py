@@ -68,29 +68,42 @@ def prepare_visits(visits: DataFrame, lookup: DataFrame, date_formats: Sequence[
         "RS", region_label("RS"))
 
 
-def _stack(df: DataFrame, variables: Sequence[str], include_total: bool, keep: Sequence[str]) -> DataFrame:
-    pairs = []
-    if include_total:
-        pairs.append(F.struct(F.lit(TOTAL).alias("variable"), F.lit(None).cast("string").alias("value")))
-    for v in variables:
-        pairs.append(F.struct(F.lit(v).alias("variable"), F.col(v).cast("string").alias("value")))
-    if not pairs:
+def variable_names(variables: Sequence[str], include_total: bool) -> list[str]:
+    """What is counted, in the order of the stacked ``variable`` numbers."""
+    names = [*([TOTAL] if include_total else []), *variables]
+    if not names:
         raise ValueError("nothing to count: no variables and no total")
+    return names
+
+
+def _stack(df: DataFrame, variables: Sequence[str], include_total: bool, keep: Sequence[str]) -> DataFrame:
+    """One row per counted variable: its number among ``variable_names`` (a byte
+    in the aggregation's keys instead of a text) and its value."""
+    pairs = [
+        F.struct(F.lit(i).cast("tinyint").alias("variable"),
+                 (F.lit(None) if v == TOTAL and include_total and i == 0 else F.col(v)).cast("string").alias("value"))
+        for i, v in enumerate(variable_names(variables, include_total))
+    ]
     return df.select(*keep, F.inline(F.array(*pairs)))
 
 
-def _scope_rows(df: DataFrame, scope: str, group_cols: dict[str, str], domain: str) -> DataFrame:
-    group_value = F.lit(None).cast("string") if scope == "CAT" else F.col(group_cols[scope])
+def _scope_rows(df: DataFrame, scope: str | Column, group_value: Column, domain: str, names: Sequence[str]) -> DataFrame:
+    named = F.element_at(F.array(*(F.lit(n) for n in names)), F.col("variable") + 1)
     return df.select(
-        "day", F.lit(domain).alias("domain"), F.lit(scope).alias("scope"), group_value.alias("group_value"),
-        "variable", "value", F.col("n").cast("long").alias("n"),
+        "day", F.lit(domain).alias("domain"), (F.lit(scope) if isinstance(scope, str) else scope).alias("scope"),
+        group_value.alias("group_value"), named.alias("variable"), "value", F.col("n").cast("long").alias("n"),
     )
 
 
+def _group_value(scope: str, group_cols: dict[str, str]) -> Column:
+    return F.lit(None).cast("string") if scope == "CAT" else F.col(group_cols[scope])
+
+
 def scoped_counts(stacked: DataFrame, scopes: Sequence[str], group_cols: dict[str, str],
-                  measure: Column, domain: str) -> DataFrame:
+                  measure: Column, domain: str, names: Sequence[str]) -> DataFrame:
     """Count ``stacked`` rows per ``(day, [group], variable, value)`` for every
-    requested scope; returns the canonical long schema.
+    requested scope; returns the canonical long schema. Variables are numbers in
+    the aggregations and get their ``names`` after them.
 
     Units nest in regions (one region per unit), so the counts roll up:
     the row-level input is aggregated once, at the finest requested scope
@@ -108,23 +121,20 @@ def scoped_counts(stacked: DataFrame, scopes: Sequence[str], group_cols: dict[st
     finest = order[0]
     keys = {"UP": [group_cols["RS"], group_cols["UP"]], "RS": [group_cols["RS"]], "CAT": []}[finest]
     base = stacked.groupBy("day", *keys, "variable", "value").agg(measure.alias("n"))
-    out = _scope_rows(base, finest, group_cols, domain)
+    out = _scope_rows(base, finest, _group_value(finest, group_cols), domain, names)
     coarser = order[1:]
     if len(coarser) == 1:
         scope = coarser[0]
         gkeys = [] if scope == "CAT" else [group_cols[scope]]
         rolled = base.groupBy("day", *gkeys, "variable", "value").agg(F.sum("n").alias("n"))
-        out = out.unionByName(_scope_rows(rolled, scope, group_cols, domain))
+        out = out.unionByName(_scope_rows(rolled, scope, _group_value(scope, group_cols), domain, names))
     elif len(coarser) == 2:  # RS and CAT from UP
         rs = group_cols["RS"]
         rolled = base.groupingSets(
             [["day", rs, "variable", "value"], ["day", "variable", "value"]], "day", rs, "variable", "value"
         ).agg(F.sum("n").alias("n"), F.grouping(rs).alias("__g_rs"))
         by_rs = F.col("__g_rs") == 0
-        out = out.unionByName(rolled.select(
-            "day", F.lit(domain).alias("domain"), F.when(by_rs, F.lit("RS")).otherwise(F.lit("CAT")).alias("scope"),
-            F.when(by_rs, F.col(rs)).alias("group_value"), "variable", "value", F.col("n").cast("long").alias("n"),
-        ))
+        out = out.unionByName(_scope_rows(rolled, F.when(by_rs, F.lit("RS")).otherwise(F.lit("CAT")), F.when(by_rs, F.col(rs)), domain, names))
     return out
 
 
@@ -132,4 +142,5 @@ def demand_counts(prepared: DataFrame, scopes: Sequence[str] = SCOPES,
                   variables: Sequence[str] = DEMAND_VARIABLES, include_total: bool = True) -> DataFrame:
     """Daily visit counts (A1-A5) as ``daily_counts`` rows with domain ``demand``."""
     stacked = _stack(prepared, variables, include_total, ["day", "RS", "UP"])
-    return scoped_counts(stacked, scopes, {"RS": "RS", "UP": "UP"}, F.count(F.lit(1)), "demand")
+    return scoped_counts(stacked, scopes, {"RS": "RS", "UP": "UP"}, F.count(F.lit(1)), "demand",
+                         variable_names(variables, include_total))

@@ -23,7 +23,7 @@ from daymatrix.functions.icd import (
     range_label,
 )
 from daymatrix.functions.names import qcol
-from daymatrix.operators.demand import SCOPES, _stack, scoped_counts
+from daymatrix.operators.demand import SCOPES, _stack, scoped_counts, variable_names
 from daymatrix.operators.lookup import BROADCAST_MAX_ROWS, attach_region, small_side, unit_region_lookup
 from daymatrix.schema import resolve_columns
 
@@ -104,6 +104,7 @@ def diagnosis_counts(reduced: DataFrame, scopes: Sequence[str] = SCOPES,
     requested scope, then rolled up (see ``demand.scoped_counts``).
     """
     base = reduced.withColumnRenamed("DATA_VISITA", "day")
+    names = variable_names(levels, include_total)
     if selected_codes is not None and "ICD10_3" in levels:
         if isinstance(selected_codes, DataFrame):
             sel = (selected_codes.select(F.upper(strip(F.col(selected_codes.columns[0]))).alias("__code"))
@@ -115,11 +116,11 @@ def diagnosis_counts(reduced: DataFrame, scopes: Sequence[str] = SCOPES,
             sel_col = F.col("ICD10_3").isin(clean)
         base = base.withColumn("ICD10_3", F.when(sel_col, F.col("ICD10_3")))
         stacked = _stack(base, levels, include_total, ["day", "RS", "UP", "n"]).where(
-            (F.col("variable") != "ICD10_3") | F.col("value").isNotNull()
+            (F.col("variable") != names.index("ICD10_3")) | F.col("value").isNotNull()
         )
     else:
         stacked = _stack(base, levels, include_total, ["day", "RS", "UP", "n"])
-    return scoped_counts(stacked, scopes, {"RS": "RS", "UP": "UP"}, F.sum("n"), "diagnosis")
+    return scoped_counts(stacked, scopes, {"RS": "RS", "UP": "UP"}, F.sum("n"), "diagnosis", names)
 
 
 def grouped_long(reduced: DataFrame, code_col: str, group_col: str | None = None) -> DataFrame:
@@ -165,7 +166,16 @@ def code_daily(rows: DataFrame, group_col: str | None = None) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def code_daily_by_region(rows: DataFrame, lookup: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Daily raw-code counts per region (A11), unmatched units ``UNKNOWN`` (J3):
+    rows without region are counted by unit first, so that counts and not rows
+    meet the lookup."""
+    counted = rows.groupBy("day", "UP", "DIAG_CODE").agg(F.count(F.lit(1)).alias("n"))
+    named = attach_region(counted, unit_region_lookup(lookup), "UP", max_broadcast_rows, bound_by=lookup)
+    return named.groupBy("day", F.coalesce("RS", F.lit("UNKNOWN")).alias("RS"), "DIAG_CODE").agg(F.sum("n").alias("n"))
+
+
 __all__ = [
     "LEVELS", "canonical_diagnoses", "prepare_diagnoses",
-    "diagnosis_counts", "grouped_long", "daily_total", "raw_code_rows", "code_daily",
+    "diagnosis_counts", "grouped_long", "daily_total", "raw_code_rows", "code_daily", "code_daily_by_region",
 ]

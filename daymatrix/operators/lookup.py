@@ -17,23 +17,26 @@ from daymatrix.functions.clean import pad_unit_code, strip
 from daymatrix.functions.names import qcol
 
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 _PROBED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. The answer is kept for the
-    life of this DataFrame object, so a lookup shared by several joins of one
-    job is probed once."""
+    """Whether ``df`` has at most ``max_rows`` rows and ``BROADCAST_MAX_BYTES`` of
+    text. The answer is kept for the life of this DataFrame object, so a lookup
+    shared by several joins of one job is probed once."""
     seen = _PROBED.setdefault(df, {})
     if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        text = sum((F.coalesce(F.octet_length(qcol(c)), F.lit(0)) for c, kind in df.dtypes if kind == "string"), F.lit(0))
+        n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(text)).first()
+        seen[max_rows] = n <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
     return seen[max_rows]
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven below the bound."""
+    """``broadcast(df)`` when its rows and bytes are proven below the bounds."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -42,11 +42,11 @@ def unknown_codes(raw: DataFrame, chapter_ranges=CHAPTER_RANGES, limit: int | No
 
 def unmatched_units(rows: DataFrame, lookup: DataFrame, unit_col: str = "UP",
                     max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows per unit that has no region in the lookup (V4): a left-anti join
-    against the size-checked lookup, then a count per unit."""
+    """Rows per unit that has no region in the lookup (V4): rows are counted by
+    unit, and the units that the lookup lists are taken out."""
     lk = small_side(unit_region_lookup(lookup).select(F.col("UP").alias("__lk_up")), max_broadcast_rows)
-    return (rows.join(lk, F.col(unit_col) == F.col("__lk_up"), "left_anti")
-            .groupBy(unit_col).agg(F.count(F.lit(1)).alias("n")))
+    counted = rows.groupBy(unit_col).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(lk, F.col(unit_col) == F.col("__lk_up"), "left_anti")
 
 
 def both_present(left: DataFrame, right: DataFrame) -> bool:

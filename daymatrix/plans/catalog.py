@@ -22,7 +22,7 @@ from daymatrix.functions.icd import SELECTED_CODES, icd_code3_prefix, icd_code3_
     icd_ordinal
 from daymatrix.functions.names import with_feature
 from daymatrix.operators.demand import DEMAND_VARIABLES, SCOPES, clean_visits, demand_counts, prepare_visits
-from daymatrix.operators.diagnosis import LEVELS, code_daily, daily_total, diagnosis_counts, \
+from daymatrix.operators.diagnosis import LEVELS, code_daily, code_daily_by_region, daily_total, diagnosis_counts, \
     grouped_long, prepare_diagnoses, raw_code_rows
 from daymatrix.operators.join import combine_long, join_daily, join_daily_long, merge_wide
 from daymatrix.operators.dedup import data_id, latest_wins
@@ -34,10 +34,10 @@ from daymatrix.operators.timeseries import bounds, densify_long, densify_wide, f
 from daymatrix.plans import daily, monthly
 from daymatrix.plans import features as names
 from daymatrix.plans import incremental as inc
-from daymatrix.schema import COUNT_KEY
+from daymatrix.schema import COUNT_KEY, VISIT_COLUMNS, require_columns, resolve_columns
 from daymatrix.session import materialize, scratch_path, written
 from daymatrix.sources import fixtures as fx
-from daymatrix.sources import blocks, scan, store
+from daymatrix.sources import blocks, commits, scan, store
 from daymatrix.sources.tables import read_table
 from daymatrix.streaming.daily_counts import compact_daily_counts, read_daily_counts, run_daily_counts
 
@@ -331,7 +331,7 @@ def diagnosis_code_daily(spark, sf):
 
 @job("diagnosis_code_by_group")
 def diagnosis_code_by_group(spark, sf):
-    return code_daily(raw_code_rows(fx.diagnoses(spark, sf), fx.up_rs(spark, sf)), "RS")
+    return code_daily_by_region(raw_code_rows(fx.diagnoses(spark, sf)), fx.up_rs(spark, sf))
 
 
 @job("diagnosis_feature_names")
@@ -838,11 +838,53 @@ def narrow_casts(spark, sf):
 
 @job("state_watermark")
 def state_watermark(spark, sf):
-    """The watermark of a run, stored and read back."""
-    days = clean_visits(fx.visits(spark, sf)).agg(F.max("day").alias("m")).first()["m"]
-    path = scratch_path(spark, "state")
-    store.save_state(spark, path, days, dt.datetime(2002, 1, 1))
-    return spark.read.parquet(path).select("last_loaded_date")
+    """The watermark of two runs, the second of which goes by the first's
+    record; loaded back."""
+    visits, lookup = fx.visits(spark, sf), fx.up_rs(spark, sf)
+    counts, state = scratch_path(spark, "demand-store"), scratch_path(spark, "state")
+    for as_of in (BATCH1_END - dt.timedelta(days=1), AS_OF):
+        daily.run_demand_increment(visits, lookup, counts, as_of, LOOKBACK_DAYS, state_path=state, run_at=LOADED[1])
+    return spark.createDataFrame([(store.load_state(spark, state),)], "last_loaded_date DATE")
+
+
+@job("required_columns")
+def required_columns(spark, sf):
+    """V1, V2: the needed columns found whatever their case, with the rows that
+    have a value in each."""
+    visits = fx.visits(spark, sf)
+    other = visits.toDF(*[c.lower() if i % 2 else c.title() for i, c in enumerate(visits.columns)])
+    found = resolve_columns(other, VISIT_COLUMNS)
+    renamed = other.select(*[F.col(found[c]).alias(c) for c in VISIT_COLUMNS])
+    require_columns(renamed, VISIT_COLUMNS)
+    return renamed.select(*[F.count(c).alias(c) for c in VISIT_COLUMNS]).unpivot([], VISIT_COLUMNS, "column_name", "n")
+
+
+@job("staging_skip_unreadable")
+def staging_skip_unreadable(spark, sf):
+    """The batches' rows while one of their folders holds a broken file."""
+    path = _staged_reduced(spark, sf)
+    commits.write_new(spark, f"{path}/{store.BATCH_COL}=2/part-broken.snappy.parquet", "not a Parquet file " * 100)
+    return store.read_staging(spark, path, ignore_corrupt=True)
+
+
+@job("diagnosis_final_build")
+def diagnosis_final_build(spark, sf):
+    """The whole final build of diagnoses; the cells that are not 0 of its
+    three matrices, as stored."""
+    out = daily.diagnosis_final(spark, fx.diagnoses(spark, sf), fx.up_rs(spark, sf), scratch_path(spark, "final-build"), up_matrices=True)
+    cells = [to_long(spark.read.parquet(out[f"diagnosis_{s}"])).withColumn("scope", F.lit(s.upper())) for s in ("cat", "rs")]
+    cells.append(blocks.read_long(spark, out["diagnosis_up"]).drop("matrix").withColumn("scope", F.lit("UP")))
+    return combine_long(cells).where("n <> 0")
+
+
+@job("historical_file")
+def historical_file(spark, sf):
+    """The six matrices written as one combined file, read back."""
+    lookup = fx.up_rs(spark, sf)
+    paths = [scratch_path(spark, "history-long") for _ in range(2)]
+    for counts, path in zip((_demand(spark, sf, lookup=lookup), _diagnosis(spark, sf, lookup=lookup)), paths):
+        store.save_final(counts, path)
+    return spark.read.parquet(daily.historical_combined(spark, paths, scratch_path(spark, "history")))
 
 
 @job("compact_staging_batches")

@@ -38,6 +38,21 @@ def _named(long: DataFrame) -> DataFrame:
     return with_feature(long).select("day", "feature", "n")
 
 
+class StateError(RuntimeError):
+    pass
+
+
+def _check_state(spark: SparkSession, store_path: str, state_path: str | None) -> None:
+    """The recorded watermark may be behind the store (a run that ended between
+    writing and recording: the store's own last day counts, and the run records
+    anew) but not ahead of it: then stored days have been lost, and going on would
+    leave a gap for good."""
+    recorded = store.load_state(spark, state_path) if state_path is not None else None
+    stored = inc.stored_hwm(spark, store_path) if recorded is not None else None
+    if recorded is not None and (stored is None or stored < recorded):
+        raise StateError(f"state says {recorded}, the store ends at {stored}: restore it, or drop the state to load all again")
+
+
 def _record(spark: SparkSession, info: inc.RunInfo, state_path: str | None, run_at: dt.datetime | None):
     if state_path is not None and info.hwm_after is not None:
         store.save_state(spark, state_path, info.hwm_after, run_at)
@@ -49,6 +64,7 @@ def run_demand_increment(visits: DataFrame, lookup: DataFrame, store_path: str,
                          state_path: str | None = None, run_at: dt.datetime | None = None) -> inc.RunInfo:
     """Recount the days from the stored watermark on and replace them;
     optionally record ``(last_loaded_date, updated_at)`` (I3, clock given)."""
+    _check_state(visits.sparkSession, store_path, state_path)
     info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
                            store_path, as_of, lookback_days, min_valid)
     return _record(visits.sparkSession, info, state_path, run_at)
@@ -60,6 +76,7 @@ def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path:
                             date_col: str = "data_visita", state_path: str | None = None,
                             run_at: dt.datetime | None = None) -> inc.RunInfo:
     """As I1 for diagnoses (all levels; ICD10_3 restricted to the selection)."""
+    _check_state(diagnoses.sparkSession, store_path, state_path)
     info = inc.run_recount(
         diagnoses, date_col,
         lambda rows: diagnosis_counts(prepare_diagnoses(rows, lookup), selected_codes=selected_codes),

@@ -15,6 +15,7 @@ from daymatrix.functions.clean import WHITESPACE
 from daymatrix.functions.icd import CHAPTER_RANGES, SELECTED_CODES, SUBCHAPTER_RANGES
 from daymatrix.operators.demand import DEMAND_VARIABLES
 from daymatrix.plans import catalog as C
+from daymatrix.schema import VISIT_COLUMNS
 from daymatrix.plans import features as names
 
 # --- SQL text helpers ----------------------------------------------------------
@@ -543,3 +544,12 @@ SQL["historical_blocks"] = with_(*ALL_BASE, DIAG_STACK, demand_long(), diag_long
 # --- months redone with a carried fill state -------------------------------------------------------
 
 SQL["filled_months_redone"] = SQL["fill_forward"]
+
+# --- final builds and checks as write-then-read jobs -------------------------------------------------
+
+SQL["required_columns"] = with_() + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS n FROM visits" for c in VISIT_COLUMNS)
+SQL["staging_skip_unreadable"] = with_(*DIAG_BASE, _BATCHED) + "SELECT * FROM st"
+SQL["diagnosis_final_build"] = with_(*DIAG_BASE, DIAG_STACK, diag_long()) + \
+    f"SELECT day AS timestamp, {DIAG_NAME} AS feature, n, scope FROM xlong"
+SQL["historical_file"] = SQL["historical_all"]

@@ -129,6 +129,20 @@ def test_increments_with_state(spark):
     assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
 
 
+def test_state_is_compared_with_the_store(spark):
+    store_path, state_path = scratch_path(spark, "t-state-store"), scratch_path(spark, "t-state-file")
+    v, lk = fx.visits(spark, SF_SMALL), fx.up_rs(spark, SF_SMALL)
+    first = daily.run_demand_increment(v, lk, store_path, dt.date(1996, 12, 31), 30, state_path=state_path)
+    # A run that ended between writing and recording.
+    daily.run_demand_increment(v, lk, store_path, dt.date(1997, 12, 31), 30)
+    assert store.load_state(spark, state_path) == first.hwm_after
+    info = daily.run_demand_increment(v, lk, store_path, dt.date(2001, 11, 5), 30, state_path=state_path)
+    assert info.hwm_before > first.hwm_after and store.load_state(spark, state_path) == info.hwm_after
+    # A store that lost days.
+    with pytest.raises(daily.StateError, match="the store ends at None"):
+        daily.run_demand_increment(v, lk, scratch_path(spark, "t-state-lost"), dt.date(2001, 11, 5), 30, state_path=state_path)
+
+
 def test_diagnosis_increment_matches_full_count(spark):
     import datetime as dt
 

@@ -45,7 +45,7 @@ def test_scan_pushes_filters_and_prunes(spark):
     df = catalog.scan_range(spark, SF_SMALL)
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
-    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
 
 
 def test_latest_wins_is_an_aggregate_not_a_window(spark):

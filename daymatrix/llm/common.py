@@ -54,3 +54,17 @@ def without(docs: DataFrame, keys: DataFrame, on) -> DataFrame:
     texts stay where they are; a longer one is joined by a shuffle."""
     keys = written(keys, "keys")
     return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, on, "left_anti")
+
+
+def one_row_an_id(docs: DataFrame) -> DataFrame:
+    """Of the rows with one ``doc_id`` the one whose text has the smallest hash;
+    of equal texts one. Ids that stand once are only counted."""
+    again = written(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    few = again.count()
+    if not few:
+        return docs
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = docs.join(F.broadcast(again) if few <= BROADCAST_KEYS else again, "doc_id", "left_semi").select(*columns)
+    first = repeated.groupBy("doc_id").agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("first"))
+    kept = first.select(*(F.col("first").getField(c).alias(c) for c in docs.columns))
+    return without(docs, again, "doc_id").select(*columns).unionByName(kept)

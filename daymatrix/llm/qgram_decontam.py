@@ -12,8 +12,9 @@ block's q-gram index goes to all tasks, and every block is matched against all
 rows. Documents are scanned in place, without a shuffle.
 
 Defined cases: null or empty texts match nothing; items of fewer than
-``MIN_CHARS`` normalised characters are not searched (they would match by
-chance); equal items are all reported; an item that occurs several times in a
+``MIN_CHARS`` normalised characters match without edits and between word
+boundaries only; those of fewer than ``Q``, a word or two, would be in any text
+by chance: they are not searched but listed by ``unsearched_items``; equal items are all reported; an item that occurs several times in a
 text gives a row for each region; repeated rows give repeated results.
 """
 
@@ -88,6 +89,7 @@ class Index:
     items: list[np.ndarray]
     budget: np.ndarray
     need: np.ndarray
+    short: np.ndarray
     table: np.ndarray
     shift: np.uint64
     grams: np.ndarray
@@ -101,13 +103,14 @@ class Index:
         for item_id, text in rows:
             cp = np.frombuffer((text or "").strip().encode("utf-32-le"), np.uint32)
             cp, _, _ = normalise(cp, np.array([0, len(cp)]))
-            if len(cp) >= MIN_CHARS:
+            if len(cp) >= Q:
                 ids.append(item_id)
                 items.append(cp)
         if not items:
             return None
         size = np.array([len(x) for x in items])
-        budget = np.minimum((size * EDIT_RATE).astype(np.int64), (size - Q) // Q)
+        short = size < MIN_CHARS
+        budget = np.where(short, 0, np.minimum((size * EDIT_RATE).astype(np.int64), (size - Q) // Q))
         every = np.concatenate([_qgrams(x) for x in items])
         item_of = np.repeat(np.arange(len(items)), size - Q + 1)
         place = np.concatenate([np.arange(n) for n in size - Q + 1])
@@ -117,7 +120,7 @@ class Index:
         table = np.zeros(1 << bits, bool)
         shift = np.uint64(64 - bits)
         table[grams >> shift] = True
-        return cls(ids, items, budget, size - Q + 1 - budget * Q, table, shift, grams, np.append(begin, len(every)), item_of[order], place[order])
+        return cls(ids, items, budget, size - Q + 1 - budget * Q, short, table, shift, grams, np.append(begin, len(every)), item_of[order], place[order])
 
     def regions(self, cp: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int]]:
         """``(row, item, first diagonal, end of diagonals)`` of the regions
@@ -202,6 +205,12 @@ def locate(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int)
     return edits, end - begin if again <= budget else max(0, end - len(item)), end
 
 
+def _stands_alone(text: np.ndarray, start: int, end: int) -> bool:
+    """Whether no word of ``text`` goes on over either end of the stretch."""
+    inside = lambda at: chr(text[at]).isalnum() and chr(text[at + 1]).isalnum()
+    return not (start > 0 and inside(start - 1)) and not (end < len(text) and inside(end - 1))
+
+
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int"
 
 
@@ -223,7 +232,12 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
                     text = cp[off[row] : off[row + 1]]
                     size, budget = len(index.items[item]), int(index.budget[item])
                     a, b = max(0, low - budget), min(len(text), high + size + budget)
-                    whole = text[a:b].astype("<u4").tobytes().decode("utf-32-le").find(strings[item])
+                    near = text[a:b].astype("<u4").tobytes().decode("utf-32-le")
+                    whole = near.find(strings[item])
+                    while index.short[item] and whole >= 0 and not _stands_alone(text, a + whole, a + whole + size):
+                        whole = near.find(strings[item], whole + 1)
+                    if whole < 0 and index.short[item]:
+                        continue
                     if whole >= 0:
                         edits, start, end = 0, a + whole, a + whole + size
                     else:
@@ -258,3 +272,9 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not found:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     return reduce(DataFrame.unionByName, found)
+
+
+def unsearched_items(items: DataFrame) -> DataFrame:
+    """The rows of ``items`` that are too short to be searched."""
+    folded = F.trim(F.regexp_replace("text", r"\s+", " "))
+    return items.where(F.coalesce(F.length(folded), F.lit(0)) < Q)

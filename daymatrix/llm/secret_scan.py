@@ -34,8 +34,9 @@ ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 KINDS = ["assign", "access", "hex", "guess"]
 
 #: Names that put the value after them in a credential context.
+#: They begin where a word does, or a capital after a small letter.
 CONTEXT = re.compile(
-    r"""(?:pass(?:phrase|code|word|wd)?|pwd|bearer|auth(?:orization)?|credentials?|private[_-]?key|access[_-]?key|signing[_-]?key|client[_-]?secret|secret|token|api[_-]?key)"""
+    r"""(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:pass(?:phrase|code|word|wd)?|pwd|bearer|auth(?:orization)?|credentials?|private[_-]?key|access[_-]?key|signing[_-]?key|client[_-]?secret|secret|token|api[_-]?key)"""
     r"""["']?\x20*[:=]\x20*["']?(?:bearer\x20+|basic\x20+)?([^\s"'<>,;]{8,})""",
     re.ASCII | re.IGNORECASE)
 _NAMES = [b"passw", b"secret", b"token", b"apikey", b"api_key"]
@@ -45,8 +46,10 @@ _HEX_RUN = b"x" * 32
 
 #: Values of at least this many guesses (log10) are reported.
 MIN_GUESSES = 10.0
-#: A dictionary word, date, repeat or walk is at most this long.
-MAX_PIECE = 32
+#: Walks end at one of their first so many keys or where they end for good.
+WALK_ENDS = 32
+#: A letter sequence that reads like a word is one of about a million (log10).
+ANY_WORD = 6.0
 
 WORDS = (
     "password pass admin root user guest test example sample demo default changeme secret token key login welcome "
@@ -60,7 +63,18 @@ _RANK = {w: math.log10(i + 2) for i, w in enumerate(WORDS)}
 _ROWS = ["`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./"]
 _KEYS = {c: (y, x) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
 _DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
-_REPEAT = re.compile(r"(.{1,8}?)\1{2,}")
+#: Longest unit of a repeat.
+_UNIT = 64
+_REPEAT = re.compile(r"(.{1,%d}?)\1{2,}" % _UNIT, re.DOTALL)
+_LETTERS = re.compile(r"[a-z]{4,}|[A-Z]{4,}|[A-Z][a-z]{3,}")
+_VOWELS = re.compile(r"[aeiouy]")
+_THICK = re.compile(r"[^aeiouy]{5,}|[aeiouy]{4,}|[qxzjk][^aeiouy]{2,}|(.)\1\1")
+
+
+def _reads_like_a_word(low: str) -> bool:
+    """Vowels and consonants alternate as they do in words."""
+    share = len(_VOWELS.findall(low)) / len(low)
+    return 0.2 <= share <= 0.7 and not _THICK.search(low)
 
 
 def _brute(c: str) -> float:
@@ -73,6 +87,14 @@ def guess_cost(value: str) -> float:
     each segment costs a factor of two on top."""
     n, low = len(value), value.lower()
     pieces: dict[int, list[tuple[int, float]]] = {}  # end -> (start, cost)
+    for m in _LETTERS.finditer(value):
+        if _reads_like_a_word(m[0].lower()):
+            pieces.setdefault(m.end(), []).append((m.start(), ANY_WORD + (0.0 if m[0].islower() else 0.5)))
+    walk = list(range(1, n + 1))  # where the walk from each place ends
+    for i in range(n - 2, -1, -1):
+        if _next_key(low[i], low[i + 1]):
+            walk[i] = walk[i + 1]
+    quiet = 0  # a repeat that begins within another one is never the cheaper way
     for i in range(n):
         for j in range(i + 3, min(n, i + 12) + 1):
             rank = _RANK.get(low[i:j])
@@ -81,13 +103,12 @@ def guess_cost(value: str) -> float:
         date = _DATE.match(value, i)
         if date:
             pieces.setdefault(date.end(), []).append((i, math.log10(365 * 120) if len(date[0]) > 4 else 2.1))
-        repeat = _REPEAT.match(value, i, min(n, i + 8 * MAX_PIECE))
+        repeat = _REPEAT.match(value, i) if i >= quiet else None
         if repeat:
             unit = repeat[1]
-            pieces.setdefault(repeat.end(), []).append((i, sum(map(_brute, unit)) + math.log10(len(repeat[0]) // len(unit))))
-        j = i + 1
-        while j < n and j - i < MAX_PIECE and _next_key(low[j - 1], low[j]):
-            j += 1
+            pieces.setdefault(repeat.end(), []).append((i, guess_cost(unit) + math.log10(len(repeat[0]) // len(unit))))
+            quiet = max(quiet, repeat.end() - 3 * _UNIT)
+        for j in sorted({*range(i + 3, min(walk[i], i + WALK_ENDS) + 1), walk[i]}):
             if j - i >= 3:
                 pieces.setdefault(j, []).append((i, math.log10(47 * 4 * (j - i))))
     best = [0.0] * (n + 1)

@@ -28,6 +28,8 @@ DICT_BYTES = 96 << 10
 #: draws on the dictionary rather than on the text before it.
 BLOCK_CHARS = 8 << 10
 LEVEL = 3
+#: Stretches that a text longer than its share of a dictionary gives.
+STRETCHES = 4
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -41,9 +43,10 @@ def learn_dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict
     """Raw-content dictionaries by language from ``doc_id, lang, text`` rows.
 
     The sample is bounded: about ``sample_docs`` documents for each language,
-    taken by a hash of the id, each giving at most its share of the
-    dictionary's bytes. Counting the rows per language comes first, so that a
-    frequent language is thinned out before any sort.
+    taken by a hash of the id. Each gives its share of the dictionary's bytes: a
+    language with few documents takes more of each, up to whole texts. Counting
+    the rows per language comes first, so that a frequent language is thinned
+    out before any sort.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -53,14 +56,20 @@ def learn_dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dict
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, min(1.0, 2 * sample_docs / n)).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    piece = max(256, 2 * dict_bytes // sample_docs)
+    piece = F.lit(0)
+    for lang, n in sizes.items():
+        piece = F.when(F.col("lang") == lang, max(256, 2 * dict_bytes // min(n, sample_docs))).otherwise(piece)
     sample = (
         rows.where(draw < share * (1 << 30))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id")))
         .where(F.col("rank") <= sample_docs)
-        # Dictionary content only; classification reads whole texts. The ends
-        # count too: stock lines there must not speak for one language.
-        .select("lang", "rank", F.concat_ws(" ", F.substring("text", 1, piece // 2), F.expr(f"right(text, {piece // 2})")).alias("piece"))
+        # Dictionary content only; classification reads whole texts. A text longer
+        # than its share gives stretches from its start to its end: stock lines
+        # at either end must not speak for one language.
+        .withColumn("size", piece).withColumn("long", F.length("text"))
+        .select("lang", "rank", F.when(F.col("long") <= F.col("size"), F.col("text")).otherwise(F.concat_ws(" ", *(
+            F.expr(f"substring(text, int(1 + (long - size div {STRETCHES}) * {i} div {STRETCHES - 1}), int(size div {STRETCHES}))")
+            for i in range(STRETCHES)))).alias("piece"))
         .collect()
     )
     out: dict[str, bytes] = {}

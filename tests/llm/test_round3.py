@@ -246,3 +246,36 @@ def test_tree_finds_every_pair_of_a_group():
 
 def test_simhash_empty(spark):
     assert gray_simhash.near_duplicates(_docs(spark, [])).count() == 0
+
+
+# --- cuts that were taken out --------------------------------------------------
+
+def test_values_of_words_and_long_repeats_are_no_secrets():
+    from daymatrix.llm.secret_scan import MIN_GUESSES, guess_cost, scan_text
+
+    for text in ("He could not surpass: everybody agreed", "compass: northeast", "authorization: required", "pwd = internationalization",
+                 "passphrase: " + "!" * 700, "passcode: " + "abcabc" * 20_000, "bearer: " + "qwertyuiop" * 50):
+        assert scan_text(text.encode())[1] == [], text[:40]
+    for text in ("pwd: kT9xQz27vBmm", "userPass = xk4Vbn!2qRw7", "my_private_key: zq8wTx-41Lpoe"):
+        assert len(scan_text(text.encode())[1]) == 1, text
+    assert guess_cost("xqvkzbwjhg") >= MIN_GUESSES  # letters that read like no word
+
+
+def test_short_benchmark_items_are_found_verbatim(spark):
+    from daymatrix.llm import qgram_decontam
+
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Is it 42?"), (3, "yes"), (4, None), (5, "round  off")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "Q: what is  the Capital of France? A: Paris"), (2, "What is the capitol of France?"), (3, "is it 42?"), (4, "this is it 42? no"), (5, "sis it 42? is it 42!"),
+        (6, "xis it 42?"), (7, "yes"), (8, "the round off error"), (9, "the round offer, round off"), (10, "ground off"), (11, None)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.edits) for r in qgram_decontam.find_leaks(docs, items).collect()}
+    assert found == {(1, 1, 0), (3, 2, 0), (4, 2, 0), (8, 5, 0), (9, 5, 0)}
+    assert [r.item_id for r in qgram_decontam.unsearched_items(items).orderBy("item_id").collect()] == [3, 4]
+
+
+def test_one_row_an_id_is_the_same_on_every_run(spark):
+    from daymatrix.llm.common import one_row_an_id
+
+    rows = [(1, "a", 1), (2, "b", 2), (2, "c", 3), (2, None, 4), (3, "d", 5), (3, "d", 5)]
+    picks = [sorted(map(tuple, one_row_an_id(spark.createDataFrame(rows[k:] + rows[:k], "doc_id long, text string, `x.y` int").repartition(k + 1)).collect()), key=str) for k in range(4)]
+    assert all(p == picks[0] for p in picks) and [p[0] for p in picks[0]] == [1, 2, 3]

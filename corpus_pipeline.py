@@ -8,7 +8,8 @@ columns of ``documents``.
 
 Defined cases: rows with a null id cannot be told apart and pass the
 near-duplicate and benchmark stages; repeated rows of an id are one document, of
-which one row stays; the operators define the rest.
+which one row stays (the one whose text has the smallest hash); the operators
+define the rest.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from daymatrix.llm import bpe_words, host_rules, jaccard_prefix, qgram_decontam, secret_scan  # noqa: E402
-from daymatrix.llm.common import benchmark, documents, small_batches, without, written  # noqa: E402
+from daymatrix.llm.common import benchmark, documents, one_row_an_id, small_batches, without, written  # noqa: E402
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     small_batches(spark)
     classes = jaccard_prefix.near_components(docs)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    known = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return one_row_an_id(known).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

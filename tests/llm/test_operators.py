@@ -247,7 +247,7 @@ def test_edit_counts(docs, none, rows):
 def test_many_random_edits():
     counter = edit_counts.Counter(bpe_words.default_vocabulary())
     rng = random.Random(11)
-    parts = ["the ", " ", "  ", "\n", "'s", "'", "12", "é", "!!", "word", " it", "\t", "<|endoftext|>"]
+    parts = ["the ", " ", "  ", "\n", "'s", "'", "12", "é", "!!", "word", " it", "\t", "<|endoftext|>", "<|endof", "text|>", "|>"]
     for _ in range(60):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(300)))
         tokens, sizes, _ = counter.split([text])
@@ -255,12 +255,57 @@ def test_many_random_edits():
         for _ in range(10):
             a = rng.randrange(len(text) + 1)
             b = min(len(text), a + rng.choice([0, 1, 5, 60]))
-            new = "".join(rng.choice(parts[:-1]) for _ in range(rng.choice([0, 1, 4, 500])))
+            new = "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 4, 500])))
             text = text[:a] + new + text[b:]
             tree.edit(a, b, new)
             assert "".join(tree.text) == text
-            if "<|endoftext|>" not in text:
-                assert tree.n_tokens == len(counter.model.encode(text, add_special_tokens=False).ids)
+            assert tree.n_tokens == len(counter.model.encode(text, add_special_tokens=False).ids)
+            assert [len(x) for x in tree.text] == [int(p[:, 0].sum()) for p in tree.pre]
+
+
+def test_regions_are_small():
+    """A small edit of a long text encodes its context again, not whole leaves."""
+    counter = edit_counts.Counter(bpe_words.default_vocabulary())
+    text = "some plain words of a longer text, repeated\n" * 500
+    tokens, sizes, _ = counter.split([text])
+    tree = edit_counts.TokenTree.of(text, tokens.start, sizes, counter)
+    tree.edit(9_000, 9_004, "other")
+    assert 0 < tree.reencoded < 200
+
+
+def test_trees_are_kept(spark, none):
+    """Two batches of edits on stored trees: the second starts from the stored
+    sums, encodes only its own regions, and leaves the other trees alone."""
+    from daymatrix.llm.common import written
+
+    rng = random.Random(4)
+    texts = {i: " ".join(rng.choice(["alpha", "beta's", "12", "\n", "gamma", "<|endoftext|>"]) for _ in range(40 * i)) for i in range(12)}
+    rows = [*texts.items(), (100, None), (None, "no id"), (5, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("leaves", F.lit("clash"))
+    counter = edit_counts.Counter(bpe_words.default_vocabulary())
+    size = lambda t: len(counter.model.encode(t, add_special_tokens=False).ids)
+    trees = written(edit_counts.build_trees(df), "trees")
+    assert Counter(map(tuple, edit_counts.tree_counts(trees).collect())) == Counter((d, size(t or ""), len(t or "")) for d, t in rows)
+    now = {d: t or "" for d, t in rows}
+    for turn in range(2):
+        batch = []
+        for d in (0, 3, 5, 11, 100):
+            for seq in range(3):
+                a = rng.randrange(len(now[d]) + 1)
+                b = a + rng.choice([0, 3, 40])
+                new = rng.choice([None, " more", "x\n  y", "<|endof"])
+                batch.append((d, seq, a, b, new))
+                now[d] = now[d][:a] + (new or "") + now[d][max(a, b):]
+        batch += [(999, 0, 0, 1, "no such document"), (None, 0, 0, 1, "no id")]
+        rng.shuffle(batch)
+        edits = spark.createDataFrame(batch, "doc_id long, seq int, start long, end long, replacement string")
+        trees = written(edit_counts.apply_edits(trees, edits), f"trees-{turn}")
+        out = trees.select("doc_id", F.concat_ws("", "leaves").alias("text")).join(edit_counts.tree_counts(trees), "doc_id", "left").distinct().where("doc_id is not null").collect()
+        assert {(r.doc_id, r.text, r.n_tokens, r.n_chars) for r in out} == {(d, t, size(t), len(t)) for d, t in now.items() if d is not None}
+        assert trees.count() == len(rows)
+    again = edit_counts.edit_trees(trees.withColumn("edits", edit_counts.sample_edits_of(F.get("node_chars", F.lit(1)))), keep_trees=False).where("doc_id = 11").first()
+    assert 0 < again.n_chars_reencoded < again.n_chars_after / 4
+    assert edit_counts.apply_edits(edit_counts.build_trees(none), spark.createDataFrame([], "doc_id long, seq int, start long, end long, replacement string")).count() == 0
 
 
 def test_languages(spark, none):

@@ -235,7 +235,7 @@ def edit_together(work: Sequence[tuple[TokenTree, Sequence[tuple]]], counter: Co
 
 TREE_SCHEMA = (
     "doc_id long, leaves array<string>, leaf_pretokens array<int>, pre_chars array<int>, pre_tokens array<int>, "
-    "node_tokens array<long>, node_chars array<long>"
+    "node_tokens array<int>, node_chars array<int>"
 )
 COUNT_SCHEMA = "n_tokens long, n_tokens_after long, n_chars_after long, n_leaves long, n_chars_reencoded long"
 TREE_COLUMNS, COUNT_COLUMNS = ([c.split()[0] for c in x.split(", ")] for x in (TREE_SCHEMA, COUNT_SCHEMA))
@@ -256,7 +256,7 @@ def _tree_columns(trees: Sequence[TokenTree]) -> list[pa.Array]:
     return [
         _lists([t.text for t in trees], pa.string()), _lists([[len(p) for p in t.pre] for t in trees], pa.int32()),
         _lists([p[:, 0] for p in pre], pa.int32()), _lists([p[:, 1] for p in pre], pa.int32()),
-        _lists([t.sums[:, 0] for t in trees], pa.int64()), _lists([t.sums[:, 1] for t in trees], pa.int64()),
+        _lists([t.sums[:, 0] for t in trees], pa.int32()), _lists([t.sums[:, 1] for t in trees], pa.int32()),
     ]
 
 
@@ -322,7 +322,7 @@ def _stored(part: pa.RecordBatch, counter: Counter) -> list[TokenTree]:
         part["leaves"].to_pylist(), rows("leaf_pretokens"), rows("pre_chars"), rows("pre_tokens"), rows("node_tokens"), rows("node_chars")
     ):
         pre = np.split(np.stack([chars, tokens], 1), np.cumsum(n_pre)[:-1])
-        out.append(TokenTree(leaves, pre, counter, np.stack([nodes, widths], 1)))
+        out.append(TokenTree(leaves, pre, counter, np.stack([nodes, widths], 1).astype(np.int64)))
     return out
 
 
@@ -341,14 +341,14 @@ def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str | None = Non
 
 def tree_counts(trees: DataFrame) -> DataFrame:
     """Tokens and characters of each tree, read from its root."""
-    return trees.select("doc_id", F.get("node_tokens", F.lit(1)).alias("n_tokens"), F.get("node_chars", F.lit(1)).alias("n_chars"))
+    return trees.select("doc_id", F.get("node_tokens", F.lit(1)).cast("long").alias("n_tokens"), F.get("node_chars", F.lit(1)).cast("long").alias("n_chars"))
 
 
 def count_with_edits(docs: DataFrame, vocabulary: str | None = None, keep_text: bool = True) -> DataFrame:
     """Token counts before and after the ``edits`` (array of ``start, end,
     replacement``) of each row of ``docs`` (``doc_id``, ``text``, ``edits``): the
     trees are stored first, then edited. ``text_after`` is null unless ``keep_text``."""
-    trees = written(build_trees(docs, vocabulary, ["edits"]), "token-trees")
+    trees = written(build_trees(docs, vocabulary, ["edits"]), "token-trees", "zstd")
     out = edit_trees(trees, vocabulary, keep_trees=keep_text)
     after = F.concat_ws("", "leaves") if keep_text else F.lit(None).cast("string")
     return out.select("doc_id", *COUNT_COLUMNS, after.alias("text_after"))

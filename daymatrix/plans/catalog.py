@@ -639,6 +639,14 @@ def last_date_in_finals(spark, sf):
                                    dt.date(1992, 1, 1), AS_OF + dt.timedelta(days=1))
 
 
+@job("stored_bounds")
+def stored_bounds(spark, sf):
+    """First and last day of the stored final matrices, from their footers."""
+    path = scratch_path(spark, "final-bounds")
+    store.save_final(to_wide(_demand_cat_named(spark, sf), features=names.demand_features("CAT")), path)
+    return scan.stored_bounds(spark, path, "timestamp", dt.date(1992, 1, 1), dt.date(2100, 1, 1))
+
+
 @job("batch_reduce")
 def batch_reduce(spark, sf):
     keys = ["DATA_VISITA", "RS", "ICD10_CHAPTER"]

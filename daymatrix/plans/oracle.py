@@ -447,6 +447,7 @@ SQL["retention_keep"] = with_(*DIAG_BASE, _BATCHED) + f"""SELECT batch_id, max(D
 SQL["last_date_in_finals"] = with_(*ALL_BASE, DIAG_STACK) + f"""SELECT max(day) AS last_date FROM (
   SELECT day FROM dst UNION ALL SELECT day FROM xst) t
 WHERE day BETWEEN DATE '1992-01-01' AND {_d(C.AS_OF + dt.timedelta(days=1))}"""
+SQL["stored_bounds"] = with_(*DEMAND_BASE, _DCAT) + "SELECT min(day) AS min_date, max(day) AS max_date FROM dcat"
 SQL["batch_reduce"] = with_(*DIAG_BASE) + """SELECT DATA_VISITA, RS, ICD10_CHAPTER, CAST(sum(n) AS BIGINT) AS n
 FROM dx GROUP BY 1, 2, 3"""
 SQL["narrow_types"] = with_(*DEMAND_BASE, _DCAT) + f"""SELECT column_name, CAST(min(v) AS DOUBLE) AS min_value,

@@ -11,8 +11,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _lit_like(df: DataFrame, col: str, value):
@@ -46,6 +47,42 @@ def date_bounds(df: DataFrame, date_col: str, min_valid=None, as_of=None) -> Dat
     return rows.agg(F.to_date(F.min(date_col)).alias("min_date"), F.to_date(F.max(date_col)).alias("max_date"))
 
 
+def statistics_frame(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """One row ``min_date, max_date, n_rows`` of a stored table's DATE column, read
+    from the Parquet footers: the aggregates are pushed into the scan, no page is
+    read. The settings this takes live in a session of their own, so ``spark`` keeps
+    its own; the frame cannot be joined with frames of ``spark``."""
+    aside = spark.newSession()
+    aside.conf.set("spark.sql.sources.useV1SourceList", "")
+    aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return aside.read.parquet(path).agg(F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
+                                        F.count(F.lit(1)).alias("n_rows"))
+
+
+def stored_bounds(spark: SparkSession, path: str, date_col: str, min_valid=None, as_of=None) -> DataFrame:
+    """:func:`date_bounds` of a stored table. Footers answer it for a DATE column
+    whose dates all lie within the limits; footers hold no statistics of other
+    types that Spark pushes down, and a limit that cuts rows off needs the rows,
+    so both are scanned."""
+    df = spark.read.parquet(path)
+    if df.schema[date_col].dataType == T.DateType():
+        try:
+            lo, hi, _ = statistics_frame(spark, path, date_col).first()
+        except Exception as e:  # a row group without any date has no statistics
+            if "No min/max found" not in str(e):
+                raise
+            return date_bounds(df, date_col, min_valid, as_of)
+        low = min_valid is None or lo is None or lo >= _day(min_valid)
+        high = as_of is None or hi is None or hi <= _day(as_of)
+        if low and high:
+            return spark.range(1).select(F.lit(lo).cast("date").alias("min_date"), F.lit(hi).cast("date").alias("max_date"))
+    return date_bounds(df, date_col, min_valid, as_of)
+
+
+def _day(d) -> dt.date:
+    return _next_day(d) - dt.timedelta(days=1)
+
+
 def _next_day(d) -> dt.date:
     if isinstance(d, dt.datetime):
         d = d.date()

@@ -80,3 +80,27 @@ def test_month_predicates():
 def test_lookup_lists_every_customer(spark):
     customers = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert fx.up_rs(spark, SF_SMALL).count() == customers
+
+
+def test_stored_bounds_come_from_the_footers(spark):
+    from daymatrix.sources.scan import date_bounds, statistics_frame, stored_bounds
+
+    def stored(name, rows, schema="day DATE, n INT"):
+        path = scratch_path(spark, name)
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(path)
+        return path
+
+    days = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), i) for i in range(30)] + [(None, 99)]
+    path = stored("t-bounds", days)
+    plan = statistics_frame(spark, path, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(day), MAX(day), COUNT(*)]" in plan
+    assert tuple(statistics_frame(spark, path, "day").first()) == (dt.date(2020, 1, 1), dt.date(2020, 1, 30), 31)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+    assert tuple(stored_bounds(spark, path, "day").first()) == (dt.date(2020, 1, 1), dt.date(2020, 1, 30))
+    for lo, hi in ((None, None), ("2019-01-01", "2021-01-01"), ("2020-01-05", None), (None, "2020-01-20"), ("2022-01-01", None)):
+        got = stored_bounds(spark, path, "day", lo and dt.date.fromisoformat(lo), hi and dt.date.fromisoformat(hi))
+        assert got.collect() == date_bounds(spark.read.parquet(path), "day", lo, hi).collect()
+    assert tuple(stored_bounds(spark, stored("t-bounds-null", [(None, 1), (None, 2)]), "day").first()) == (None, None)
+    assert tuple(stored_bounds(spark, stored("t-bounds-none", []), "day").first()) == (None, None)
+    times = stored("t-bounds-time", [(dt.datetime(2020, 1, 1, 5), 1)], "day TIMESTAMP_NTZ, n INT")
+    assert tuple(stored_bounds(spark, times, "day").first()) == (dt.date(2020, 1, 1), dt.date(2020, 1, 1))

@@ -54,6 +54,13 @@ def test_latest_wins_is_an_aggregate_not_a_window(spark):
     assert "Window" not in plan and "max_by" in plan
 
 
+def test_latest_wins_of_counts_hashes(spark):
+    plan = _plan(catalog.dedup_latest(spark, SF_SMALL))
+    top = plan[: plan.index("Union")]
+    assert "max_by" in top and "HashAggregate" in top
+    assert "SortAggregate" not in top and "Sort [" not in top
+
+
 def test_fill_windows_are_partitioned(spark):
     df = catalog.fill_forward(spark, SF_SMALL)
     plan = _plan(df)

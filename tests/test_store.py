@@ -138,3 +138,24 @@ def test_max_records_per_file_is_strict(spark):
     files = glob.glob(f"{path}/batch_id={bid}/*.parquet".replace("file:", ""))
     sizes = sorted(pq.ParquetFile(f).metadata.num_rows for f in files)
     assert sum(sizes) == 10 and max(sizes) <= 3 and len(files) == 4
+
+
+def test_latest_wins_orders_extremes_and_nulls(spark):
+    """By hash (numbers only) and by struct (with a text) the same rows win."""
+    from pyspark.sql import functions as F
+
+    low, high = -(2**63), 2**63 - 1
+    orders = [(None, None), (None, high), (-(2**31), low), (-1, high), (0, None), (0, low), (2**31 - 1, low), (2**31 - 1, high)]
+    rows = [(f"k{i % 5}" if i % 5 else None, *orders[(i // 5 + i % 5) % 8], None if i % 7 == 0 else i) for i in range(40)]
+    seen = {}
+    for k, b, s, n in rows:
+        rank = (b is not None, b or 0, s is not None, s or 0)
+        assert (k, rank) not in seen
+        seen[(k, rank)] = (k, b, s, n)
+    want = {k: seen[max(x for x in seen if x[0] == k)] for k in {r[0] for r in rows}}
+    df = spark.createDataFrame(rows, "k STRING, b INT, s BIGINT, n INT").repartition(4)
+    hashed = latest_wins(df, ["k"], ["b", "s"])
+    assert "SortAggregate" not in hashed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, (tuple(r) for r in hashed.collect()))) == sorted(map(str, want.values()))
+    texts = latest_wins(df.withColumn("t", F.lit("x")), ["k"], ["b", "s"]).drop("t")
+    assert sorted(map(str, (tuple(r) for r in texts.collect()))) == sorted(map(str, want.values()))

@@ -683,6 +683,31 @@ def incremental_two_batches(spark, sf):
     return inc.read_recount_store(spark, path)
 
 
+@job("incremental_interrupted")
+def incremental_interrupted(spark, sf):
+    """Two runs, of which the second ends right after its record, before its
+    months are moved: the store reads as if it had gone on (I1, I3)."""
+    path = scratch_path(spark, "demand-store")
+    src = fx.visits(spark, sf)
+    build = _demand_counts_from(spark, sf)
+    inc.run_recount(src, "DATA_VISITA", build, path, BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    inc.stage_recount(src, "DATA_VISITA", build, path, AS_OF, LOOKBACK_DAYS)
+    return inc.read_recount_store(spark, path)
+
+
+@job("recorded_watermark")
+def recorded_watermark(spark, sf):
+    """The watermark recorded with the data, of a run that ended before its
+    months were moved, and the last day of the store that the next one finds."""
+    path = scratch_path(spark, "diagnosis-store")
+    src, build = fx.diagnoses(spark, sf), _diagnosis_counts_from(spark, sf)
+    inc.run_recount(src, "data_visita", build, path, BATCH1_END - dt.timedelta(days=1), LOOKBACK_DAYS)
+    inc.stage_recount(src, "data_visita", build, path, AS_OF, LOOKBACK_DAYS, run_at=LOADED[1])
+    recorded = inc.load_run_state(spark, path).last_loaded_date
+    inc.apply_pending(spark, path)
+    return spark.createDataFrame([(recorded, inc.stored_hwm(spark, path))], "recorded DATE, stored DATE")
+
+
 @job("incremental_diagnosis_two_batches")
 def incremental_diagnosis_two_batches(spark, sf):
     path = scratch_path(spark, "diagnosis-store")

@@ -38,15 +38,15 @@ def _named(long: DataFrame) -> DataFrame:
     return with_feature(long).select("day", "feature", "n")
 
 
-class StateError(RuntimeError):
-    pass
+StateError = inc.StateError
 
 
 def _check_state(spark: SparkSession, store_path: str, state_path: str | None) -> None:
-    """The recorded watermark may be behind the store (a run that ended between
-    writing and recording: the store's own last day counts, and the run records
-    anew) but not ahead of it: then stored days have been lost, and going on would
+    """The watermark file is a copy, for other tools, of what the store records
+    with its data. It may be behind the store (a run that ended before writing
+    it) but not ahead of it: then stored days have been lost, and going on would
     leave a gap for good."""
+    inc.apply_pending(spark, store_path)
     recorded = store.load_state(spark, state_path) if state_path is not None else None
     stored = inc.stored_hwm(spark, store_path) if recorded is not None else None
     if recorded is not None and (stored is None or stored < recorded):
@@ -63,10 +63,11 @@ def run_demand_increment(visits: DataFrame, lookup: DataFrame, store_path: str,
                          as_of: dt.date, lookback_days: int = 0, min_valid: dt.date | None = None,
                          state_path: str | None = None, run_at: dt.datetime | None = None) -> inc.RunInfo:
     """Recount the days from the stored watermark on and replace them;
-    optionally record ``(last_loaded_date, updated_at)`` (I3, clock given)."""
+    the store records ``(last_loaded_date, updated_at)`` (I3, clock given), and
+    ``state_path`` takes a copy."""
     _check_state(visits.sparkSession, store_path, state_path)
     info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
-                           store_path, as_of, lookback_days, min_valid)
+                           store_path, as_of, lookback_days, min_valid, run_at=run_at)
     return _record(visits.sparkSession, info, state_path, run_at)
 
 
@@ -80,7 +81,7 @@ def run_diagnosis_increment(diagnoses: DataFrame, lookup: DataFrame, store_path:
     info = inc.run_recount(
         diagnoses, date_col,
         lambda rows: diagnosis_counts(prepare_diagnoses(rows, lookup), selected_codes=selected_codes),
-        store_path, as_of, lookback_days, min_valid)
+        store_path, as_of, lookback_days, min_valid, run_at=run_at)
     return _record(diagnoses.sparkSession, info, state_path, run_at)
 
 

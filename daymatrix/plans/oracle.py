@@ -461,6 +461,7 @@ GROUP BY column_name"""
 # --- incremental -------------------------------------------------------------------------
 
 SQL["incremental_two_batches"] = SQL["demand_all_scopes"]
+SQL["incremental_interrupted"] = SQL["demand_all_scopes"]
 SQL["incremental_add"] = SQL["demand_all_scopes"]
 SQL["incremental_diagnosis_two_batches"] = with_(*DIAG_BASE, DIAG_STACK) + scoped(
     "xst", "diagnosis", ("CAT", "RS", "UP"), "TRUE", "sum(n)")
@@ -501,6 +502,7 @@ FROM ({scoped("dst", "demand", ("RS",))}) t"""
 SQL["data_ids"] = with_(*DIAG_BASE) + "SELECT CAST(DATA_VISITA AS VARCHAR) || '|' || ICD10_3 || '|' || UP AS data_id, n FROM dx"
 SQL["narrow_casts"] = _FEW_BASE + cells("few", _FEW)
 SQL["state_watermark"] = with_(LOOKUP, VISITS_CLEAN) + "SELECT max(day) AS last_loaded_date FROM vc"
+SQL["recorded_watermark"] = with_(*DIAG_BASE) + "SELECT max(DATA_VISITA) AS recorded, max(DATA_VISITA) AS stored FROM dx"
 SQL["compact_staging_batches"] = with_(*DIAG_BASE, _BATCHED, _LATEST) + "SELECT * EXCLUDE (batch_id) FROM lt"
 SQL["aligned_matrices"] = _FEW_BASE + pivot(
     f"(SELECT day, CASE WHEN day < {_d(C.BATCH1_END)} AND feature = 'demanda__TOTAL_CAT' THEN NULL "

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,29 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_rows(docs: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``fn`` over the Arrow batches of ``docs``, which gives rows of the same
+    columns. They travel by position, so that any name will do (Spark reads
+    dots in the names that ``mapInArrow`` passes on)."""
+    names = docs.columns
+    numbered = [f"c{i}" for i in range(len(names))]
+    plain = docs.toDF(*numbered)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(b.rename_columns(names) for b in batches):
+            yield out.rename_columns(numbered)
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 #: Rows of a key list that may be broadcast.
 BROADCAST_KEYS = 100_000
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.llm.common import without, written
+from daymatrix.llm.common import free_name, map_rows, without, written
 from daymatrix.llm.kernels import SpanHash, chunks, is_space, per_row_sum, windows, words
 
 SYMBOLS = np.zeros(256, bool)
@@ -139,8 +139,9 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
     """The rows of ``docs`` that pass, with all their columns. The base rule is
     applied in the scan; of the hosts only the rejected ones are joined."""
     hosts = host_verdicts(written(with_rules(measure(docs), limits), "host-rules"), limits)
-    rejected = hosts.where("host_rejected").select(F.col("host").alias("__rejected_host"))
     names = docs.columns
+    host = free_name("rejected_host", names)
+    rejected = hosts.where("host_rejected").select(F.col("host").alias(host))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,8 +155,8 @@ def keep_documents(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFr
                 yield batch.slice(at, len(n)).filter(pa.array(ok))
                 at += len(n)
 
-    kept = docs.mapInArrow(passing, docs.schema)
-    return without(kept, rejected, F.col("source").cast("string") == F.col("__rejected_host")).select(*(F.col(f"`{c}`") for c in names))
+    kept = map_rows(docs, passing)
+    return without(kept, rejected, F.col("source").cast("string") == F.col(host)).select(*(F.col(f"`{c}`") for c in names))
 
 
 ORACLE_RULES = r"""

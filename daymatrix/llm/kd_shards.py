@@ -4,8 +4,8 @@ A node of the tree holds documents and a number of leaves still to make. It is
 split along its widest dimension (the one with the largest byte-weighted spread
 against that of all documents) at the weighted quantile that gives each side
 its share of the leaves. The quantile is found for all nodes of a level at once
-by histograms that narrow down to the cell holding it; only sums per cell
-reach the driver, at most ``CELLS`` for each node. Splitting ends when leaves
+by histograms that narrow down to the cell holding it; one row per node, the
+cell that holds its quantile, reaches the driver. Splitting ends when leaves
 hold the target bytes.
 
 The dimensions are functions of the text (size, share of blanks, lines), and a
@@ -20,12 +20,13 @@ result; fewer rows than shards leave shards empty.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymatrix.llm.common import written
+from daymatrix.llm.common import BROADCAST_KEYS, written
 
 #: Cells of a histogram pass (a power of two).
 CELL_BITS = 10
@@ -96,8 +97,11 @@ def _spread(row, i: int) -> float:
     return max(row[f"q{i}"] / row["total"] - mean * mean, 0.0) ** 0.5
 
 
-def _values(spark: SparkSession, names: str, rows: list[str]) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
+def _for_nodes(rows: DataFrame, values: list[dict], schema: str) -> DataFrame:
+    """``rows`` with one row of ``values`` for each node; a long list is joined
+    by a shuffle."""
+    table = rows.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")))
+    return rows.join(F.broadcast(table) if len(values) <= BROADCAST_KEYS else table, "node", "left")
 
 
 def _along(n_dims: int) -> Column:
@@ -109,25 +113,28 @@ def _along(n_dims: int) -> Column:
 
 def _find_cuts(rows: DataFrame, nodes: list[Node], n_dims: int) -> None:
     """Set ``cut`` (and ``share``, where one key must itself be divided)."""
-    spark = rows.sparkSession
+    below = Window.partitionBy("node").orderBy("cell")  # at most 2^CELL_BITS rows a node
     while open_nodes := [n for n in nodes if n.cut is None]:
-        steps = _values(spark, "node, dim, low, shift", [f"({n.first}, {n.dim}, {n.low}L, {n.shift})" for n in open_nodes])
-        cell = F.expr("shiftright(key - low, shift)")
-        sums = (
-            rows.join(F.broadcast(steps), "node").withColumn("key", _along(n_dims))  # one row per node
-            .where(F.col("key") >= F.col("low")).withColumn("cell", cell).where(F.col("cell") < (1 << CELL_BITS))
-            .groupBy("node", "cell").agg(F.sum("size").alias("bytes")).collect()
+        steps = [{"node": n.first, "dim": n.dim, "low": n.low, "shift": n.shift, "under": n.under,
+                  "goal": n.total * (n.leaves // 2) / n.leaves} for n in open_nodes]
+        keyed = _for_nodes(rows, steps, "node: int, dim: int, low: bigint, shift: int, under: bigint, goal: double").where("dim IS NOT NULL")
+        cells = (
+            keyed.withColumn("key", _along(n_dims)).where(F.col("key") >= F.col("low"))
+            .withColumn("cell", F.expr("shiftright(key - low, shift)")).where(F.col("cell") < (1 << CELL_BITS))
+            .groupBy("node", "cell", "under", "goal").agg(F.sum("size").alias("bytes"))
+            .withColumn("upto", F.col("under") + F.sum("bytes").over(below))
         )
-        for n in open_nodes:
-            cells = sorted((r["cell"], r["bytes"]) for r in sums if r["node"] == n.first)
-            goal = n.total * (n.leaves // 2) / n.leaves
-            under, last = n.under, 0
-            for last, size in cells:
-                if under + size >= goal:
-                    break
-                under += size
+        reached = F.when(F.col("upto") >= F.col("goal"), F.struct("cell", "bytes", (F.col("upto") - F.col("bytes")).alias("under")))
+        found = {r["node"]: r for r in cells.groupBy("node").agg(
+            F.min(reached).alias("hit"), F.max(F.struct("cell", "upto")).alias("end")).collect()}  # one row per node
+        for n, goal in zip(open_nodes, (s["goal"] for s in steps)):
+            row = found.get(n.first)
+            if row is None:
+                last, size, under = 0, 0, n.under
+            elif row["hit"] is None:
+                last, size, under = row["end"]["cell"], 0, row["end"]["upto"]
             else:
-                size = 0
+                last, size, under = row["hit"]["cell"], row["hit"]["bytes"], row["hit"]["under"]
             if size <= TOLERANCE * n.total or (n.shift == 0 and size <= 2 * TOLERANCE * n.total):
                 n.cut = n.low + ((last + (goal - under > size / 2)) << n.shift)
             elif n.shift == 0:
@@ -160,10 +167,9 @@ def kd_shards(docs: DataFrame, n_shards: int | None = 8, target_bytes: int | Non
             n.total = s["total"]
             n.dim = max(range(len(dims)), key=lambda i: _spread(s, i) / spread[i])
         _find_cuts(rows, level, len(dims))
-        cuts = _values(rows.sparkSession, "node, dim, cut, share, above", [
-            f"({n.first}, {n.dim}, {n.cut}L, {n.share!r}D, {n.first + n.leaves // 2})" for n in level])
+        cuts = [{"node": n.first, "dim": n.dim, "cut": n.cut, "share": n.share, "above": n.first + n.leaves // 2} for n in level]
         rows = (
-            rows.join(F.broadcast(cuts), "node", "left").withColumn("key", _along(len(dims)))  # one row per node
+            _for_nodes(rows, cuts, "node: int, dim: int, cut: bigint, share: double, above: int").withColumn("key", _along(len(dims)))
             .withColumn("node", F.when(F.col("cut").isNull() | (F.col("key") < F.col("cut")) | ((F.col("key") == F.col("cut")) & (F.col("h") < F.col("share"))), F.col("node"))
                         .otherwise(F.col("above")))
             .drop("dim", "cut", "share", "above", "key")

@@ -24,7 +24,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from daymatrix.llm.common import map_rows
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -188,8 +189,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The rows with every span (overlapping ones merged) replaced by ``mark``;
-    ``n_chars``, if there is one, is counted anew for changed texts. Other
-    columns stay as they are."""
+    ``n_chars``, if there is one and it is a number, is counted anew for changed
+    texts. Other columns stay as they are."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,9 +213,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                 changed.append(bool(merged))
             columns = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             columns["text"] = pa.array(texts, pa.string())
-            if "n_chars" in columns:
+            if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
                 sizes = [len(t) if c else n for t, c, n in zip(texts, changed, columns["n_chars"].to_pylist())]
                 columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

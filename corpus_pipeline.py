@@ -46,7 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold a benchmark item within its edit budget go."""
     small_batches(spark)
     leaks = qgram_decontam.find_leaks(docs, benchmark(spark, sf_dir)).select("doc_id").distinct()
-    return without(docs, leaks, "doc_id").select(*docs.columns)
+    return without(docs, leaks, "doc_id").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,17 +4,22 @@ A matrix is a set of blocks of up to ``width`` columns over the same days. Which
 feature is which column of which block is a table, the block index
 ``(matrix, block, position, feature)``; the blocks themselves have the fixed
 columns ``timestamp, c0, c1, ...``. So all blocks of all matrices have one schema
-and are written by one job, partitioned by ``matrix`` and ``block``, and neither
-the driver nor a plan ever holds the names: only a reader of a single block turns
-its positions into names.
+and are written by one job, and neither the driver nor a plan ever holds the names:
+only a reader of a single block turns its positions into names.
 
 * Features are dealt to blocks by hash, numbered within their share of a block,
-  and go on into further blocks where a share is larger than ``width``.
-* Cells meet their position by a join with the index, are shuffled once by block,
-  and are summed, laid out by position and filled within it. A block holds no
-  more than its days times ``width`` cells.
-* Every day of the calendar, given as ranges, goes to every block as an empty
-  row, so days without any count are there too.
+  and go on into further blocks where a share is larger than ``width``. Shares are
+  filled a little below ``width`` on average, so that few of them need a second one.
+* Cells meet their position by a join with the index, are shuffled once by runs of
+  ``RUN`` blocks, and are summed and laid out a block at a time. Up to that point
+  only the cells that have a count move, never the zeros: a task turns the cells
+  of one block into its days times ``width`` numbers and writes them in that order,
+  so nothing wide is sorted, shuffled or held for more than one block.
+* Every day of the calendar, given as ranges, is a row of every block, also of
+  one without any count.
+* Files hold whole blocks, in order, with ``matrix`` and ``block`` as columns: the
+  number of files follows the cells, and a reader of few blocks skips the rest by
+  the bounds in the files.
 
 Defined cases: duplicate cells are summed; rows with a null matrix, day or feature
 are left out; days outside the calendar are left out; without cells there are no
@@ -24,17 +29,21 @@ blocks.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from daymatrix.functions.names import qcol
 from daymatrix.session import written
 
 WIDTH = 250
+RUN = 32   # consecutive blocks of a matrix that one task lays out
 MATRIX, BLOCK, POSITION, FEATURE = "matrix", "block", "position", "feature"
 
 
@@ -46,7 +55,9 @@ def block_index(features: DataFrame, width: int = WIDTH) -> DataFrame:
     """``matrix, block, position, feature`` for distinct ``(matrix, feature)``
     rows. Each matrix has as many hash shares as blocks it needs; a share is
     numbered by itself."""
-    shares = features.groupBy(MATRIX).agg(F.ceil(F.count("*") / width).cast("int").alias("shares"))
+    usual = max(1, int(width - 2.5 * math.sqrt(width)))   # a hash share of this mean seldom passes ``width``
+    n = F.count("*")
+    shares = features.groupBy(MATRIX).agg(F.when(n <= width, 1).otherwise(F.ceil(n / usual)).cast("int").alias("shares"))
     # A matrix has few rows here and many features: the side with one row a matrix is read by all.
     dealt = features.join(shares, MATRIX).withColumn("share", F.pmod(F.xxhash64(FEATURE), F.col("shares")).cast("int"))
     place = F.row_number().over(Window.partitionBy(MATRIX, "share").orderBy(FEATURE)) - 1
@@ -55,12 +66,36 @@ def block_index(features: DataFrame, width: int = WIDTH) -> DataFrame:
         (F.col("place") % width).cast("int").alias(POSITION), FEATURE)
 
 
+def _calendar(ranges: Sequence[tuple[dt.date, dt.date]]) -> list[dt.date]:
+    days = {lo + dt.timedelta(days=i) for lo, hi in ranges for i in range((hi - lo).days + 1)}
+    return sorted(days)
+
+
+def _dense(cells: DataFrame, days: list[dt.date], width: int) -> DataFrame:
+    """The rows of all blocks: ``matrix, block, timestamp, c0, c1, ...``. Each
+    block comes as its summed cells and one row without a day."""
+    dates = np.array(days, dtype="datetime64[D]")
+    stamps = pa.array(dates, pa.date32())
+    names = [MATRIX, BLOCK, "timestamp", *(_column(i) for i in range(width))]
+
+    def lay_out(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        rows = rows.filter(pc.is_valid(rows["n"]))
+        at = np.searchsorted(dates, rows["day"].to_numpy().astype("datetime64[D]"))
+        grid = np.zeros((width, len(dates)), dtype=np.int64)
+        grid[rows[POSITION].to_numpy(), at] = rows["n"].to_numpy()
+        fixed = [pa.repeat(key[0].cast(pa.string()), len(dates)), pa.repeat(key[2].cast(pa.int32()), len(dates)), stamps]
+        return pa.Table.from_arrays([*fixed, *(pa.array(column) for column in grid)], names=names)
+
+    kinds = [T.StringType(), T.IntegerType(), T.DateType(), *(T.LongType() for _ in range(width))]
+    schema = T.StructType([T.StructField(name, kind, nullable=False) for name, kind in zip(names, kinds)])
+    return cells.groupBy(MATRIX, "run", BLOCK).applyInArrow(lay_out, schema)
+
+
 def write_blocks(long: DataFrame, ranges: Sequence[tuple[dt.date, dt.date]], path: str, width: int = WIDTH) -> str:
     """Write ``long`` (``matrix, day, feature, n``) as blocks over the days of
     ``ranges`` (first and last day each; they may overlap). ``<path>/index`` is
     the block index, ``<path>/cells`` the blocks. Returns ``path``."""
     spark = long.sparkSession
-    days = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.sequence(F.lit(lo), F.lit(hi)) for lo, hi in ranges))))) if ranges else F.lit(None).cast("array<date>")
     inside = F.lit(False)
     for lo, hi in ranges:
         inside = inside | F.col("day").between(F.lit(lo), F.lit(hi))
@@ -70,15 +105,16 @@ def write_blocks(long: DataFrame, ranges: Sequence[tuple[dt.date, dt.date]], pat
     index.hint("rebalance", MATRIX, BLOCK).write.mode("overwrite").parquet(f"{path}/index")
     index = spark.read.schema(index.schema).parquet(f"{path}/index")
     placed = cells.where(inside).join(index, [MATRIX, FEATURE]).select(MATRIX, BLOCK, "day", POSITION, "n")
-    empty = index.select(MATRIX, BLOCK).distinct().select(
-        MATRIX, BLOCK, F.explode(days).alias("day"), F.lit(None).cast("int").alias(POSITION), F.lit(None).cast("long").alias("n"))
-    # One shuffle by block: the sums, the layout and the files of a block share it.
-    laid = (
-        placed.unionByName(empty).repartition(MATRIX, BLOCK)
-        .groupBy(MATRIX, BLOCK, F.col("day").alias("timestamp")).pivot(POSITION, list(range(width))).agg(F.sum("n"))
+    known = index.select(MATRIX, BLOCK).distinct()
+    empty = known.select(MATRIX, BLOCK, F.lit(None).cast("date").alias("day"), F.lit(None).cast("int").alias(POSITION), F.lit(None).cast("long").alias("n"))
+    # A number of its own: the sparse cells are small, what a task writes of them is not.
+    runs = known.select(MATRIX, F.floor(F.col(BLOCK) / RUN)).distinct().count()
+    summed = (
+        placed.unionByName(empty).withColumn("run", F.floor(F.col(BLOCK) / RUN).cast("int"))
+        .repartition(max(1, runs), MATRIX, "run")
+        .groupBy(MATRIX, "run", BLOCK, "day", POSITION).agg(F.sum("n").alias("n"))
     )
-    filled = laid.select(MATRIX, BLOCK, "timestamp", *(F.coalesce(qcol(str(i)), F.lit(0).cast("long")).alias(_column(i)) for i in range(width)))
-    filled.sortWithinPartitions(MATRIX, BLOCK, "timestamp").write.mode("overwrite").partitionBy(MATRIX, BLOCK).parquet(f"{path}/cells")
+    _dense(summed, _calendar(ranges), width).write.mode("overwrite").parquet(f"{path}/cells")
     return path
 
 
@@ -87,11 +123,29 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, path: str) -> DataFrame:
-    found = spark.read.parquet(f"{path}/cells").schema
-    fields = [f for f in found.fields if f.name not in (MATRIX, BLOCK)]
-    # Folder names are text, whatever they look like.
-    schema = T.StructType([*fields, T.StructField(MATRIX, T.StringType()), T.StructField(BLOCK, T.IntegerType())])
-    return spark.read.schema(schema).parquet(f"{path}/cells")
+    return spark.read.parquet(f"{path}/cells")
+
+
+def _columns(cells: DataFrame) -> list[str]:
+    return [_column(i) for i in range(len(cells.columns) - 3)]
+
+
+def _counted(cells: DataFrame) -> DataFrame:
+    """``matrix, block, timestamp, position, n`` of the cells that are not 0."""
+    names = _columns(cells)
+    # Most rows of a matrix of many units have no count at all; they stay where they are.
+    some = (F.greatest(*names, names[0]) != 0) | (F.least(*names, names[0]) != 0)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            grid = np.stack([b.column(name).to_numpy(zero_copy_only=False) for name in names], axis=1)
+            row, position = np.nonzero(grid)
+            fixed = b.select([MATRIX, BLOCK, "timestamp"]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [*fixed.columns, pa.array(position.astype(np.int32)), pa.array(grid[row, position])],
+                names=[MATRIX, BLOCK, "timestamp", POSITION, "n"])
+
+    return cells.where(some).mapInArrow(found, f"{MATRIX} STRING, {BLOCK} INT, timestamp DATE, {POSITION} INT, n BIGINT")
 
 
 def read_block(spark: SparkSession, path: str, matrix: str, block: int) -> DataFrame:
@@ -115,14 +169,12 @@ def read_columns(spark: SparkSession, path: str, matrix: str, features: Sequence
 def read_long(spark: SparkSession, path: str, zeros: bool = False) -> DataFrame:
     """``matrix, timestamp, feature, n`` of all blocks; cells of 0 only if asked for."""
     cells = _cells(spark, path)
-    width = sum(c[0] == "c" and c[1:].isdigit() for c in cells.columns)
-    values = F.array(*(F.struct(F.lit(i).alias(POSITION), F.col(_column(i)).alias("n")) for i in range(width)))
-    if not zeros:
-        values = F.filter(values, lambda x: x["n"] != 0)
-    return (
-        cells.select(MATRIX, BLOCK, "timestamp", F.inline(values))
-        .join(read_index(spark, path), [MATRIX, BLOCK, POSITION]).select(MATRIX, "timestamp", FEATURE, "n")
-    )
+    if zeros:
+        values = F.array(*(F.struct(F.lit(i).alias(POSITION), F.col(c).alias("n")) for i, c in enumerate(_columns(cells))))
+        placed = cells.select(MATRIX, BLOCK, "timestamp", F.inline(values))
+    else:
+        placed = _counted(cells)
+    return placed.join(read_index(spark, path), [MATRIX, BLOCK, POSITION]).select(MATRIX, "timestamp", FEATURE, "n")
 
 
 def column_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -131,11 +183,12 @@ def column_digests(spark: SparkSession, path: str) -> DataFrame:
     cells = _cells(spark, path)
     days = cells.groupBy(MATRIX, BLOCK).agg(F.count("*").alias("n_days"), F.min("timestamp").alias("first"))
     number = F.datediff("timestamp", "first") + 1
+    # Added up by position, so that only one row a column meets its name.
     sums = (
-        read_long(spark, path).join(read_index(spark, path), [MATRIX, FEATURE]).join(days, [MATRIX, BLOCK])
-        .groupBy(MATRIX, FEATURE).agg(F.count("*").alias("n_nonzero"), F.sum("n").alias("total"), F.sum(F.col("n") * number).alias("weighted"))
+        _counted(cells).join(days, [MATRIX, BLOCK])
+        .groupBy(MATRIX, BLOCK, POSITION).agg(F.count("*").alias("n_nonzero"), F.sum("n").alias("total"), F.sum(F.col("n") * number).alias("weighted"))
     )
     known = read_index(spark, path).join(days, [MATRIX, BLOCK])
     zero = F.lit(0).cast("long")
-    return known.join(sums, [MATRIX, FEATURE], "left").select(
+    return known.join(sums, [MATRIX, BLOCK, POSITION], "left").select(
         MATRIX, FEATURE, "n_days", *(F.coalesce(c, zero).alias(c) for c in ("n_nonzero", "total", "weighted")))

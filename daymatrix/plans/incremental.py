@@ -4,8 +4,7 @@ Two write modes, never mixed on one store:
 
 * **recount** (default, I1/I2): the store is partitioned by month; a run reads
   the source from the start of the month holding ``hwm - lookback_days``,
-  recounts those whole months and replaces exactly those partitions with
-  dynamic partition overwrite. Replaying a run, or loading A then B, gives
+  recounts those whole months and replaces exactly those partitions. Replaying a run, or loading A then B, gives
   the same store as loading A and B at once, and a day first loaded partially
   ends at its full count (X12).
 * **additive** (I4/J10): batches whose days are disjoint from everything
@@ -18,7 +17,7 @@ a wrong date can neither be counted nor move the watermark.
 A recount run is one commit record (``sources.commits``): it writes its months
 beside the store, under ``_runs``, and then the record that names them together
 with the new watermark. From that moment the run has happened: readers take these
-months from there, and the next step moves them to their partitions. A run that
+months from there, and the next step moves their folders to their partitions. A run that
 ended before the record left the store and the watermark as they were; one that
 ended after it is finished by the next run, or by :func:`apply_pending`. The
 watermark is the recorded one, compared at the start of a run with the greatest
@@ -38,9 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymatrix.schema import COUNT_KEY
-from daymatrix.session import scratch_path
 from daymatrix.sources import commits
-from daymatrix.sources.store import BATCH_COL, append_batch, drop_partitions, partition_values, path_exists, read_staging
+from daymatrix.sources.store import BATCH_COL, append_batch, drop_partitions, partition_values, read_staging
 
 PERIOD_COL = "period"
 RUNS = "_runs"
@@ -169,19 +167,26 @@ def stage_recount(source: DataFrame, raw_date_col: str, build_counts: Callable[[
     return RunInfo(hwm, read_from, after)
 
 
+def _staged_periods(spark: SparkSession, store_path: str, todo: Pending) -> list[str]:
+    """Months of a recorded run that are still beside the store: one that is no
+    longer there has been moved."""
+    there = set(partition_values(spark, todo.folder(store_path), PERIOD_COL))
+    return [p for p in todo.fresh if p in there]
+
+
 def apply_pending(spark: SparkSession, store_path: str) -> int | None:
-    """Move the months of a recorded run to their partitions; done again from
-    the start if it ended half way. Returns the run, or ``None`` if there is none."""
+    """Move the months of a recorded run to their partitions, by renaming their
+    folders (no row is read again); one that ended half way is gone on with.
+    Returns the run, or ``None`` if there is none."""
     todo = _pending(commits.snapshot(spark, store_path))
     if todo is None:
         return None
-    if todo.fresh:
-        (spark.read.parquet(todo.folder(store_path))
-            .hint("rebalance", PERIOD_COL)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PERIOD_COL)
-            .parquet(store_path))
+    for period in _staged_periods(spark, store_path, todo):
+        fs, source = commits.file_system(spark, f"{todo.folder(store_path)}/{PERIOD_COL}={period}")
+        _, target = commits.file_system(spark, f"{store_path}/{PERIOD_COL}={period}")
+        fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise OSError(f"{source} could not be moved to {target}")
     drop_partitions(spark, store_path, PERIOD_COL, todo.gone)
 
     def change(now: commits.Snapshot):
@@ -213,13 +218,15 @@ def read_recount_store(spark: SparkSession, store_path: str) -> DataFrame:
     todo = _pending(commits.snapshot(spark, store_path))
     if todo is None:
         return spark.read.parquet(store_path).drop(PERIOD_COL)
-    replaced = {*todo.fresh, *todo.gone}
+    staged = _staged_periods(spark, store_path, todo)
+    replaced = {*staged, *todo.gone}
     kept = [p.isoformat() for p in stored_periods(spark, store_path) if p.isoformat() not in replaced]
     parts = []
     if kept:
         parts.append(spark.read.option("basePath", store_path).parquet(*(f"{store_path}/{PERIOD_COL}={p}" for p in kept)))
-    if todo.fresh:
-        parts.append(spark.read.parquet(todo.folder(store_path)))
+    if staged:
+        folder = todo.folder(store_path)
+        parts.append(spark.read.option("basePath", folder).parquet(*(f"{folder}/{PERIOD_COL}={p}" for p in staged)))
     if not parts:
         return spark.read.parquet(store_path).where("false").drop(PERIOD_COL)
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
@@ -233,15 +240,17 @@ class OverlappingBatchError(ValueError):
 def add_disjoint_batch(counts: DataFrame, store_path: str, day_col: str = "day") -> int:
     """Append a batch of counts whose days are all new (I4)."""
     spark = counts.sparkSession
-    staged = scratch_path(spark, "batch")  # computed once; read by the overlap check and by the append
-    counts.write.parquet(staged)
-    counts = spark.read.parquet(staged)
-    if path_exists(spark, store_path):
+    known = bool(partition_values(spark, store_path, BATCH_COL))
+
+    def all_new(batch: DataFrame) -> None:
+        if not known and not commits.snapshot(spark, store_path).version:
+            return
         stored_days = read_staging(spark, store_path).select(day_col).distinct()
-        clash = counts.select(day_col).distinct().join(stored_days, day_col, "left_semi")
+        clash = batch.select(day_col).distinct().join(stored_days, day_col, "left_semi")
         if not clash.isEmpty():
             raise OverlappingBatchError("batch has days already stored; use run_recount")
-    return append_batch(counts, store_path)
+
+    return append_batch(counts, store_path, check=all_new)
 
 
 def read_additive_store(spark: SparkSession, store_path: str, keys=tuple(COUNT_KEY), value: str = "n") -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -104,14 +104,17 @@ def _with_columns(known: str | None, schema: T.StructType) -> str:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int | None = None, max_records_per_file: int = DEFAULT_RECORDS_PER_FILE,
-                 loaded_at: dt.datetime | None = None, ts_col: str | None = None) -> int:
+                 loaded_at: dt.datetime | None = None, ts_col: str | None = None,
+                 check: Callable[[DataFrame], None] | None = None) -> int:
     """Append ``df`` as one batch (S10, S11); returns its ``batch_id``.
 
     Files hold at most ``max_records_per_file`` rows (X26). ``ts_col`` names the
     column whose first and last value the manifest records. An empty input
     commits nothing, so it has no manifest row either; it is not probed
-    beforehand, which would compute the input twice. Writers may run side by
-    side: ids are claimed, and each batch is seen once it is committed.
+    beforehand, which would compute the input twice. ``check`` is given the batch
+    as written, before it is committed; if it raises, the folder goes and nothing
+    is appended. Writers may run side by side: ids are claimed, and each batch is
+    seen once it is committed.
     """
     spark = df.sparkSession
     bid = commits.claim(spark, path, batch_id)
@@ -120,6 +123,13 @@ def append_batch(df: DataFrame, path: str, batch_id: int | None = None, max_reco
             .withColumn(LOADED_COL, F.lit(loaded_at).cast("timestamp_ntz")))
     _with_columns(commits.snapshot(spark, path).extra.get("schema"), rows.schema)  # refuse before writing
     entry = _write_batch(rows, path, bid, max_records_per_file, ts_col)
+    if entry and check is not None:
+        try:
+            check(spark.read.schema(rows.schema).parquet(f"{path}/{_folder(bid)}"))
+        except Exception:
+            fs, p = file_system(spark, f"{path}/{_folder(bid)}")
+            fs.delete(p, True)
+            raise
     if entry:
         commits.commit(spark, path, lambda seen: (
             seen.live + [entry], {**seen.extra, "schema": _with_columns(seen.extra.get("schema"), rows.schema)}))

@@ -66,9 +66,12 @@ def zfill(c: Column | str, width: int = UNIT_WIDTH) -> Column:
 
 
 def pad_unit_code(c: Column | str, width: int = UNIT_WIDTH) -> Column:
-    """Strip then zero-pad a unit code (P3); blank or null stays null."""
+    """Strip then zero-pad a unit code (P3); blank or null stays null. A code of
+    plain letters and digits has nothing to strip and no sign: it is padded as it is."""
+    raw = _c(c).cast("string")
     s = blank_to_null(c)
-    return F.when(s.isNotNull(), zfill(s, width))
+    return F.when(raw.rlike(r"^[A-Za-z0-9]+\z"), F.lpad(raw, F.greatest(F.length(raw), F.lit(width)), "0")).otherwise(
+        F.when(s.isNotNull(), zfill(s, width)))
 
 
 def unit_label(c: Column | str, width: int = UNIT_WIDTH) -> Column:

@@ -86,7 +86,13 @@ def icd_normalize(c: Column | str) -> Column:
 
 def icd_code3_prefix(c: Column | str) -> Column:
     """First three characters of the normalised code, null when it is not
-    valid (P11); one extraction instead of test-then-cut."""
+    valid (P11); one extraction instead of test-then-cut. Text that begins with a
+    letter and two digits needs no normalising for that."""
+    raw = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.when(raw.rlike("^[A-Za-z][0-9]{2}"), F.upper(F.substring(raw, 1, 3))).otherwise(_code3_prefix(c))
+
+
+def _code3_prefix(c: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_alnum_upper(c), "^[A-Z][0-9]{2}", 0), F.lit(""))
 
 

@@ -81,7 +81,8 @@ def _reduced(spark, sf, lookup=None):
 
 
 def _demand(spark, sf, scopes=SCOPES, variables=DEMAND_VARIABLES, total=True, lookup=None):
-    return demand_counts(_prepared(spark, sf, lookup), scopes, variables, total)
+    rows = fx.visits(spark, sf).count() if "UP" in scopes else None
+    return demand_counts(_prepared(spark, sf, lookup), scopes, variables, total, rows)
 
 
 def _diagnosis(spark, sf, scopes=SCOPES, levels=LEVELS, total=True, selected=SELECTED_CODES, lookup=None):
@@ -331,7 +332,8 @@ def diagnosis_code_daily(spark, sf):
 
 @job("diagnosis_code_by_group")
 def diagnosis_code_by_group(spark, sf):
-    return code_daily_by_region(raw_code_rows(fx.diagnoses(spark, sf)), fx.up_rs(spark, sf))
+    raw = fx.diagnoses(spark, sf)
+    return code_daily_by_region(raw_code_rows(raw), fx.up_rs(spark, sf), n_rows=raw.count())
 
 
 @job("diagnosis_feature_names")
@@ -665,7 +667,7 @@ def narrow_types(spark, sf):
 
 def _demand_counts_from(spark, sf):
     lookup = fx.up_rs(spark, sf)
-    return lambda rows: demand_counts(prepare_visits(rows, lookup))
+    return lambda rows: demand_counts(prepare_visits(rows, lookup), rows=rows.count())
 
 
 def _diagnosis_counts_from(spark, sf):

@@ -66,7 +66,7 @@ def run_demand_increment(visits: DataFrame, lookup: DataFrame, store_path: str,
     the store records ``(last_loaded_date, updated_at)`` (I3, clock given), and
     ``state_path`` takes a copy."""
     _check_state(visits.sparkSession, store_path, state_path)
-    info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup)),
+    info = inc.run_recount(visits, "DATA_VISITA", lambda rows: demand_counts(prepare_visits(rows, lookup), rows=rows.count()),
                            store_path, as_of, lookback_days, min_valid, run_at=run_at)
     return _record(visits.sparkSession, info, state_path, run_at)
 
@@ -117,7 +117,7 @@ def demand_final(spark: SparkSession, visits: DataFrame, lookup: DataFrame, out_
                  start=None, end=None, up_matrices: bool = False) -> dict[str, str]:
     """Q1: visits -> counts at every scope -> long dataset, densified CAT/RS
     matrices and the UP matrices of all regions in blocks of columns."""
-    counts = demand_counts(prepare_visits(visits, lookup), SCOPES)
+    counts = demand_counts(prepare_visits(visits, lookup), SCOPES, rows=visits.count())
     outputs = render_matrices(counts, out_dir, "demand", start, end)
     if up_matrices:
         stored = spark.read.parquet(outputs["demand_long"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/daymatrix/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Rows that one task aggregates at the finest level, and the fewest worth a task.
+TASK_ROWS, LEAST_ROWS = 200_000, 10_000
+
+
+def spread(df: DataFrame, rows: int, keys: Sequence[str], stacked: int = 1) -> DataFrame:
+    """``df`` of about ``rows`` rows, dealt by ``keys`` to as many tasks as hold
+    ``TASK_ROWS`` each, however many there are. For aggregations with about as many
+    groups as rows: a partial aggregate before the shuffle would hold a whole input
+    split in memory for nothing, and adaptive merging goes by compressed bytes, so
+    that the groups of one task would grow with the input. ``stacked`` is the number
+    of rows that each row becomes afterwards."""
+    idle = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // LEAST_ROWS))
+    return df.repartition(max(1, idle, -(-rows * stacked // TASK_ROWS)), *keys)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back, for frames
     that several jobs scan: compressed, and read by column."""

@@ -4,9 +4,8 @@ One plan for every scope and variable: the five label columns and the total
 are stacked into ``(variable, value)`` rows with a generator and counted. For
 units the visits are shuffled before they are stacked, by day and unit, in tasks
 of a bounded number of rows: there are about as many groups as rows, and no day of
-a unit is large. Regions and the whole territory have few groups (see
-``scoped_counts``); there the partial aggregate combines hot keys (a default
-region, ``NA`` values) on the map side before anything moves.
+a unit is large. With further scopes the stacked rows are shuffled so, and regions
+and the whole territory are rolled up from the counts (see ``scoped_counts``).
 """
 
 from __future__ import annotations
@@ -107,26 +106,38 @@ def scoped_counts(stacked: DataFrame, scopes: Sequence[str], group_cols: dict[st
     requested scope; returns the canonical long schema. Variables are numbers in
     the aggregations and get their ``names`` after them.
 
-    Units are counted from rows that their caller has dealt by day and unit
-    (``session.spread``), so they need no shuffle of their own. The coarser
-    scopes have few groups: regions are counted from the same rows, combined
-    before the shuffle, and the whole territory is summed from the regions.
+    Units nest in regions (one region per unit), so the counts roll up:
+    the row-level input is aggregated once, at the finest requested scope
+    (keeping the region next to the unit), and the coarser scopes are summed
+    from that result with one grouping-sets aggregation. The map-side work on
+    the big input is one hash aggregation per stacked row (a grouping-sets
+    ``Expand`` over the raw rows would triple it); the second shuffle only
+    carries already aggregated counts, and the first one is reused by both
+    branches of the union.
     """
     unknown = set(scopes) - set(SCOPES)
     if unknown:
         raise ValueError(f"unknown scopes: {sorted(unknown)}")
     order = [s for s in ("UP", "RS", "CAT") if s in scopes]
     finest = order[0]
+    if finest == "UP" and len(order) > 1:   # read by both branches of the union
+        stacked = stacked.repartition("day", group_cols["UP"])
     keys = {"UP": [group_cols["RS"], group_cols["UP"]], "RS": [group_cols["RS"]], "CAT": []}[finest]
     base = stacked.groupBy("day", *keys, "variable", "value").agg(measure.alias("n"))
     out = _scope_rows(base, finest, _group_value(finest, group_cols), domain, names)
-    if finest == "UP" and "RS" in scopes:
-        base = stacked.groupBy("day", group_cols["RS"], "variable", "value").agg(measure.alias("n"))
-        out = out.unionByName(_scope_rows(base, "RS", _group_value("RS", group_cols), domain, names))
-    if "CAT" in order[1:]:
-        rolled = base.groupBy("day", "variable", "value").agg(F.sum("n").alias("n")) if "RS" in order else \
-            stacked.groupBy("day", "variable", "value").agg(measure.alias("n"))
-        out = out.unionByName(_scope_rows(rolled, "CAT", _group_value("CAT", group_cols), domain, names))
+    coarser = order[1:]
+    if len(coarser) == 1:
+        scope = coarser[0]
+        gkeys = [] if scope == "CAT" else [group_cols[scope]]
+        rolled = base.groupBy("day", *gkeys, "variable", "value").agg(F.sum("n").alias("n"))
+        out = out.unionByName(_scope_rows(rolled, scope, _group_value(scope, group_cols), domain, names))
+    elif len(coarser) == 2:  # RS and CAT from UP
+        rs = group_cols["RS"]
+        rolled = base.groupingSets(
+            [["day", rs, "variable", "value"], ["day", "variable", "value"]], "day", rs, "variable", "value"
+        ).agg(F.sum("n").alias("n"), F.grouping(rs).alias("__g_rs"))
+        by_rs = F.col("__g_rs") == 0
+        out = out.unionByName(_scope_rows(rolled, F.when(by_rs, F.lit("RS")).otherwise(F.lit("CAT")), F.when(by_rs, F.col(rs)), domain, names))
     return out
 
 
@@ -134,8 +145,8 @@ def demand_counts(prepared: DataFrame, scopes: Sequence[str] = SCOPES,
                   variables: Sequence[str] = DEMAND_VARIABLES, include_total: bool = True,
                   rows: int | None = None) -> DataFrame:
     """Daily visit counts (A1-A5) as ``daily_counts`` rows with domain ``demand``.
-    ``rows`` is the number of visits, if known (else they are counted for scope UP)."""
-    if "UP" in scopes:
+    ``rows`` is the number of visits, if known (else they are counted where UP is the only scope)."""
+    if tuple(scopes) == ("UP",):
         n = len(variable_names(variables, include_total))
         prepared = spread(prepared, prepared.count() if rows is None else rows, ["day", "UP"], n)
     stacked = _stack(prepared, variables, include_total, ["day", "RS", "UP"])

@@ -194,19 +194,21 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _counted(cells: DataFrame) -> DataFrame:
-    """``matrix, block, timestamp, position, n`` of the cells that are not 0."""
+    """``matrix, block, timestamp, counted`` of the rows that have a cell that is
+    not 0: ``counted`` is an array of those cells' ``position, n``."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat, starts = _numbers(b.column(CELLS))
             at = np.flatnonzero(flat.view(np.int64))   # 0 is 0 in either order of bytes
             row = np.searchsorted(starts, at, side="right") - 1
-            fixed = b.select([MATRIX, BLOCK, "timestamp"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [*fixed.columns, pa.array((at - starts[row]).astype(np.int32)), pa.array(flat[at].astype(np.int64))],
-                names=[MATRIX, BLOCK, "timestamp", POSITION, "n"])
+            some, firsts = np.unique(row, return_index=True)
+            pairs = pa.StructArray.from_arrays([pa.array((at - starts[row]).astype(np.int32)), pa.array(flat[at].astype(np.int64))], [POSITION, "n"])
+            counted = pa.ListArray.from_arrays(pa.array(np.append(firsts, len(at)).astype(np.int32)), pairs)
+            fixed = b.select([MATRIX, BLOCK, "timestamp"]).take(pa.array(some))
+            yield pa.RecordBatch.from_arrays([*fixed.columns, counted], names=[MATRIX, BLOCK, "timestamp", "counted"])
 
     rows = cells.select(MATRIX, BLOCK, "timestamp", CELLS)
-    return rows.mapInArrow(found, f"{MATRIX} STRING, {BLOCK} INT, timestamp DATE, {POSITION} INT, n BIGINT")
+    return rows.mapInArrow(found, f"{MATRIX} STRING, {BLOCK} INT, timestamp DATE, counted ARRAY<STRUCT<{POSITION}: INT, n: BIGINT>>")
 
 
 def read_block(spark: SparkSession, path: str, matrix: str, block: int) -> DataFrame:
@@ -229,8 +231,14 @@ def read_columns(spark: SparkSession, path: str, matrix: str, features: Sequence
 
 def read_long(spark: SparkSession, path: str, zeros: bool = False) -> DataFrame:
     """``matrix, timestamp, feature, n`` of all blocks; cells of 0 only if asked for."""
-    placed = read_rows(spark, path).select(MATRIX, BLOCK, "timestamp", F.posexplode(CELLS).alias(POSITION, "n")) if zeros else _counted(_cells(spark, path))
-    return placed.join(read_index(spark, path), [MATRIX, BLOCK, POSITION]).select(MATRIX, "timestamp", FEATURE, "n")
+    # Rows meet the names of their block, in order of position, before they are taken apart.
+    named = F.sort_array(F.collect_list(F.struct(POSITION, FEATURE)))
+    names = read_index(spark, path).groupBy(MATRIX, BLOCK).agg(named[FEATURE].alias("names"))
+    if zeros:
+        each = read_rows(spark, path).join(names, [MATRIX, BLOCK]).select(MATRIX, "timestamp", "names", F.posexplode(CELLS).alias(POSITION, "n"))
+    else:
+        each = _counted(_cells(spark, path)).join(names, [MATRIX, BLOCK]).select(MATRIX, "timestamp", "names", F.inline("counted"))
+    return each.select(MATRIX, "timestamp", F.get("names", POSITION).alias(FEATURE), "n")
 
 
 def column_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -242,7 +250,7 @@ def column_digests(spark: SparkSession, path: str) -> DataFrame:
     start = F.lit(days.agg(F.min("first")).first()[0])
     # Weighted by the days from the first of all blocks on, added up by position, so
     # that only one row a column meets its block's days and its name.
-    sums = _counted(cells).groupBy(MATRIX, BLOCK, POSITION).agg(
+    sums = _counted(cells).select(MATRIX, BLOCK, "timestamp", F.inline("counted")).groupBy(MATRIX, BLOCK, POSITION).agg(
         F.count("*").alias("n_nonzero"), F.sum("n").alias("total"), F.sum(F.col("n") * (F.datediff("timestamp", start) + 1)).alias("weighted"))
     zero = F.lit(0).cast("long")
     return read_index(spark, path).join(sums, [MATRIX, BLOCK, POSITION], "left").join(days, [MATRIX, BLOCK]).select(
